@@ -4,13 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import html_text
+from gridloom.llm import html_text, substring_dedup, suffix_dedup
+from gridloom.llm.repeats import rest_of
 from gridloom.registry import Registry
 from gridloom.session import table
 
 REGISTRY = Registry()
 
 
+@REGISTRY.query("op1_substring_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.dedup_words(table(spark, sf_dir, "documents"))
+    return found.selectExpr("id AS doc_id", "n_units AS n_words", "n_removed", "n_spans", "kept").withColumn("kept_sha256", rest_of("kept")).select("doc_id", "n_words", "n_removed", "kept_sha256", "n_spans")
+
+
+@REGISTRY.query("op3_suffix_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.dedup_bytes(table(spark, sf_dir, "documents"))
+    return found.selectExpr("id AS doc_id", "n_units AS n_bytes", "n_removed", "n_spans", "kept").withColumn("kept_sha256", rest_of("kept")).drop("kept")
+
+
 @REGISTRY.query("op10_html_text")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gridloom.llm import html_text, substring_dedup, suffix_dedup
+from gridloom.llm import html_text, simhash, substring_dedup, suffix_dedup
 from gridloom.llm.repeats import rest_of
 from gridloom.registry import Registry
 from gridloom.session import table
@@ -24,6 +25,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("id AS doc_id", "n_units AS n_bytes", "n_removed", "n_spans", "kept").withColumn("kept_sha256", rest_of("kept")).drop("kept")
 
 
+@REGISTRY.query("op4_simhash")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), simhash.hexed("fp").alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 @REGISTRY.query("op10_html_text")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))

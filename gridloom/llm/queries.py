@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import html_text, simhash, substring_dedup, suffix_dedup
+from gridloom.llm import html_text, simhash, substring_dedup, suffix_dedup, warc, winnowing
+from gridloom.llm.common import shared_dir
 from gridloom.llm.repeats import rest_of
 from gridloom.registry import Registry
 from gridloom.session import table
@@ -19,6 +22,26 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("id AS doc_id", "n_units AS n_words", "n_removed", "n_spans", "kept").withColumn("kept_sha256", rest_of("kept")).select("doc_id", "n_words", "n_removed", "kept_sha256", "n_spans")
 
 
+@REGISTRY.query(
+    "op2_warc",
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+    f AS (SELECT h, min(page_id) AS first_id FROM p GROUP BY h)
+    SELECT page_id, strlen(p.h)::BIGINT AS payload_bytes, to_base32_sha1.d AS payload_digest,
+           CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+    FROM p JOIN f ON p.h = f.h, LATERAL (
+        SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                 (('0x' || substr(sha1(p.h), 10 * (k // 8)::INT + 1, 10))::BIGINT >> (35 - 5 * (k % 8))::INT & 31)::INT + 1, 1), '' ORDER BY k) AS d
+        FROM range(32) r(k)) AS to_base32_sha1
+    """,
+)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write(table(spark, sf_dir, "pages"), out)
+    return warc.read(spark, out).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @REGISTRY.query("op3_suffix_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.dedup_bytes(table(spark, sf_dir, "documents"))
@@ -31,6 +54,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), simhash.hexed("fp").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+@REGISTRY.query("op9_winnowing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.study(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @REGISTRY.query("op10_html_text")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))

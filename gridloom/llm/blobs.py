@@ -11,8 +11,9 @@ _HEAD = struct.Struct("<q")
 
 
 def pack(columns: list[np.ndarray], level: int = 1) -> bytes:
-    """Arrays of one length, one behind the other, compressed."""
-    raw = b"".join([_HEAD.pack(len(columns[0])), *(np.ascontiguousarray(c).tobytes() for c in columns)])
+    """Arrays of one length, one behind the other, byte by byte of their values, compressed."""
+    planes = (np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns if len(c))
+    raw = b"".join([_HEAD.pack(len(columns[0])), *planes])
     return zstandard.ZstdCompressor(level=level).compress(raw)
 
 
@@ -21,7 +22,8 @@ def unpack(blob: bytes, dtypes: list[str]) -> list[np.ndarray]:
     raw = zstandard.ZstdDecompressor().decompress(blob)
     (n,), at, out = _HEAD.unpack_from(raw), _HEAD.size, []
     for d in map(np.dtype, dtypes):
-        out.append(np.frombuffer(raw, d, n, at))
+        planes = np.frombuffer(raw, np.uint8, n * d.itemsize, at).reshape(d.itemsize, n)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(d))
         at += n * d.itemsize
     return out
 

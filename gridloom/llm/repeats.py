@@ -14,7 +14,7 @@ having settled its other bearers itself, and deals a q-gram with several
 blocks out by block. Rows travel packed, a blob for each map task and bucket.
 The text is dealt out by hash of the id, in groups of bounded bytes.
 
-Block hashes have 64 bits within a 48-bit bucket key and window hashes 112.
+Blocks are told apart by 64 bits of hash and 40 or more of their q-gram's, windows by 104 or more.
 """
 
 from __future__ import annotations
@@ -34,10 +34,10 @@ from gridloom.llm.common import batches_of, buffers, parts_for, text_bytes
 #: Units in a chunk; a longer document is its own chunk, up to CUT, and is cut with overlap beyond.
 CHUNK, CUT = 1 << 18, 1 << 20
 #: Text bytes in a group of documents, and text bytes behind the rows of a bucket.
-GROUP_BYTES, BUCKET_BYTES = 8 << 20, 4 << 20
+GROUP_BYTES, BUCKET_BYTES = 8 << 20, 16 << 20
 
-_ENTRY = ["<u8", "<u8", "<i8", "<u4", "<i8", "<u4", "u1"]  # key, block, id, tag, lo, hi - lo, flags
-_ANSWER = ["<i8", "<u4", "<i8", "<u4", "u1"]  # id, tag, lo, hi - lo, flags
+_ENTRY = ["<i8", "<i8", "<u4", "<u4", "u1", "<u8", "<u8"]  # id, lo, tag, hi - lo, flags, key, block
+_ANSWER = _ENTRY[:5]
 #: Of entries and answers: the block recurs in its document, which holds for each place of it.
 AGAIN = 2
 #: Of entries: other blocks are known to share the key.
@@ -175,12 +175,21 @@ def _tags(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _dealt(slot: np.ndarray, columns: list[np.ndarray]) -> Iterator[tuple[int, bytes]]:
-    """A blob for each slot."""
-    order = np.argsort(slot, kind="stable")
-    slot = slot[order]
+    """A blob for each slot. The first two columns, id and lo, are sorted and go as differences."""
+    order = np.lexsort((columns[1], columns[0], slot))
+    slot, columns = slot[order], [c[order] for c in columns]
     cuts = np.flatnonzero(np.append(True, slot[1:] != slot[:-1])) if len(slot) else []
     for a, b in zip(cuts, [*cuts[1:], len(slot)], strict=True) if len(slot) else ():
-        yield int(slot[a]), blobs.pack([c[order[a:b]] for c in columns])
+        own = [c[a:b] for c in columns]
+        yield int(slot[a]), blobs.pack([np.diff(own[0], prepend=0), np.diff(own[1], prepend=0), *own[2:]])
+
+
+def _taken(packed: list[bytes], dtypes: list[str]) -> list[np.ndarray]:
+    """The columns of several blobs."""
+    parts = [blobs.unpack(b, dtypes) for b in packed]
+    for p in parts:
+        p[0], p[1] = np.cumsum(p[0]), np.cumsum(p[1])
+    return [np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, d) for k, d in enumerate(dtypes)]
 
 
 def _sent(plan: Plan, level: int, found: list[tuple[np.ndarray, ...]], ids: np.ndarray, tags: np.ndarray, alone: np.ndarray) -> Iterator[tuple[int, bytes]]:
@@ -198,7 +207,7 @@ def _sent(plan: Plan, level: int, found: list[tuple[np.ndarray, ...]], ids: np.n
     order, removed, open_, new_id, several = _settle(key, block, doc, np.zeros(len(key), bool), last)
     key, block, doc, tag, lo, wide, row = (c[order] for c in (key, block, doc, tag, lo, wide, row))
     if removed.any():
-        yield from _dealt(plan.buckets + group_of(doc[removed], plan.groups), [doc[removed], tag[removed], lo[removed], wide[removed].astype("u4"), np.full(removed.sum(), REMOVED, "u1")])  # each place is told by itself
+        yield from _dealt(plan.buckets + group_of(doc[removed], plan.groups), [doc[removed], lo[removed], tag[removed], wide[removed].astype("u4"), np.full(removed.sum(), REMOVED, "u1")])  # each place is told by itself
     # rows with one id but other texts don't settle each other: each keeps its own first row
     new_tag = new_id.copy()
     new_tag[1:] |= tag[1:] != tag[:-1]
@@ -211,7 +220,8 @@ def _sent(plan: Plan, level: int, found: list[tuple[np.ndarray, ...]], ids: np.n
     own = hashing.mix(key ^ hashing.mix(block)) >> np.uint64(16)
     key = np.where((several & ~key_first) | last, own, key)  # the first speaks for the key; the others go by block
     key, block, doc, tag, lo, wide, flags = (c[send] for c in (key, block, doc, tag, lo, wide, flags))
-    yield from _dealt((hashing.mix(key, 9) % np.uint64(plan.buckets)).astype(np.int64), [key, block, doc, tag, lo, wide.astype("u4"), flags])
+    # 40 bits of the key are left to tell keys of a bucket apart
+    yield from _dealt((hashing.mix(key, 9) % np.uint64(plan.buckets)).astype(np.int64), [doc, lo, tag, wide.astype("u4"), flags, key & np.uint64((1 << 40) - 1), block])
 
 
 def _reduced(plan: Plan, level: int) -> Callable:
@@ -223,7 +233,7 @@ def _reduced(plan: Plan, level: int) -> Callable:
         packed = rows.column("blob").to_pylist()
         if number >= plan.buckets:  # settled before: on to its group
             return _slots([(number - plan.buckets, b) for b in packed])
-        key, block, doc, tag, lo, wide, flags = blobs.unpack_all(packed, _ENTRY)
+        doc, lo, tag, wide, flags, key, block = _taken(packed, _ENTRY)
         order = np.argsort(key, kind="stable")
         near = key[order]
         tie = near[1:] == near[:-1]
@@ -235,7 +245,7 @@ def _reduced(plan: Plan, level: int) -> Callable:
         tell = removed | stays
         pick, removed = pick[order][tell], removed[tell]
         status = (removed * REMOVED + (flags[pick] & AGAIN)).astype("u1")
-        return _slots(list(_dealt(group_of(doc[pick], plan.groups), [doc[pick], tag[pick], lo[pick], wide[pick], status])))
+        return _slots(list(_dealt(group_of(doc[pick], plan.groups), [doc[pick], lo[pick], tag[pick], wide[pick], status])))
 
     return run
 
@@ -316,7 +326,7 @@ def _next_level(plan: Plan, level: int, window_key: Callable | None) -> Callable
     def run(slot: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         number = slot[0].as_py()
         group = Group(left.column("blob").to_pylist())
-        doc, tag, lo, wide, flags = blobs.unpack_all(right.column("blob").to_pylist(), _ANSWER)
+        doc, lo, tag, wide, flags = _taken(right.column("blob").to_pylist(), _ANSWER)
         row = group.rows(doc, tag)
         order = np.argsort(row, kind="stable")
         row, lo, wide, flags = row[order], lo[order], wide[order].astype(np.int64), flags[order]
@@ -351,7 +361,7 @@ def _next_level(plan: Plan, level: int, window_key: Callable | None) -> Callable
         if told:
             r, at, w = (np.concatenate(c) for c in zip(*told, strict=True))
             if len(r):
-                out.append((plan.buckets + number, blobs.pack([group.ids[r], group.tags[r], at, w.astype("u4"), np.full(len(r), REMOVED, "u1")])))
+                out += _dealt(np.full(len(r), plan.buckets + number), [group.ids[r], at, group.tags[r], w.astype("u4"), np.full(len(r), REMOVED, "u1")])
         out += _sent(plan, level, found, group.ids, group.tags, pieces)
         return _slots(out)
 
@@ -396,7 +406,7 @@ def _kept_words(data: np.ndarray, offsets: np.ndarray, gone: np.ndarray, starts:
 def _result(plan: Plan) -> Callable:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         group = Group(left.column("blob").to_pylist())
-        doc, tag, lo, wide, flags = blobs.unpack_all(right.column("blob").to_pylist(), _ANSWER)
+        doc, lo, tag, wide, flags = _taken(right.column("blob").to_pylist(), _ANSWER)
         gone = flags & REMOVED > 0
         row, lo, wide, flags = group.rows(doc[gone], tag[gone]), lo[gone], wide[gone].astype(np.int64), flags[gone]
         order = np.argsort(row, kind="stable")

@@ -7,9 +7,9 @@ buckets of depth 2q, these refined identifiers at i and i + q give depth 3q,
 and so on until the depth is n; identifiers are reused by the next refinement.
 Suffixes in one bucket of depth n begin with the same n bytes.
 
-The first pass materialises only the smallest q-gram of each n-byte string
-(see repeats.py), which loses no n-byte match and keeps unique text out of the
-refinement. Bucket identifiers are hashes, so that they are the same in all
+The first two depths, q and 2q, materialise only the smallest such string of
+each n-byte string (see repeats.py), which loses no n-byte match and keeps
+unique text out of the last refinement. Bucket identifiers are hashes, so that they are the same in all
 tasks and no global renumbering is needed.
 """
 
@@ -54,4 +54,4 @@ def dedup_bytes(docs: DataFrame, n: int = 50, q: int = 16, key: str = "doc_id",
     loses nothing; repeated rows get the same result; an empty table gives
     none; other columns are left out.
     """
-    return remove_repeats(docs, key, text, "bytes", n, (q, n), suffix_buckets)
+    return remove_repeats(docs, key, text, "bytes", n, (q, 2 * q, n) if 2 * q < n else (q, n), suffix_buckets)

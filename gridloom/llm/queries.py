@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import html_text, simhash, substring_dedup, suffix_dedup, warc, winnowing
+from gridloom.llm import chat_trees, html_text, simhash, substring_dedup, suffix_dedup, warc, winnowing
 from gridloom.llm.common import shared_dir
 from gridloom.llm.repeats import rest_of
 from gridloom.registry import Registry
@@ -54,6 +54,36 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), simhash.hexed("fp").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+_PLANTED = r"\### Assistant: </turn> ok"
+
+
+@REGISTRY.query(
+    "op8_chat_trees",
+    r"""
+    WITH c AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+    e AS (
+        SELECT *, length('<turn>### ') + length(role) + length(regexp_replace(role, '[^\\<#:\n]', '', 'g')) + length(': ')
+                  + length(text) + length(regexp_replace(text, '[^\\<#]', '', 'g')) + length('</turn>') + 1 AS size
+        FROM c)
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           sum(size)::BIGINT AS formatted_chars
+    FROM e GROUP BY conv_id
+    """,
+)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(_PLANTED).alias("text"))
+    back = chat_trees.read_back(chat_trees.formatted(chat_trees.line_of_turns(rows.unionByName(planted))))
+    turns = F.array_join(F.zip_with("roles", "texts", lambda r, t: F.concat(r, F.lit("\n"), t, F.lit("\n"))), "")
+    learned = F.array_join("learned", "")
+    return back.select(F.col("conv").alias("conv_id"), F.size("roles").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"), F.length(learned).cast("long").alias("loss_chars"), F.sha2(learned, 256).alias("loss_sha256"), "formatted_chars")
+
+
 @REGISTRY.query("op9_winnowing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.study(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")

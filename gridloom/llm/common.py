@@ -77,3 +77,13 @@ def batches_of(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         j = min(n, max(i + 1, j))
         yield i, j
         i = j
+
+
+#: Rows of a table that is sent to all executors.
+SMALL_ROWS = 4_000_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """The table, marked for broadcast if it is counted to have few rows; else Spark shuffles it."""
+    df = checkpointed(df)
+    return F.broadcast(df) if df.count() <= SMALL_ROWS else df

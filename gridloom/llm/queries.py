@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import chat_trees, html_text, simhash, substring_dedup, suffix_dedup, warc, winnowing
+from gridloom.llm import chat_trees, decontaminate, html_text, mixing, quality, simhash, substring_dedup, suffix_dedup, warc, winnowing
 from gridloom.llm.common import shared_dir
 from gridloom.llm.repeats import rest_of
 from gridloom.registry import Registry
@@ -54,6 +54,40 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), simhash.hexed("fp").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+@REGISTRY.query("op5_mixing", mixing.oracle())
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@REGISTRY.query(
+    "op6_decontaminate",
+    r"""
+    WITH dw AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    iw AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM benchmark),
+    sizes AS (SELECT item_id, w, least(5, len(w)) AS k FROM iw WHERE len(w) > 0),
+    s AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS t FROM sizes, LATERAL (SELECT unnest(range(1, len(w) - k + 2)) AS i)),
+    n AS (SELECT item_id, count(*) AS n FROM s GROUP BY ALL),
+    d AS (SELECT DISTINCT doc_id, k, array_to_string(w[i:i + k - 1], ' ') AS t
+          FROM dw, (SELECT DISTINCT k FROM sizes), LATERAL (SELECT unnest(range(1, len(w) - k + 2)) AS i)),
+    h AS (SELECT doc_id, item_id, count(*) AS m FROM d JOIN s USING (k, t) GROUP BY ALL)
+    SELECT doc_id, item_id, n AS n_shingles, m AS n_shared, m / n AS containment FROM h JOIN n USING (item_id) WHERE m >= ceil(0.8 * n - 1e-9)
+    """,
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnsRenamed({"id": "doc_id", "item": "item_id"})
+
+
+def trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents to learn good text from: labelled good and not toxic."""
+    return table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0").select("doc_id")
+
+
+@REGISTRY.query("op7_quality")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), trusted(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 _PLANTED = r"\### Assistant: </turn> ok"
 
 

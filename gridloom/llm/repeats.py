@@ -56,6 +56,7 @@ class Plan:
     levels: tuple[int, ...]
     groups: int
     buckets: int
+    whole: bool = False  # of bytes: a character that loses a byte is not kept
 
 
 class Chunk:
@@ -253,8 +254,8 @@ def _reduced(plan: Plan, level: int) -> Callable:
 # documents, dealt out
 
 
-def _packed_text(plan: Plan, part: pa.RecordBatch) -> Iterator[tuple[int, bytes]]:
-    """A batch's documents as one blob for each group; documents without an id go by their text."""
+def _packed_text(plan: Plan, part: pa.RecordBatch) -> Iterator[tuple[int, bytes, bytes | None]]:
+    """A batch's documents as one blob for each group, and what they carry as another; documents without an id go by their text."""
     data, offsets, there = buffers(part.column(1))
     ids = part.column(0)
     has_id = ids.is_valid().to_numpy(zero_copy_only=False)
@@ -263,17 +264,23 @@ def _packed_text(plan: Plan, part: pa.RecordBatch) -> Iterator[tuple[int, bytes]
     order = np.argsort(slot, kind="stable")
     cuts = np.flatnonzero(np.append(True, slot[order][1:] != slot[order][:-1])) if len(order) else []
     view = memoryview(data)
+    carried = buffers(part.column(2)) if part.num_columns > 2 else None
+    beside = memoryview(carried[0]) if carried is not None else None
     for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True) if len(order) else ():
         rows = order[a:b]
         body = b"".join(view[offsets[r] : offsets[r + 1]] for r in rows)
-        yield int(slot[rows[0]]), blobs.pack_text(ids[rows], has_id[rows] + 2 * there[rows], np.diff(offsets)[rows], body)
+        extra = None
+        if carried is not None:
+            extra = blobs.pack_text(ids[rows], carried[2][rows], np.diff(carried[1])[rows], b"".join(beside[carried[1][r] : carried[1][r + 1]] for r in rows))
+        yield int(slot[rows[0]]), blobs.pack_text(ids[rows], has_id[rows] + 2 * there[rows], np.diff(offsets)[rows], body), extra
 
 
 class Group:
     """A group's documents. Rows with one id and text are one here, twin tells which."""
 
-    def __init__(self, packed: list[bytes]) -> None:
+    def __init__(self, packed: list[bytes], extra: list[bytes] = ()) -> None:
         parts = [blobs.unpack_text(b) for b in packed]
+        self.carried = [blobs.unpack_text(b) for b in extra]
         self.ids = np.concatenate([p[0] for p in parts])
         self.has_id = np.concatenate([p[1] for p in parts]) & 1 > 0
         lengths = np.concatenate([p[2] for p in parts])
@@ -405,7 +412,7 @@ def _kept_words(data: np.ndarray, offsets: np.ndarray, gone: np.ndarray, starts:
 
 def _result(plan: Plan) -> Callable:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        group = Group(left.column("blob").to_pylist())
+        group = Group(left.column("blob").to_pylist(), left.column("extra").to_pylist() if "extra" in left.column_names else ())
         doc, lo, tag, wide, flags = _taken(right.column("blob").to_pylist(), _ANSWER)
         gone = flags & REMOVED > 0
         row, lo, wide, flags = group.rows(doc[gone], tag[gone]), lo[gone], wide[gone].astype(np.int64), flags[gone]
@@ -451,7 +458,11 @@ def _result(plan: Plan) -> Callable:
             if plan.kind == "words":
                 kept, size = _kept_words(data, offsets, gone, starts, ends, counts)
             else:
-                kept, size = data[~gone], np.concatenate([[0], np.cumsum(~gone)])[offsets]
+                stay = ~gone
+                if plan.whole and gone.any():
+                    lead = np.flatnonzero(data & 0xC0 != 0x80)
+                    stay = ~np.repeat(np.logical_or.reduceat(gone, lead), np.diff(np.append(lead, len(data))))
+                kept, size = data[stay], np.concatenate([[0], np.cumsum(stay)])[offsets]
             removed = np.concatenate([[0], np.cumsum(gone)])[counts]
             spans = np.searchsorted(r, np.arange(j - i + 1))
             twin = group.twin[i:j]
@@ -475,17 +486,25 @@ def _rows(plan: Plan, group: Group, out: list[tuple]) -> pa.Table:
     spans, sizes = np.concatenate(spans), np.concatenate(sizes)
     struct = pa.StructArray.from_arrays([pa.array(np.concatenate([x[3] for x in out])), pa.array(np.concatenate([x[4] for x in out]))], ["start", "end"])
     listed = pa.ListArray.from_arrays(pa.array(spans, pa.int32()), struct)
-    kind = pa.large_string() if plan.kind == "words" else pa.large_binary()
+    text = plan.kind == "words" or plan.whole
+    kind = pa.large_string() if text else pa.large_binary()
     kept = pa.Array.from_buffers(kind, len(n_units), [None, pa.py_buffer(sizes.astype(np.int64).tobytes()), pa.py_buffer(b"".join(x[5].tobytes() for x in out))])
     ids = pa.array(group.ids, pa.int64(), mask=~group.has_id)
-    rows = pa.table([ids, pa.array(n_units, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(np.diff(spans), pa.int64()), listed, kept.cast(pa.string() if plan.kind == "words" else pa.binary())], ["id", "n_units", "n_removed", "n_spans", "spans", "kept"])
+    rows = pa.table([ids, pa.array(n_units, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(np.diff(spans), pa.int64()), listed, kept.cast(pa.string() if text else pa.binary())], ["id", "n_units", "n_removed", "n_spans", "spans", "kept"])
     if (group.twin != np.arange(len(group.twin))).any():
         rows = rows.take(pa.array(group.twin))
+    if group.carried:
+        sizes = np.concatenate([[0], np.cumsum(np.concatenate([c[2] for c in group.carried]))])
+        body = b"".join(c[3] for c in group.carried)
+        rows = rows.append_column("carried", pa.Array.from_buffers(pa.large_string(), len(n_units), [None, pa.py_buffer(sizes.astype(np.int64).tobytes()), pa.py_buffer(body)]).cast(pa.string()))
     return rows
 
 
-def remove_repeats(docs: DataFrame, key: str, text: str, kind: str, n: int, levels: tuple[int, ...], window_key: Callable | None = None) -> DataFrame:
-    """Per row of docs: id, n_units, n_removed, n_spans, spans (start, end in units), kept (string for words, binary for bytes).
+def remove_repeats(docs: DataFrame, key: str, text: str, kind: str, n: int, levels: tuple[int, ...], window_key: Callable | None = None, carry: F.Column | None = None, whole: bool = False) -> DataFrame:
+    """Per row of docs: id, n_units, n_removed, n_spans, spans (start, end in units), kept (string for words, binary for bytes), and carried.
+
+    whole: of bytes, kept is a string without the characters that lose a byte.
+    carry is a string to bring along from each row, so that no join need find the row again.
 
     A unit goes if a window of n units over it also starts in a document with
     a smaller id. A null text has no units. A row with a null id loses nothing
@@ -496,12 +515,15 @@ def remove_repeats(docs: DataFrame, key: str, text: str, kind: str, n: int, leve
     spark = docs.sparkSession
     rows = docs.select(docs[key].cast("long").alias("id"), docs[text].cast("string").alias("text"))
     total = text_bytes(rows)
-    plan = Plan(kind, n, tuple(levels), parts_for(spark, total, GROUP_BYTES), parts_for(spark, total, BUCKET_BYTES))
+    plan = Plan(kind, n, tuple(levels), parts_for(spark, total, GROUP_BYTES), parts_for(spark, total, BUCKET_BYTES), whole)
     schema = "slot bigint, blob binary"
 
     def packed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            yield from _slots(list(_packed_text(plan, part))).to_batches()
+            found = list(_packed_text(plan, part))
+            columns = [pa.array([x[k] for x in found], t) for k, t in ((0, pa.int64()), (1, pa.binary()), (2, pa.binary()))]
+            wide = part.num_columns > 2
+            yield pa.RecordBatch.from_arrays(columns if wide else columns[:2], ["slot", "blob", "extra"][: 2 + wide])
 
     documents = rows.mapInArrow(packed, schema)
     sent = rows.mapInArrow(_first_level(plan, window_key), schema)
@@ -509,8 +531,11 @@ def remove_repeats(docs: DataFrame, key: str, text: str, kind: str, n: int, leve
         answers = sent.groupBy("slot").applyInArrow(_reduced(plan, level), schema)
         if level + 1 < len(levels):
             sent = documents.groupBy("slot").cogroup(answers.groupBy("slot")).applyInArrow(_next_level(plan, level + 1, window_key), schema)
-    kept = "string" if kind == "words" else "binary"
+    kept = "string" if kind == "words" or whole else "binary"
     result = "id bigint, n_units bigint, n_removed bigint, n_spans bigint, spans array<struct<start:bigint,end:bigint>>, kept " + kept
+    if carry is not None:
+        beside = docs.select(docs[key].cast("long").alias("id"), docs[text].cast("string").alias("text"), F.coalesce(carry, F.lit("")).alias("carry"))
+        documents, result = beside.mapInArrow(packed, schema + ", extra binary"), result + ", carried string"
     return documents.groupBy("slot").cogroup(answers.groupBy("slot")).applyInArrow(_result(plan), result)
 
 

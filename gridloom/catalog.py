@@ -1,7 +1,10 @@
-"""All queries of the engine itself; importing the query modules registers them."""
+"""All queries of the engine itself."""
 
 from __future__ import annotations
 
+from gridloom.queries import spaces
 from gridloom.registry import Registry
 
 REGISTRY = Registry()
+for _module in (spaces,):
+    _module.register(REGISTRY)

@@ -75,8 +75,9 @@ def paths(tree: DataFrame, top: int | None = None) -> DataFrame:
         before, left = left, hops[-1].where("up IS NOT NULL").count()
         if left in (0, before):
             break
-        a, b = hops[-1].alias("a"), _up(hops[-1]).alias("b")
-        wider = a.join(b, _same("a", "b") & (F.col("a.up") == F.col("b.node")), "left").select("a.conv", "a.node", "a.dup", F.col("b.up").alias("up"), (F.col("a.n") + F.coalesce("b.n", F.lit(0))).alias("n"), (F.col("a.score") + F.coalesce("b.score", F.lit(0.0))).alias("score"))
+        open_, known = hops[-1].where("up IS NOT NULL").alias("a"), _up(hops[-1]).alias("b")
+        wider = open_.join(known, _same("a", "b") & (F.col("a.up") == F.col("b.node"))).select("a.conv", "a.node", "a.dup", "b.up", (F.col("a.n") + F.col("b.n")).alias("n"), (F.col("a.score") + F.col("b.score")).alias("score"))
+        wider = wider.unionByName(hops[-1].where("up IS NULL"))  # those that see their root are done
         hops.append(checkpointed(wider))
     whole = hops[-1].where("up IS NULL").alias("w")
     answered = own.where("parent IS NOT NULL").select("conv", F.col("parent").alias("node"), F.lit(0).alias("dup")).distinct().alias("x")

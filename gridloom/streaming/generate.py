@@ -18,6 +18,10 @@ class EmptyAnswer(Exception):
     """The model gave nothing usable."""
 
 
+class ShortAnswer(Exception):
+    """The answer is below the least length."""
+
+
 class Client(Protocol):
     """What generation needs of an endpoint: text for a prompt."""
 
@@ -26,8 +30,8 @@ class Client(Protocol):
 
 def reason_of(error: Exception) -> str:
     """The failure class of an exception."""
-    if isinstance(error, EmptyAnswer):
-        return "empty_content"
+    if isinstance(error, EmptyAnswer | ShortAnswer):
+        return "empty_content" if isinstance(error, EmptyAnswer) else "answer_too_short"
     if isinstance(error, TimeoutError):
         return "timeout"
     return "transport_error" if isinstance(error, ConnectionError) else "unexpected_error"
@@ -45,7 +49,7 @@ def one(client: Client, n_turns: int, system: str | None, ask: str) -> tuple[lis
         contents.append(text)
     answer = client.chat("answer", "\n".join(contents)).strip()
     if len(answer) < records.LEAST_ANSWER:
-        raise ValueError("answer_too_short")
+        raise ShortAnswer
     return roles, contents, answer
 
 
@@ -60,7 +64,7 @@ def generate(specs: DataFrame, client: Callable[[], Client], concurrency: int) -
                 try:
                     out.append((r.id, *one(own, int(r.n_turns), r.system, r.ask), None))
                 except Exception as e:  # noqa: BLE001  each row fails by itself, and says why
-                    out.append((r.id, None, None, None, str(e) if str(e) == "answer_too_short" else reason_of(e)))
+                    out.append((r.id, None, None, None, reason_of(e)))
             yield pd.DataFrame(out, columns=["id", "roles", "contents", "answer", "reason"])
 
     return specs.select("id", "n_turns", "system", "ask").repartition(concurrency).mapInPandas(run, GENERATED)

@@ -64,7 +64,7 @@ def record(key: int | None, url: str | None, payload: bytes, first: int | None,
 
 def member(data: bytes) -> bytes:
     """One gzip member without a time stamp."""
-    z = zlib.compressobj(6, zlib.DEFLATED, 31)
+    z = zlib.compressobj(4, zlib.DEFLATED, 31)
     return z.compress(data) + z.flush()
 
 

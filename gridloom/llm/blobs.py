@@ -34,7 +34,7 @@ def unpack_all(blobs: list[bytes], dtypes: list[str]) -> list[np.ndarray]:
     return [np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, d) for k, d in enumerate(dtypes)]
 
 
-def pack_text(ids: np.ndarray, state: np.ndarray, lengths: np.ndarray, data: bytes, level: int = 1) -> bytes:
+def pack_text(ids: np.ndarray, state: np.ndarray, lengths: np.ndarray, data: bytes, level: int = 3) -> bytes:
     """Documents: id, state, length of each, and the bytes of all."""
     head = b"".join([_HEAD.pack(len(ids)), ids.astype("<i8").tobytes(), state.astype("u1").tobytes(), lengths.astype("<i8").tobytes()])
     return zstandard.ZstdCompressor(level=level).compress(head + data)

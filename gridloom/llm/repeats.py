@@ -35,6 +35,8 @@ from gridloom.llm.common import batches_of, buffers, parts_for, text_bytes
 CHUNK, CUT = 1 << 18, 1 << 20
 #: Text bytes in a group of documents, and text bytes behind the rows of a bucket.
 GROUP_BYTES, BUCKET_BYTES = 8 << 20, 16 << 20
+#: Text bytes whose runs a map task holds and settles at once.
+BATCH_BYTES = 10 << 20
 
 _ENTRY = ["<i8", "<i8", "<u4", "<u4", "u1", "<u8", "<u8"]  # id, lo, tag, hi - lo, flags, key, block
 _ANSWER = _ENTRY[:5]
@@ -190,7 +192,10 @@ def _taken(packed: list[bytes], dtypes: list[str]) -> list[np.ndarray]:
     parts = [blobs.unpack(b, dtypes) for b in packed]
     for p in parts:
         p[0], p[1] = np.cumsum(p[0]), np.cumsum(p[1])
-    return [np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, d) for k, d in enumerate(dtypes)]
+    out = []
+    for d in dtypes:
+        out.append(np.concatenate([p.pop(0) for p in parts]) if parts else np.zeros(0, d))
+    return out
 
 
 def _sent(plan: Plan, level: int, found: list[tuple[np.ndarray, ...]], ids: np.ndarray, tags: np.ndarray, alone: np.ndarray) -> Iterator[tuple[int, bytes]]:
@@ -381,12 +386,13 @@ def _first_level(plan: Plan, window_key: Callable | None) -> Callable:
             data, offsets, _ = buffers(part.column(1))
             has_id = part.column(0).is_valid().to_numpy(zero_copy_only=False)
             ids = part.column(0).fill_null(0).to_numpy(zero_copy_only=False)
-            found, pieces = [], np.zeros(len(ids), bool)
-            for chunk in chunks(plan, data, offsets, has_id):
-                pieces[chunk.docs[0]] |= chunk.shift > 0 or len(chunk.units) == CUT
-                found.append(entries(plan, 0, chunk, chunk.starts(plan.n), window_key))
-            rows = list(_sent(plan, 0, found, ids, _tags(data, offsets), pieces))
-            yield from _slots(rows).to_batches()
+            for i, j in batches_of(offsets, BATCH_BYTES):
+                own, off = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+                found, pieces = [], np.zeros(j - i, bool)
+                for chunk in chunks(plan, own, off, has_id[i:j]):
+                    pieces[chunk.docs[0]] |= chunk.shift > 0 or len(chunk.units) == CUT
+                    found.append(entries(plan, 0, chunk, chunk.starts(plan.n), window_key))
+                yield from _slots(list(_sent(plan, 0, found, ids[i:j], _tags(own, off), pieces))).to_batches()
 
     return run
 
@@ -525,7 +531,11 @@ def remove_repeats(docs: DataFrame, key: str, text: str, kind: str, n: int, leve
             wide = part.num_columns > 2
             yield pa.RecordBatch.from_arrays(columns if wide else columns[:2], ["slot", "blob", "extra"][: 2 + wide])
 
-    documents = rows.mapInArrow(packed, schema)
+    if carry is None:
+        documents = rows.mapInArrow(packed, schema)
+    else:
+        beside = docs.select(docs[key].cast("long").alias("id"), docs[text].cast("string").alias("text"), F.coalesce(carry, F.lit("")).alias("carry"))
+        documents = beside.mapInArrow(packed, schema + ", extra binary")
     sent = rows.mapInArrow(_first_level(plan, window_key), schema)
     for level in range(len(levels)):
         answers = sent.groupBy("slot").applyInArrow(_reduced(plan, level), schema)
@@ -534,8 +544,7 @@ def remove_repeats(docs: DataFrame, key: str, text: str, kind: str, n: int, leve
     kept = "string" if kind == "words" or whole else "binary"
     result = "id bigint, n_units bigint, n_removed bigint, n_spans bigint, spans array<struct<start:bigint,end:bigint>>, kept " + kept
     if carry is not None:
-        beside = docs.select(docs[key].cast("long").alias("id"), docs[text].cast("string").alias("text"), F.coalesce(carry, F.lit("")).alias("carry"))
-        documents, result = beside.mapInArrow(packed, schema + ", extra binary"), result + ", carried string"
+        result += ", carried string"
     return documents.groupBy("slot").cogroup(answers.groupBy("slot")).applyInArrow(_result(plan), result)
 
 

@@ -30,6 +30,7 @@ from gridloom.llm.common import buffers, checkpointed
 
 #: Payload bytes of a shard, and compressed bytes at which a file ends.
 SHARD_BYTES, FILE_BYTES = 32 << 20, 16 << 20
+_READ = 8 << 10
 _SPACE = uuid.UUID("6f1d3a52-9a44-4e7b-8f7e-2f9f0b6c1d11")
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 
@@ -200,11 +201,17 @@ def write(pages: DataFrame, out: str, key: str = "page_id", url: str = "url", pa
 
 def records(data: bytes) -> Iterator[tuple[dict[str, str], memoryview]]:
     """Headers and block of each record of a file, one gzip member after the other."""
-    rest = memoryview(data)
-    while len(rest):
-        z = zlib.decompressobj(31)
-        whole = z.decompress(rest)
-        rest = rest[len(rest) - len(z.unused_data) :]
+    view, at = memoryview(data), 0
+    while at < len(view):
+        z, parts = zlib.decompressobj(31), []
+        while not z.eof:
+            piece = view[at : at + _READ]  # what lies behind the member is copied, so pieces are small
+            if not len(piece):
+                raise ValueError("the file ends within a record")
+            parts.append(z.decompress(piece))
+            at += len(piece)
+        at -= len(z.unused_data)
+        whole = b"".join(parts)
         head, _, body = whole.partition(b"\r\n\r\n")
         lines = head.decode().split("\r\n")
         if not lines[0].startswith("WARC/"):

@@ -42,6 +42,19 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Rows and bytes of text in one Arrow batch between Spark and Python.
+BATCH_ROWS, BATCH_TEXT = 2_500, 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches to what a small executor can hold twice over, whole documents being large rows."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_TEXT)):
+        name = f"spark.sql.execution.arrow.{name}"
+        now = str(spark.conf.get(name)).lower().removesuffix("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(name, str(most))
+
+
 def text_bytes(df: DataFrame, column: str = "text") -> int:
     """Bytes of text in all rows: sizes groups so that each fits a task."""
     return df.agg(F.coalesce(F.sum(F.octet_length(column)), F.lit(0)).alias("n")).first()["n"]

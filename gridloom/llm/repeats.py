@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm import blobs, hashing
-from gridloom.llm.common import batches_of, buffers, parts_for, text_bytes
+from gridloom.llm.common import batches_of, bounded_batches, buffers, parts_for, text_bytes
 
 #: Units in a chunk; a longer document is its own chunk, up to CUT, and is cut with overlap beyond.
 CHUNK, CUT = 1 << 18, 1 << 20
@@ -198,6 +198,19 @@ def _taken(packed: list[bytes], dtypes: list[str]) -> list[np.ndarray]:
     return out
 
 
+def _merged(doc: np.ndarray, lo: np.ndarray, wide: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same places in as few runs as can be; doc numbers the documents."""
+    if not len(doc):
+        return doc, lo, wide
+    order = np.lexsort((lo, doc))
+    doc, lo, hi = doc[order], lo[order], (lo + wide)[order]
+    step = int(hi.max()) + 3  # documents are kept apart
+    end = np.maximum.accumulate(hi + doc * step)
+    first = np.flatnonzero(np.append(True, lo[1:] + doc[1:] * step > end[:-1] + 1))
+    last = np.append(first[1:], len(doc)) - 1
+    return doc[first], lo[first], end[last] - doc[last] * step - lo[first]
+
+
 def _sent(plan: Plan, level: int, found: list[tuple[np.ndarray, ...]], ids: np.ndarray, tags: np.ndarray, alone: np.ndarray) -> Iterator[tuple[int, bytes]]:
     """What a task sends of its runs: one row for a key and block to its bucket, what is settled here to its group.
 
@@ -205,7 +218,7 @@ def _sent(plan: Plan, level: int, found: list[tuple[np.ndarray, ...]], ids: np.n
     """
     if not found:
         return
-    key, block, row, lo, wide = (np.concatenate(c) for c in zip(*found, strict=True))
+    key, block, row, lo, wide = (np.concatenate(c) for c in zip(*found, strict=True))  # row is small and not negative
     if not len(key):
         return
     last = plan.levels[level] == plan.n
@@ -213,7 +226,8 @@ def _sent(plan: Plan, level: int, found: list[tuple[np.ndarray, ...]], ids: np.n
     order, removed, open_, new_id, several = _settle(key, block, doc, np.zeros(len(key), bool), last)
     key, block, doc, tag, lo, wide, row = (c[order] for c in (key, block, doc, tag, lo, wide, row))
     if removed.any():
-        yield from _dealt(plan.buckets + group_of(doc[removed], plan.groups), [doc[removed], lo[removed], tag[removed], wide[removed].astype("u4"), np.full(removed.sum(), REMOVED, "u1")])  # each place is told by itself
+        r, at, width = _merged(row[removed], lo[removed], wide[removed])
+        yield from _dealt(plan.buckets + group_of(ids[r], plan.groups), [ids[r], at, tags[r], width.astype("u4"), np.full(len(r), REMOVED, "u1")])
     # rows with one id but other texts don't settle each other: each keeps its own first row
     new_tag = new_id.copy()
     new_tag[1:] |= tag[1:] != tag[:-1]
@@ -354,7 +368,7 @@ def _next_level(plan: Plan, level: int, window_key: Callable | None) -> Callable
             at, w, f = lo[a:b] - chunk.shift + chunk.offsets[k], wide[a:b], flags[a:b]
             piece = chunk.shift > 0 or len(chunk.units) == CUT
             pieces[chunk.docs[0]] |= piece
-            if piece:
+            if piece:  # runs of open windows are never longer than a window, so that each is in a piece
                 inside = (at >= 0) & (at + w + plan.n <= len(chunk.units))
                 k, at, w, f = k[inside], at[inside], w[inside], f[inside]
             more = f & AGAIN > 0
@@ -371,7 +385,7 @@ def _next_level(plan: Plan, level: int, window_key: Callable | None) -> Callable
             candidates = np.cumsum(steps[:-1]) > 0
             found.append(entries(plan, level, chunk, candidates, window_key))
         if told:
-            r, at, w = (np.concatenate(c) for c in zip(*told, strict=True))
+            r, at, w = _merged(*(np.concatenate(c) for c in zip(*told, strict=True)))
             if len(r):
                 out += _dealt(np.full(len(r), plan.buckets + number), [group.ids[r], at, group.tags[r], w.astype("u4"), np.full(len(r), REMOVED, "u1")])
         out += _sent(plan, level, found, group.ids, group.tags, pieces)
@@ -519,6 +533,7 @@ def remove_repeats(docs: DataFrame, key: str, text: str, kind: str, n: int, leve
     if levels[-1] != n or list(levels) != sorted(set(levels)):
         raise ValueError("levels must rise to n")
     spark = docs.sparkSession
+    bounded_batches(spark)
     rows = docs.select(docs[key].cast("long").alias("id"), docs[text].cast("string").alias("text"))
     total = text_bytes(rows)
     plan = Plan(kind, n, tuple(levels), parts_for(spark, total, GROUP_BYTES), parts_for(spark, total, BUCKET_BYTES), whole)

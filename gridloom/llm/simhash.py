@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm import blobs, hashing
-from gridloom.llm.common import buffers, checkpointed
+from gridloom.llm.common import bounded_batches, buffers, checkpointed
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: Buckets of up to so many fingerprints are compared pair by pair.
@@ -246,6 +246,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     null id is in its component but never the smallest; a component of null
     ids alone has a null id. Repeated rows are in one component.
     """
+    bounded_batches(docs.sparkSession)
     rows = checkpointed(fingerprints(docs, key, text, size))
     nodes = rows.groupBy("fp").agg(F.min("id").alias("least"))
     roots = components(links(nodes, k)).withColumnRenamed("node", "fp")

@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm import decontaminate, mixing, quality, simhash, suffix_dedup
+from gridloom.llm import decontaminate, mixing, quality, similar, suffix_dedup
 from gridloom.llm.common import checkpointed, small
 from gridloom.session import table
 
-#: Bits in which near duplicates' fingerprints of five-word shingles may differ.
+#: Bits within which fingerprints of five-word shingles are compared before all others; what counts is a similarity of 0.8.
 NEAR_BITS = 6
 
 
@@ -34,9 +34,9 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays; of repeated rows one."""
+    """Of each group of documents that share 0.8 of their five-word shingles the one with the smallest id stays; of repeated rows one."""
     rows = _keyed(docs)
-    found = simhash.near_duplicates(rows, key="_key", size=5, k=NEAR_BITS)
+    found = checkpointed(similar.near_duplicates(rows, key="_key", size=5, k=NEAR_BITS))
     gone = small(found.where("id <> component").select(F.col("id").alias("_gone")).distinct())
     twice = small(found.groupBy("id").count().where("count > 1").select(F.col("id").alias("_twice")))
     kept = rows.join(gone, F.col("_key") == F.col("_gone"), "left_anti")

@@ -1,16 +1,14 @@
-"""Suffix-array dedup by bucket-pointer refinement.
-
-Suffixes start at every byte. Their initial buckets are the q-grams they begin
-with. A bucket that one document alone has is done with; the others are
-refined by the bucket identifiers of later offsets: (b[i], b[i + q]) gives
-buckets of depth 2q, these refined identifiers at i and i + q give depth 3q,
-and so on until the depth is n; identifiers are reused by the next refinement.
-Suffixes in one bucket of depth n begin with the same n bytes.
-
-The first two depths, q and 2q, materialise only the smallest such string of
-each n-byte string (see repeats.py), which loses no n-byte match and keeps
-unique text out of the last refinement. Bucket identifiers are hashes, so that they are the same in all
-tasks and no global renumbering is needed.
+"""Suffix-array dedup with buckets in place of a sorted suffix array.
+
+Suffixes start at every byte. The first two depths, q and 2q, are the shared
+minimizer levels of repeats.py: they materialise only the smallest such string
+of each n-byte string, which loses no n-byte match and keeps unique text out of
+the last depth. At depth n a window's bucket is a hash folded from the q-gram
+hashes at its offsets. Refined identifiers are not reused by a further
+refinement, and no bucket is sorted on identifiers of later offsets, as
+bucket-pointer refinement would do. Suffixes in one bucket of depth n begin
+with the same n bytes. Bucket identifiers are hashes, so that they are the same
+in all tasks and no global renumbering is needed.
 """
 
 from __future__ import annotations
@@ -35,7 +33,7 @@ def depths(q: int, n: int) -> list[int]:
 
 
 def suffix_buckets(plan: Plan, chunk: Chunk, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent identifiers of each suffix's bucket of depth n, by refinement of q-gram buckets."""
+    """Two independent identifiers of each suffix's bucket of depth n, folded from the q-gram hashes at its offsets."""
     q, out = plan.levels[0], []
     for roll in (chunk.roll, hashing.second(chunk.units)):
         initial = hashing.mix(roll.every(q))

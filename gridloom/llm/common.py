@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Space and the five ASCII control characters from tab to carriage return part words.
 SPACE = np.zeros(256, bool)
@@ -47,7 +48,10 @@ BATCH_ROWS, BATCH_TEXT = 2_500, 8 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Lowers the session's Arrow batches to what a small executor can hold twice over, whole documents being large rows."""
+    """Lowers the session's Arrow batches to what a small executor can hold twice over, whole documents being large rows.
+
+    Plans run later than they are made, so the setting stays; every operator that sends texts makes it, so that all behave alike whichever came first.
+    """
     for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_TEXT)):
         name = f"spark.sql.execution.arrow.{name}"
         now = str(spark.conf.get(name)).lower().removesuffix("b")
@@ -92,11 +96,32 @@ def batches_of(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         i = j
 
 
-#: Rows of a table that is sent to all executors.
-SMALL_ROWS = 4_000_000
+#: Bytes of a table that is sent to all executors.
+SMALL_BYTES = 64 << 20
+
+
+def table_bytes(df: DataFrame) -> int:
+    """About how many bytes the rows take: 16 for a row, 8 for a value, and the lengths of strings."""
+    size = F.lit(16 + 8 * len(df.columns))
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.StringType | T.BinaryType):
+            size = size + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+    return df.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0)).alias("n")).first()["n"]
 
 
 def small(df: DataFrame) -> DataFrame:
-    """The table, marked for broadcast if it is counted to have few rows; else Spark shuffles it."""
+    """The table, marked for broadcast if its rows are found to take few bytes; else Spark shuffles it."""
     df = checkpointed(df)
-    return F.broadcast(df) if df.count() <= SMALL_ROWS else df
+    return F.broadcast(df) if table_bytes(df) <= SMALL_BYTES else df
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores behind it until the table has no such column, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

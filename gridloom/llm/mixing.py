@@ -2,40 +2,42 @@
 
 Documents are summed into cells of source, language and topic. The cells' token
 weights are raked in turn to the wanted shares of each source, language and
-topic until the rounds are over. A cell's documents are then drawn with the
-probability that turns its tokens into its raked weight: scaled so that the
-expected tokens meet the budget, at most 1; what a full cell cannot give, the
-others give in proportion. A document's draw is a hash of its id and the seed.
+topic until all of them are met. A cell's documents are then drawn with the
+probability that turns its tokens into its raked weight. One factor serves all
+cells, the largest that leaves no probability above 1 (or a smaller one that
+meets a budget), so that the expected tokens have the raked shares exactly.
+A document's draw is a hash of its id and the seed.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import WORD, checkpointed, small
+from gridloom.llm.common import WORD, checkpointed, fresh, small
 
-#: Topics by what a text shows, the first that fits; none of them: prose.
-TOPICS = (("symbols", r"[#$%&*]{3}"), ("contact", r"[A-Za-z0-9._]+@[A-Za-z0-9]|https?://"), ("legal", r"[Ll]icen[sc]e|[Cc]opyright|©"), ("figures", r"[0-9]{4}"))
 DIMENSIONS = ("source", "lang", "topic")
-#: Wanted shares are the present ones to this power, made to sum to 1: 1 leaves them, 0 makes them equal.
-POWERS = (0.5, 0.7, 0.6)
-ROUNDS, FILLS = 12, 12
+#: In place of a value: all values without a share of their own.
+REST = "*"
+Targets = dict[str, dict[str, float]]
+#: Wanted shares of tokens. What is not named shares the rest in proportion to its tokens.
+TARGETS: Targets = {
+    "source": {**{f"src{i}": 0.049 for i in range(20)}, REST: 0.02},
+    "lang": {"en": 0.5, "fr": 0.18, "de": 0.18, "es": 0.12, REST: 0.02},
+    "topic": {"prose": 0.85, "figures": 0.055, "legal": 0.04, "contact": 0.01, "symbols": 0.045},
+}
+#: Rounds at most, rounds between two looks at the shares, and how far a share may be off.
+ROUNDS, LOOK, TOLERANCE = 60, 6, 1e-12
 SCALE = float(1 << 48)
 
 
 def topic_of(text: Column) -> Column:
-    found = F.lit("prose")
-    for name, pattern in reversed(TOPICS):
-        found = F.when(text.rlike(pattern), name).otherwise(found)
-    return found
-
-
-def facts(docs: DataFrame, key: str, text: str, source: str, lang: str) -> list[Column]:
-    """id, source, lang, topic, tokens, draw (uniform from 0 to 1) of each row."""
-    body = F.coalesce(docs[text], F.lit(""))
-    name = F.coalesce(docs[key].cast("string"), F.concat(F.lit("text "), body))
-    return [docs[key].alias("id"), F.coalesce(docs[source], F.lit("")).alias("source"), F.coalesce(docs[lang], F.lit("")).alias("lang"), topic_of(body).alias("topic"), F.regexp_count(body, F.lit(WORD)).cast("long").alias("tokens"), name.alias("name")]
+    """The first that a text shows: runs of symbols, mail or web addresses, licences, numbers of four digits; else prose."""
+    contact = text.contains("@") & text.rlike("[A-Za-z0-9._]@[A-Za-z0-9]") | text.contains("http://") | text.contains("https://")
+    legal = reduce(Column.__or__, (text.contains(w) for w in ("License", "license", "Licence", "licence", "Copyright", "copyright", "©")))
+    return F.when(text.rlike("[#$%&*]{3}"), "symbols").when(contact, "contact").when(legal, "legal").when(text.rlike("[0-9]{4}"), "figures").otherwise("prose")
 
 
 def draw(name: Column, seed: int) -> Column:
@@ -43,78 +45,117 @@ def draw(name: Column, seed: int) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), name)), 1, 12), 16, 10).cast("double") / SCALE
 
 
-def fitted(cells: DataFrame, rounds: int = ROUNDS, powers: tuple[float, ...] = POWERS) -> DataFrame:
-    """cells (source, lang, topic, tokens) with their raked weight w, in proportion. Each round fits every dimension once; cells without a token go."""
-    cells = cells.where("tokens > 0")
-    for d, p in zip(DIMENSIONS, powers, strict=True):
-        wanted = cells.groupBy(d).agg(F.pow(F.sum("tokens").cast("double"), F.lit(p)).alias(f"t_{d}"))
-        cells = cells.join(wanted, d)
+def _facts(docs: DataFrame, key: str, text: str, source: str, lang: str, seed: int) -> dict[str, Column]:
+    """source, lang, topic, tokens, draw of each row."""
+    body = F.coalesce(docs[text].cast("string"), F.lit(""))
+    name = F.coalesce(docs[key].cast("string"), F.concat(F.lit("text "), body))
+    return {"source": F.coalesce(docs[source].cast("string"), F.lit("")), "lang": F.coalesce(docs[lang].cast("string"), F.lit("")), "topic": topic_of(body), "tokens": F.regexp_count(body, F.lit(WORD)).cast("long"), "draw": draw(name, seed), "empty": ~body.rlike(WORD)}
+
+
+def wanted(cells: DataFrame, d: str, targets: Targets) -> DataFrame:
+    """d and t_<d>: the wanted share of each value that cells have; they sum to 1. Without targets the present ones."""
+    have = cells.groupBy(d).agg(F.sum("tokens").cast("double").alias("have"))
+    shares = [(v, float(s)) for v, s in targets.get(d, {}).items() if v != REST]
+    rest = float(targets[d].get(REST, 0.0)) if d in targets else 1.0
+    named = have.join(cells.sparkSession.createDataFrame(shares, "value string, share double"), F.col(d) == F.col("value"), "left")
+    sums = named.agg(F.sum(F.when(F.col("share").isNull(), F.col("have"))).alias("unnamed"), F.sum("share").alias("named"))
+    whole = F.coalesce(F.col("named"), F.lit(0.0)) + F.when(F.col("unnamed").isNotNull(), F.lit(rest)).otherwise(0.0)
+    share = F.coalesce(F.col("share"), F.lit(rest) * F.col("have") / F.col("unnamed")) / F.when(whole > 0, whole)
+    return named.crossJoin(F.broadcast(sums)).select(d, F.coalesce(share, F.lit(0.0)).alias(f"t_{d}"))  # sums is one row
+
+
+def fitted(cells: DataFrame, targets: Targets = TARGETS, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
+    """cells (source, lang, topic, tokens) with wanted shares t_<dimension> and the raked weight w; weights sum to 1.
+
+    A round fits every dimension once. It ends when every share is within
+    `tolerance` of the wanted one, or after `rounds` where the cells can't meet
+    all targets. Cells without a token go; a repeated cell counts as one.
+    """
+    cells = cells.where("tokens > 0").groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens"))
+    cells = checkpointed(cells)
+    for d in DIMENSIONS:
+        cells = cells.join(wanted(cells, d, targets), d)
     cells = checkpointed(cells.withColumn("w", F.col("tokens").cast("double")))
-    for _ in range(rounds):
-        for d in DIMENSIONS:
-            cells = cells.withColumn("w", F.col("w") * F.col(f"t_{d}") / F.sum("w").over(Window.partitionBy(d)))
-    return checkpointed(cells.select(*DIMENSIONS, "tokens", "w"))
-
-
-def probabilities(cells: DataFrame, budget: float, fills: int = FILLS) -> DataFrame:
-    """fitted() cells with p, the probability of their documents; together they keep `budget` of all tokens, or all of them."""
-    factor = 0.0
-    total = cells.agg(F.sum("tokens").alias("n")).first()["n"] or 0
-    for _ in range(fills):
-        full = F.col("w") * factor >= F.col("tokens")
-        s = cells.agg(F.sum(F.when(full, F.col("tokens"))).alias("held"), F.sum(F.when(~full, F.col("w"))).alias("rest")).first()
-        if not s["rest"]:
-            break
-        wider = max(factor, (budget * total - (s["held"] or 0)) / s["rest"])
-        if wider == factor:
+    for done in range(0, rounds, LOOK):
+        for _ in range(min(LOOK, rounds - done)):
+            for d in DIMENSIONS:
+                cells = cells.withColumn("w", F.coalesce(F.col("w") * F.col(f"t_{d}") / F.sum("w").over(Window.partitionBy(d)), F.lit(0.0)))
+        cells = checkpointed(cells)
+        if _off(cells) <= tolerance:
             break
-        factor = wider
-    return cells.withColumn("p", F.round(F.least(F.lit(1.0), F.col("w") * factor / F.col("tokens")), 9))
+    return cells
+
+
+def _off(cells: DataFrame) -> float:
+    """The most that a raked share is off."""
+    each = (cells.groupBy(d).agg(F.abs(F.sum("w") - F.first(f"t_{d}")).alias("off")) for d in DIMENSIONS)
+    return reduce(DataFrame.unionAll, (x.select("off") for x in each)).agg(F.coalesce(F.max("off"), F.lit(0.0)).alias("off")).first()["off"]
+
+
+def probabilities(cells: DataFrame, budget: float = 1.0) -> DataFrame:
+    """fitted() cells with p, the probability of their documents: as large as it can be without one above 1, and at most `budget` of all tokens."""
+    ends = cells.agg(F.least(F.lit(budget) * F.sum("tokens") / F.sum("w"), F.min(F.col("tokens") / F.when(F.col("w") > 0, F.col("w")))).alias("factor"))
+    return cells.crossJoin(F.broadcast(ends)).withColumn("p", F.round(F.least(F.lit(1.0), F.col("w") * F.col("factor") / F.col("tokens")), 6)).drop("factor")  # one row
 
 
-def mix(docs: DataFrame, budget: float = 0.7, seed: int = 7, key: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", rounds: int = ROUNDS, powers: tuple[float, ...] = POWERS) -> DataFrame:
+def report(cells: DataFrame) -> DataFrame:
+    """dimension, value, present, wanted, expected: shares of tokens, of the input, as asked for, and as probabilities() cells will give."""
+    out = []
+    for d in DIMENSIONS:
+        each = cells.groupBy(d).agg(F.sum("tokens").alias("n"), F.first(f"t_{d}").alias("wanted"), F.sum(F.col("p") * F.col("tokens")).alias("e"))
+        sums = each.agg(F.sum("n").alias("all_n"), F.sum("e").alias("all_e"))
+        out.append(each.crossJoin(F.broadcast(sums)).select(F.lit(d).alias("dimension"), F.col(d).alias("value"), (F.col("n") / F.col("all_n")).alias("present"), "wanted", (F.col("e") / F.col("all_e")).alias("expected")))  # one row
+    return reduce(DataFrame.unionAll, out)
+
+
+def mix(docs: DataFrame, targets: Targets = TARGETS, budget: float = 1.0, seed: int = 7, key: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", rounds: int = ROUNDS) -> DataFrame:
     """id, source, lang, topic, tokens, p, kept of each row.
 
     A null source, language or text counts as the empty one. Rows without a
     token weigh nothing and are kept with probability 1; rows with a null key
     are drawn by their text; repeated rows are drawn alike; an empty table
-    gives none.
+    gives none; other columns are left out.
     """
-    own = checkpointed(docs.select(*facts(docs, key, text, source, lang)).select("id", *DIMENSIONS, "tokens", draw(F.col("name"), seed).alias("draw")))
-    cells = own.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens"))
-    chances = small(probabilities(fitted(cells, rounds, powers), budget).select(*DIMENSIONS, "p"))
+    f = _facts(docs, key, text, source, lang, seed)
+    own = checkpointed(docs.select(docs[key].alias("id"), *(f[c].alias(c) for c in (*DIMENSIONS, "tokens", "draw"))))
+    chances = small(probabilities(fitted(own.select(*DIMENSIONS, "tokens"), targets, rounds), budget).select(*DIMENSIONS, "p"))
     found = own.join(chances, list(DIMENSIONS), "left").withColumn("p", F.when(F.col("tokens") > 0, F.col("p")).otherwise(F.lit(1.0)))
     return found.select("id", *DIMENSIONS, "tokens", "p", (F.col("draw") < F.col("p")).alias("kept"))
 
 
-def sample(docs: DataFrame, budget: float = 0.7, seed: int = 7, key: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", rounds: int = ROUNDS, powers: tuple[float, ...] = POWERS) -> DataFrame:
-    """The rows of docs that mix() keeps, in all their columns. The cells go to the rows, so that texts are not shuffled."""
-    facts_of = {c: f for c, f in zip(("_id", "_source", "_lang", "_topic", "_tokens", "_name"), facts(docs, key, text, source, lang), strict=True)}
-    cells = docs.select(*(facts_of[f"_{d}"].alias(d) for d in DIMENSIONS), facts_of["_tokens"].alias("tokens")).groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens"))
-    chances = small(probabilities(fitted(cells, rounds, powers), budget).select(*(F.col(d).alias(f"_{d}") for d in DIMENSIONS), "p"))
-    rows = docs.select("*", *(facts_of[c].alias(c) for c in ("_source", "_lang", "_topic", "_tokens")), draw(facts_of["_name"], seed).alias("_draw"))
-    found = rows.join(chances.withColumnRenamed("p", "_p"), ["_source", "_lang", "_topic"], "left")
-    return found.where((F.col("_tokens") == 0) | (F.col("_draw") < F.col("_p"))).select(*(docs[c] for c in docs.columns))
+def sample(docs: DataFrame, targets: Targets = TARGETS, budget: float = 1.0, seed: int = 7, key: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", rounds: int = ROUNDS) -> DataFrame:
+    """The rows of docs that mix() keeps, in all their columns, whatever their names. The cells go to the rows, so that texts are not shuffled."""
+    f = _facts(docs, key, text, source, lang, seed)
+    chances = probabilities(fitted(docs.select(*(f[c].alias(c) for c in (*DIMENSIONS, "tokens"))), targets, rounds), budget)
+    names = fresh(docs, *DIMENSIONS, "p")
+    chances = small(chances.select(*(F.col(c).alias(n) for c, n in zip((*DIMENSIONS, "p"), names, strict=True))))
+    draws, empty = fresh(docs.select(docs["*"], *(F.lit(0).alias(n) for n in names)), "draw", "empty")
+    rows = docs.select("*", *(f[c].alias(n) for c, n in zip(DIMENSIONS, names, strict=False)), f["draw"].alias(draws), f["empty"].alias(empty))
+    found = rows.join(chances, names[:3], "left")
+    return found.where(F.col(empty) | (F.col(draws) < F.col(names[3]))).select(*(docs[c] for c in docs.columns))
 
 
-def oracle(budget: float = 0.7, seed: int = 7, rounds: int = ROUNDS, fills: int = FILLS, powers: tuple[float, ...] = POWERS, table: str = "documents") -> str:
-    """The same in DuckDB's SQL."""
-    case = " ".join(f"WHEN regexp_matches(body, '{p}') THEN '{n}'" for n, p in TOPICS)
+def oracle(targets: Targets = TARGETS, budget: float = 1.0, seed: int = 7, rounds: int = 36, table: str = "documents") -> str:
+    """The same in DuckDB's SQL, by a set number of rounds."""
     steps = [
         f"d AS (SELECT doc_id AS id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, coalesce(text, '') AS body FROM {table})",
-        f"f AS (SELECT id, source, lang, CASE {case} ELSE 'prose' END AS topic, len(regexp_extract_all(body, '{WORD}'))::BIGINT AS tokens, ('0x' || substr(md5('{seed}:' || id), 1, 12))::BIGINT / {SCALE!r} AS draw FROM d)",
-        "c AS (SELECT source, lang, topic, sum(tokens)::BIGINT AS tokens FROM f GROUP BY ALL HAVING sum(tokens) > 0)",
-        "r0 AS MATERIALIZED (SELECT *, tokens::DOUBLE AS w, " + ", ".join(f"pow(sum(tokens) OVER (PARTITION BY {d})::DOUBLE, {p}) AS t_{d}" for d, p in zip(DIMENSIONS, powers, strict=True)) + " FROM c)",
+        "f AS (SELECT id, source, lang, CASE WHEN regexp_matches(body, '[#$%&*]{3}') THEN 'symbols' WHEN regexp_matches(body, '[A-Za-z0-9._]@[A-Za-z0-9]|https?://') THEN 'contact' WHEN regexp_matches(body, '[Ll]icen[sc]e|[Cc]opyright|©') THEN 'legal' WHEN regexp_matches(body, '[0-9]{4}') THEN 'figures' ELSE 'prose' END AS topic,"
+        f" len(regexp_extract_all(body, '{WORD}'))::BIGINT AS tokens, ('0x' || substr(md5('{seed}:' || id), 1, 12))::BIGINT / {SCALE!r} AS draw FROM d)",
+        "c AS MATERIALIZED (SELECT source, lang, topic, sum(tokens)::BIGINT AS tokens FROM f GROUP BY ALL HAVING sum(tokens) > 0)",
     ]
+    for d in DIMENSIONS:
+        named = ", ".join(f"('{v}', {s!r}::DOUBLE)" for v, s in targets[d].items() if v != REST)
+        rest = targets[d].get(REST, 0.0)
+        steps.append(
+            f"w_{d} AS MATERIALIZED (SELECT {d}, coalesce(share, {rest!r}::DOUBLE * have / unnamed) / (coalesce(named, 0) + CASE WHEN unnamed IS NULL THEN 0 ELSE {rest!r}::DOUBLE END) AS t_{d}"
+            f" FROM (SELECT *, sum(have) FILTER (share IS NULL) OVER () AS unnamed, sum(share) OVER () AS named FROM (SELECT {d}, sum(tokens)::DOUBLE AS have FROM c GROUP BY ALL) LEFT JOIN (VALUES {named}) v(value, share) ON {d} = value))"
+        )
+    steps.append("r0 AS MATERIALIZED (SELECT c.*, t_source, t_lang, t_topic, tokens::DOUBLE AS w FROM c JOIN w_source USING (source) JOIN w_lang USING (lang) JOIN w_topic USING (topic))")
     k = 0
     for _ in range(rounds):
         for d in DIMENSIONS:
             steps.append(f"r{k + 1} AS MATERIALIZED (SELECT * REPLACE (w * t_{d} / sum(w) OVER (PARTITION BY {d}) AS w) FROM r{k})")
             k += 1
-    steps.append("k0 AS (SELECT 0.0::DOUBLE AS f)")
-    for i in range(fills):
-        steps.append(
-            f"k{i + 1} AS MATERIALIZED (SELECT CASE WHEN coalesce(sum(w) FILTER (w * f < tokens), 0) = 0 THEN max(f) ELSE greatest(max(f), ({budget} * sum(tokens) - coalesce(sum(tokens) FILTER (w * f >= tokens), 0)) / sum(w) FILTER (w * f < tokens)) END AS f FROM r{k}, k{i})"
-        )
-    steps.append(f"p AS (SELECT source, lang, topic, round(least(1.0, w * f / tokens), 9) AS p FROM r{k}, k{fills})")
+    steps.append(f"k AS (SELECT least({budget!r} * sum(tokens) / sum(w), min(tokens / w)) AS factor FROM r{k})")
+    steps.append(f"p AS (SELECT source, lang, topic, round(least(1.0, w * factor / tokens), 6) AS p FROM r{k}, k)")
     return "WITH " + ",\n".join(steps) + "\nSELECT id AS doc_id, f.source, f.lang, f.topic, tokens, CASE WHEN tokens > 0 THEN p ELSE 1.0::DOUBLE END AS p, draw < CASE WHEN tokens > 0 THEN p ELSE 1.0 END AS kept FROM f LEFT JOIN p USING (source, lang, topic)"

@@ -5,14 +5,15 @@ keys and sizes alone, so that the same rows always give the same files. A
 shard's records, one gzip member each, fill files up to a compressed size.
 Headers, record ids and digests are made anew from the rows. A file is written
 under a temporary name that no other attempt uses and then renamed; a shard's
-manifest follows in the same way, and at last the manifest of all shards, by
-which readers know that the archive is whole. An attempt that is lost or runs
+manifest follows in the same way, then the table of all files, and at last a
+small file by which readers know that the archive is whole. An attempt that is lost or runs
 twice leaves at most temporary files behind or writes the same bytes again.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 import json
 import uuid
@@ -26,10 +27,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import blobs
-from gridloom.llm.common import buffers, checkpointed
+from gridloom.llm.common import bounded_batches, buffers, checkpointed
 
 #: Payload bytes of a shard, and compressed bytes at which a file ends.
 SHARD_BYTES, FILE_BYTES = 32 << 20, 16 << 20
+#: Bytes that a record's headers are counted for.
+RECORD_BYTES = 512
+#: The table of all files, and the file that says that it is whole.
+MANIFEST, DONE = "MANIFEST.parquet", "MANIFEST.json"
+FILES = "file string, shard bigint, records bigint, bytes bigint, sha256 string"
 _READ = 8 << 10
 _SPACE = uuid.UUID("6f1d3a52-9a44-4e7b-8f7e-2f9f0b6c1d11")
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
@@ -76,59 +82,70 @@ def _publish(store: fs.FileSystem, path: str, data: bytes) -> None:
     store.move(at, path)
 
 
-def ranges(sizes: DataFrame, target: int, cells: int = 4096) -> list[int]:
-    """First keys of all shards but the first, from columns key and size, so that a shard holds about `target` bytes.
+def cuts_of(facts: DataFrame, target: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where all shards but the first begin, as key, payload hash and url hash, so that a shard holds about `target` bytes.
 
-    The bytes of equal cells between the least and the largest key are summed;
-    cells that are too full are split again.
+    facts has those (k, h, u) and size. The rows are sorted over all partitions;
+    sizes are summed in that order, by partition and then within each, and a
+    shard begins at the first row behind each multiple of the target. So the
+    cuts follow from the rows alone, and keys that lie close together or recur
+    are parted like any other. Three numbers for each shard come to the driver.
     """
-    ends = sizes.agg(F.min("key").alias("a"), F.max("key").alias("b")).first()
-    if ends["a"] is None:
-        return []
-    done: list[tuple[int, int]] = []
-    open_ = [(ends["a"], ends["b"] + 1)]
-    while open_:
-        pieces = []
-        for a, b in open_:
-            width = max(1, -(-(b - a) * len(open_) // cells))
-            pieces.append((a, b, width))
-        cell = F.lit(None).cast("long")
-        for a, b, width in pieces:
-            cell = F.when((F.col("key") >= a) & (F.col("key") < b), F.lit(a) + F.floor((F.col("key") - F.lit(a)) / F.lit(width)).cast("long") * F.lit(width)).otherwise(cell)
-        found = sizes.withColumn("cell", cell).where("cell IS NOT NULL").groupBy("cell").agg(F.sum("size").alias("bytes")).collect()  # at most `cells` rows
-        open_ = []
-        for row in found:
-            a, b, width = next(p for p in pieces if p[0] <= row["cell"] < p[1])
-            if row["bytes"] > target and width > 1 and len(open_) < 64:
-                open_.append((row["cell"], min(b, row["cell"] + width)))
-            else:
-                done.append((row["cell"], row["bytes"]))
-    cuts, held = [], 0
-    for cell, size in sorted(done):
-        if held and held + size > target:
-            cuts.append(cell)
-            held = 0
-        held += size
-    return cuts
+    own = facts.select("k", "h", "u", "size").repartitionByRange("k", "h", "u").sortWithinPartitions("k", "h", "u").withColumn("part", F.spark_partition_id())
+    own = checkpointed(own)
+    sums = sorted((r["part"], r["n"]) for r in own.groupBy("part").agg(F.sum("size").alias("n")).collect())  # a row for each partition
+    ends = np.cumsum([n for _, n in sums])
+    before = own.sparkSession.sparkContext.broadcast({part: int(end - n) for (part, n), end in zip(sums, ends, strict=True)})
+
+    def begin(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = last = None
+        for part in parts:
+            if not part.num_rows:
+                continue
+            size = part.column(3).to_numpy(zero_copy_only=False)
+            at = before.value[part.column(4)[0].as_py()] if at is None else at
+            shard = (at + np.cumsum(size) - size) // target
+            new = np.flatnonzero(np.append(shard[0] != last, shard[1:] != shard[:-1]))
+            at, last = at + int(size.sum()), shard[-1]
+            yield pa.RecordBatch.from_arrays([pa.array(shard[new]), *part.select(["k", "h", "u"]).take(pa.array(new)).columns], ["shard", "k", "h", "u"])
+
+    firsts = own.mapInArrow(begin, "shard bigint, k bigint, h bigint, u bigint").groupBy("shard").agg(F.min(F.struct("k", "h", "u")).alias("c"))
+    found = firsts.where("shard > 0").select("c.*").distinct().orderBy("k", "h", "u").toArrow()
+    return tuple(found.column(c).to_numpy() for c in ("k", "h", "u"))
+
+
+def shard_of(cuts: tuple[np.ndarray, np.ndarray, np.ndarray], k: np.ndarray, h: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """How many cuts do not lie behind each row."""
+    low, high = np.searchsorted(cuts[0], k, "left"), np.searchsorted(cuts[0], k, "right")
+    for r in np.flatnonzero(low < high).tolist():  # a shard begins within the rows of this key
+        a, b = int(low[r]), int(high[r])
+        own = list(zip(cuts[1][a:b].tolist(), cuts[2][a:b].tolist(), strict=True))
+        high[r] = a + bisect.bisect_right(own, (int(h[r]), int(u[r])))
+    return high
 
 
 def write(pages: DataFrame, out: str, key: str = "page_id", url: str = "url", payload: str = "html", date: str = "2024-01-01T00:00:00Z", least_revisit: int = 0, shard_bytes: int = SHARD_BYTES, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Writes an archive of all rows to the folder `out` (a URI) and returns its manifest: file, shard, records, bytes, sha256.
 
-    Of rows with equal payloads of at least `least_revisit` bytes those with
-    the smallest key are responses, the others revisit it. Null payloads are
-    empty. Rows with a null key come first, are responses always, and are
-    never referred to. Repeated rows each get a record. An empty table gives
-    an archive without files.
+    Records are sorted by key, SHA-256 of the whole payload, and url. Of rows
+    with equal payloads of at least `least_revisit` bytes those with the
+    smallest key are responses, the others revisit it. Null payloads are empty.
+    Rows with a null key come first, are responses always, and are never
+    referred to. Repeated rows each get a record, in one shard. An empty table
+    gives an archive without files; other columns are left out.
     """
     spark = pages.sparkSession
+    bounded_batches(spark)
     body = F.coalesce(pages[payload].cast("binary"), F.lit(b""))
-    rows = pages.select(pages[key].cast("long").alias("key"), pages[url].cast("string").alias("url"), body.alias("body"))
-    facts = checkpointed(rows.select("key", F.sha2("body", 256).alias("sha"), F.octet_length("body").cast("long").alias("size")))
-    cuts = np.array(ranges(facts, shard_bytes), np.int64)
-    shared = spark.sparkContext.broadcast(cuts)  # one number for each shard
+    rows = pages.select(pages[key].cast("long").alias("key"), pages[url].cast("string").alias("url"), body.alias("body"), F.sha2(body, 256).alias("sha"))
+    place = {"k": F.coalesce("key", F.lit(-(1 << 63))), "h": F.conv(F.substring("sha", 1, 15), 16, 10).cast("long"), "u": F.xxhash64("url")}
+    facts = checkpointed(rows.select("key", "sha", F.octet_length("body").cast("long").alias("length"), *(c.alias(n) for n, c in place.items())))
+    shared = spark.sparkContext.broadcast(cuts_of(facts.withColumn("size", F.col("length") + RECORD_BYTES), shard_bytes))
     first = facts.where("key IS NOT NULL").groupBy("sha").agg(F.min("key").alias("first"))
-    revisits = facts.where((F.col("size") >= least_revisit) & F.col("key").isNotNull()).join(first, "sha").where("first < key").select("key", "sha", "first")
+    revisits = facts.where((F.col("length") >= least_revisit) & F.col("key").isNotNull()).join(first, "sha").where("first < key").select("key", "sha", "first", "k", "h", "u")
+
+    def numbers(part: pa.RecordBatch, at: int) -> np.ndarray:
+        return shard_of(shared.value, *(part.column(at + c).to_numpy(zero_copy_only=False) for c in range(3)))
 
     def deal(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -136,7 +153,7 @@ def write(pages: DataFrame, out: str, key: str = "page_id", url: str = "url", pa
             urls, uoff, has_url = buffers(part.column(1))
             has_key = part.column(0).is_valid().to_numpy(zero_copy_only=False)
             keys = part.column(0).fill_null(0).to_numpy(zero_copy_only=False)
-            slot = np.where(has_key, np.searchsorted(shared.value, keys, "right"), 0)
+            slot = numbers(part, 3)
             order = np.argsort(slot, kind="stable")
             view, uview, out = data.tobytes(), urls.tobytes(), []
             start = np.flatnonzero(np.append(True, slot[order][1:] != slot[order][:-1])) if len(order) else []
@@ -149,8 +166,7 @@ def write(pages: DataFrame, out: str, key: str = "page_id", url: str = "url", pa
 
     def deal_revisits(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            keys = part.column(0).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(np.searchsorted(shared.value, keys, "right").astype(np.int64)), *part.columns], ["slot", "key", "sha", "first"])
+            yield pa.RecordBatch.from_arrays([pa.array(numbers(part, 3)), *part.columns[:3]], ["slot", "key", "sha", "first"])
 
     def store_shard(slot: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         shard = slot[0].as_py()
@@ -164,8 +180,9 @@ def write(pages: DataFrame, out: str, key: str = "page_id", url: str = "url", pa
             for r in range(len(keys)):
                 k = int(keys[r]) if state[r] & 1 else None
                 u = udata[uoff[r] : uoff[r + 1]].tobytes().decode() if state[r] & 2 else None
-                found.append((k is not None, k or 0, u or "", u, data[off[r] : off[r + 1]]))
-        found.sort(key=lambda x: (*x[:3], x[4].tobytes()) if len(x[4]) < 1 << 16 else (*x[:3], x[4][: 1 << 16].tobytes()))
+                payload = data[off[r] : off[r + 1]]
+                found.append((k is not None, k or 0, hashlib.sha256(payload).hexdigest(), u or "", u, payload))
+        found.sort(key=lambda x: x[:4])
         files, held, size, count = [], [], 0, 0
 
         def roll() -> None:
@@ -176,9 +193,9 @@ def write(pages: DataFrame, out: str, key: str = "page_id", url: str = "url", pa
                 files.append({"file": name, "shard": shard, "records": count, "bytes": len(whole), "sha256": hashlib.sha256(whole).hexdigest()})
                 held, size, count = [], 0, 0
 
-        for has_key, k, _, u, data in found:
+        for has_key, k, sha, _, u, data in found:
             whole = data.tobytes()
-            first = refers.get((k, hashlib.sha256(whole).hexdigest())) if has_key else None
+            first = refers.get((k, sha)) if has_key else None
             piece = member(record(k if has_key else None, u, whole, first, first is not None, date))
             if held and size + len(piece) > file_bytes:
                 roll()
@@ -191,12 +208,16 @@ def write(pages: DataFrame, out: str, key: str = "page_id", url: str = "url", pa
 
     store, folder = fs.FileSystem.from_uri(out)
     store.create_dir(folder, recursive=True)
-    left = rows.mapInArrow(deal, "slot bigint, texts binary, names binary")
+    if store.get_file_info(f"{folder}/{DONE}").type != fs.FileType.NotFound:
+        store.delete_file(f"{folder}/{DONE}")  # from here on the archive is not whole
+    left = rows.select("key", "url", "body", *(c.alias(n) for n, c in place.items())).mapInArrow(deal, "slot bigint, texts binary, names binary")
     right = revisits.mapInArrow(deal_revisits, "slot bigint, key bigint, sha string, first bigint")
-    done = left.groupBy("slot").cogroup(right.groupBy("slot")).applyInArrow(store_shard, "file string, shard bigint, records bigint, bytes bigint, sha256 string")
-    files = sorted((r.asDict() for r in done.collect()), key=lambda f: f["file"])  # a row for each file of some 16 MB
-    _publish(store, f"{folder}/MANIFEST.json", json.dumps({"files": files}, indent=1).encode())
-    return spark.createDataFrame([tuple(f.values()) for f in files], "file string, shard bigint, records bigint, bytes bigint, sha256 string")
+    done = left.groupBy("slot").cogroup(right.groupBy("slot")).applyInArrow(store_shard, FILES)
+    done.write.mode("overwrite").parquet(f"{out}/{MANIFEST}")  # written in tasks and committed by Spark: no list of files passes the driver
+    files = spark.read.schema(FILES).parquet(f"{out}/{MANIFEST}")
+    whole = files.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("records"), F.lit(0)).alias("records"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    _publish(store, f"{folder}/{DONE}", json.dumps(whole.asDict()).encode())
+    return files
 
 
 def records(data: bytes) -> Iterator[tuple[dict[str, str], memoryview]]:
@@ -223,22 +244,22 @@ def records(data: bytes) -> Iterator[tuple[dict[str, str], memoryview]]:
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """All records of a whole archive: page_id, url, record_type, payload_bytes, payload_digest, refers_to, payload (null for revisits).
 
-    Only files that the manifest names are read; digests and sizes are checked
-    against the bytes, and a file that is not whole raises an error.
+    Only files that the manifest names are read, each by the task that its row
+    comes to; digests and sizes are checked against the bytes, and a file that
+    is not whole raises an error.
     """
     store, path = fs.FileSystem.from_uri(folder)
-    with store.open_input_stream(f"{path}/MANIFEST.json") as f:
-        named = {x["file"]: x["sha256"] for x in json.loads(f.read())["files"]}
-    schema = "page_id bigint, url string, record_type string, payload_bytes bigint, payload_digest string, refers_to bigint, payload binary"
-    if not named:
-        return spark.createDataFrame([], schema)
-    known = spark.sparkContext.broadcast(named)  # a name for each file
+    with store.open_input_stream(f"{path}/{DONE}") as f:
+        whole = json.loads(f.read())
+    files = spark.read.schema(FILES).parquet(f"{folder}/{MANIFEST}").select("file", "sha256")
 
     def parse(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, path = fs.FileSystem.from_uri(folder)
         for part in parts:
-            for name, content in zip(part.column(0), part.column(1), strict=True):
-                name, data = name.as_py().rpartition("/")[2], content.as_buffer().to_pybytes()
-                if known.value.get(name) != hashlib.sha256(data).hexdigest():
+            for name, digest in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                with store.open_input_stream(f"{path}/{name}", compression=None) as f:
+                    data = f.read()
+                if hashlib.sha256(data).hexdigest() != digest:
                     raise ValueError(f"{name} is not the file of the manifest")
                 held, size = [], 0
                 for fields, block in records(data):
@@ -249,8 +270,8 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                         held, size = [], 0
                 yield _batch(held)
 
-    files = spark.read.format("binaryFile").load([f"{folder}/{n}" for n in sorted(named)]).select("path", "content")
-    return files.mapInArrow(parse, schema)
+    parts = max(1, min(whole["files"], -(-whole["bytes"] // FILE_BYTES) + int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return files.repartition(parts, "file").mapInArrow(parse, "page_id bigint, url string, record_type string, payload_bytes bigint, payload_digest string, refers_to bigint, payload binary")
 
 
 def _parsed(fields: dict[str, str], block: memoryview) -> tuple:

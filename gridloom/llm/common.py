@@ -125,3 +125,8 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def columns(df: DataFrame, *more: str) -> list[F.Column]:
+    """All columns, whatever characters their names have."""
+    return [F.col(f"`{c.replace('`', '``')}`") for c in (*df.columns, *more)]

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm import hashing
-from gridloom.llm.common import batches_of, buffers, small
+from gridloom.llm.common import batches_of, buffers, fresh, small
 
 #: Text bytes of the items in one broadcast block.
 BLOCK_BYTES = 4 << 20
@@ -149,6 +149,6 @@ def contained(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
 
 def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", **how) -> DataFrame:
     """Rows of docs whose key has no contained item, in all their columns; rows with a null key stay."""
-    hit = contained(docs, items, key, **how).select(F.col("id").alias("_hit")).where("_hit IS NOT NULL").distinct()
-    hit = small(hit)
-    return docs.join(hit, docs[key] == F.col("_hit"), "left_anti")
+    (name,) = fresh(docs, "hit")
+    hit = contained(docs, items, key, **how).select(F.col("id").alias(name)).where(F.col(name).isNotNull()).distinct()
+    return docs.join(small(hit), docs[key] == F.col(name), "left_anti")

@@ -2,23 +2,37 @@
 
 Markup is stripped to lines, one for each block of the page. Lines inside
 menus, headers, footers, sidebars, adverts, notices, forms, scripts, styles
-and reader comments weigh nothing, others weigh as much as their text. Weights
-are summed over sliding windows of lines; main text begins where a sum surges
-above the threshold and ends where it dives to nothing. Text between such
-points is kept, whole.
+and reader comments are left out; of the others each weighs as much as its
+text without links (in a marked article: as all of its text). Weights are
+summed over sliding windows of lines. Main text begins where a sum surges above
+the threshold and ends where it dives to nothing; text between such points is
+kept, whole.
+
+What stands around an article is told by elements, and by names in class, id
+and role. Names only hint: where no text outside hinted elements surges, the
+largest of these turns out to be a wrapper and counts like any other.
+All steps take time in proportion to the page.
 """
 
 from __future__ import annotations
 
+import heapq
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+from gridloom.llm.common import bounded_batches
+
+#: Comments, CDATA, declarations; tags whose quoted values are closed as they should be; other tags, up to the next angle bracket.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>\"']++|\"[^\"]*+\"(?=[\s/>])|'[^']*+'(?=[\s/>]))*+)>|<(/?)([a-zA-Z][^\s/<>]*)([^<>]*+)(?:>|(?=<)|\Z)", re.S)
 _ATTR = re.compile(r"(?:^|[\s\"'])(class|id|role|hidden|aria-hidden|style|itemprop)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 #: Text inside is no text of the page; the parser reads on at the end tag only.
 RAW = frozenset("script style noscript template textarea title xmp iframe noembed noframes svg math object".split())
 #: Elements that hold no main text.
@@ -28,73 +42,103 @@ BLOCK = frozenset(
     "address article aside blockquote body br canvas caption center col colgroup dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead title tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Words of class, id or role that mark text around the article.
-_BOILER = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|adbox|adslot|banners?|breadcrumbs?|byline-share|comments?|commentlist|consent|cookies?|copyright|disclaimer|disqus|discussion|donate|footer|gdpr|hidden|masthead|menus?|menubar|modal|nav|navbar|navigation|navbox|newsletter|notices?|notifications?|outbrain|overlay|pager|pagination|paywall|popup|privacy|promos?|promotions?|promoted|recommended|related|replies|respond|search|share|sharing|sidebars?|signup|skip|social|sponsor\w*|subscribe|subscription|taboola|teasers?|toolbar|tooltip|topbar|widgets?|alert|complementary|contentinfo|dialog|alertdialog)(?=$|[\s_-])",
-    re.I,
+HEADS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Parts of a class, id or role name that mark text around the article.
+AROUND = frozenset(
+    "ad ads adsense adbox adslot alert alertdialog banner banners breadcrumb breadcrumbs comment commentlist comments complementary consent contentinfo cookie cookies copyright dialog disclaimer discussion disqus donate footer gdpr hidden masthead menu menubar menus modal nav navbar navbox navigation newsletter notice notices notification notifications outbrain overlay pager pagination paywall popup privacy promo promos promoted promotion promotions recommended related replies respond search share sharing sidebar sidebars signup skip social subscribe subscription taboola teaser teasers toolbar tooltip topbar widget widgets".split()
 )
-_PAGE_HEADER = re.compile(r"(?:^|[\s_-])(?:header|banner|site-header|page-header)(?=$|[\s_-])", re.I)
-_CONTENT = re.compile(r"(?:^|[_-])(?:content|article|articleBody|main|post|entry|story)(?=$|[_-])", re.I)
-_MAIN = re.compile(r"(?:^|\s)(?:main|article|articleBody)(?=$|\s)")
+#: Parts after which a name tells what the element has or lacks, not what it is.
+ABOUT = frozenset("with without no not non has hide toggle layout grid row wrap wrapper".split())
+#: Parts of names that mark content, and names of the article itself.
+CONTENT = frozenset("content article main post entry story".split())
+ARTICLE = frozenset("main article articlebody".split())
+
+
+class Line(NamedTuple):
+    """A line of a page: its text, whether it is left out, its innermost hinted element (0: none), whether it is in an article, characters in links, whether it is a heading."""
 
+    text: str
+    out: bool
+    hint: int
+    article: bool
+    links: int
+    head: bool
 
-def _marks(attrs: str) -> tuple[str, bool]:
+
+def _marks(attrs: str) -> tuple[list[str], bool]:
+    """Names in class, id, role and itemprop, and whether the element is hidden."""
     words, hidden = [], False
     for name, *values in _ATTR.findall(attrs):
-        value = "".join(values)
-        name = name.lower()
+        value, name = "".join(values), name.lower()
         if name in ("class", "id", "role", "itemprop"):
-            words.append(value)
-        elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            hidden = True
-    return " ".join(words), hidden
+            words += value.split()
+        else:
+            hidden |= name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and bool(_HIDDEN.search(value))
+    return words, hidden
 
 
-def _around(words: str, page_level: bool) -> bool:
-    """Whether one of an element's names marks boilerplate and no other one marks content."""
-    found = [(bool(_BOILER.search(w) or page_level and _PAGE_HEADER.search(w)), bool(_CONTENT.search(w))) for w in words.split()]
-    return any(b for b, _ in found) and not any(c and not b for b, c in found)
+def _hinted(words: list[str], page_level: bool) -> bool:
+    """Whether one of an element's names marks text around the article and no other one marks content."""
+    around = content = False
+    for word in words:
+        parts = {p.lower() for p in _PART.findall(word)}
+        own = not parts & ABOUT and (bool(parts & AROUND) or any(p.startswith(("advert", "sponsor")) for p in parts) or page_level and "header" in parts)
+        around |= own
+        content |= not own and bool(parts & CONTENT)
+    return around and not content
 
 
-def page_lines(page: str) -> list[tuple[str, bool, bool]]:
-    """Each non-empty line of a page in order: text, whether it stands in boilerplate, whether in an article.
+def page_lines(page: str) -> tuple[list[Line], list[int]]:
+    """Each non-empty line of a page in order, and of each hinted element the hinted one around it.
 
-    A boilerplate element whose end tag is missing ends where an article, a main
+    An element left out whose end tag is missing ends where an article, a main
     element or a footer begins, and at the end of its parent at the latest.
     """
-    lines: list[tuple[str, bool, bool]] = []
+    lines: list[Line] = []
     text: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # open elements that matter: tag, boilerplate, article
-    boiler = article = 0
-    raw = ""
+    stack: list[tuple[str, bool, int, bool, int]] = []  # open elements: tag, left out, hint, article, the hint around
+    open_at: dict[str, list[int]] = {}
+    parents = [0]
+    out = article = links = anchors = hint = 0
+    head = False
+    loose: list[tuple[int, int]] = []  # elements left out or hinted, by the last end tag of their name
     closes: dict[str, list[int]] = {}
-    for m in _TOKEN.finditer(page):
-        if m[2] and m[1]:
-            closes.setdefault(m[2].lower(), []).append(m.start())
+    tokens = list(_TOKEN.finditer(page))
+    for m in tokens:
+        if m[1] or m[4]:
+            closes.setdefault((m[2] or m[5]).lower(), []).append(m.start())
 
     def flush() -> None:
+        nonlocal links, head
         if text:
             line = " ".join(html.unescape("".join(text)).split())
             if line:
-                lines.append((line, boiler > 0, article > 0))
+                lines.append(Line(line, out > 0, hint, article > 0, min(links, len(line)), head))
             text.clear()
+        links = 0
 
     def pop(to: int) -> None:
-        nonlocal boiler, article
+        nonlocal out, article, hint
+        if any(o or h or a for _, o, h, a, _ in stack[to:]):
+            flush()
         while len(stack) > to:
-            _, b, a = stack.pop()
-            boiler -= b
+            tag, o, h, a, around = stack.pop()
+            open_at[tag].pop()
+            out -= o
             article -= a
+            hint = around
 
-    at = 0
-    for m in _TOKEN.finditer(page):
+    at, raw = 0, ""
+    for m in tokens:
         if m.start() < at:
             continue
         if not raw and m.start() > at:
-            text.append(page[at : m.start()])
-        tag = (m[2] or "").lower()
+            piece = page[at : m.start()]
+            text.append(piece)
+            links += len(piece.strip()) if anchors > 0 else 0
+        end_tag, tag, attrs = bool(m[1] or m[4]), (m[2] or m[5] or "").lower(), m[3] or m[6] or ""
         if raw:
-            if m[1] and tag == raw:
+            if end_tag and tag == raw:
                 raw, at = "", m.end()
             continue
         at = m.end()
@@ -104,61 +148,59 @@ def page_lines(page: str) -> list[tuple[str, bool, bool]]:
             continue
         if tag in BLOCK:
             flush()
-        if m[1]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    if any(b or a for _, b, a in stack[k:]):
-                        flush()
-                    pop(k)
-                    break
+            head = tag in HEADS and not end_tag
+        if tag == "a":
+            anchors = 0 if end_tag else 1
+        if end_tag:
+            if open_at.get(tag):
+                pop(open_at[tag][-1])
             continue
         if tag in RAW:
-            end = next((c for c in closes.get(tag, ()) if c >= m.end()), None)
-            if end is None:
+            ends = closes.get(tag, [])
+            if bisect_left(ends, m.end()) == len(ends):
                 if tag in ("script", "style", "textarea", "xmp"):
                     at = len(page)  # as browsers do: the rest belongs to it
                     break
-                continue
-            if m[3].rstrip().endswith("/"):
-                continue
-            raw = tag
-            while closes[tag] and closes[tag][0] < m.end():
-                closes[tag].pop(0)
+            elif not attrs.rstrip().endswith("/"):
+                raw = tag
             continue
         if tag in VOID:
             continue
-        words, hidden = _marks(m[3]) if m[3].strip() else ("", False)
-        is_article = tag in ("article", "main") or bool(words and _MAIN.search(words))
+        words, hidden = _marks(attrs) if attrs.strip() else ([], False)
+        is_article = tag in ("article", "main") or any(w.lower() in ARTICLE for w in words)
         if tag in ("article", "main", "footer"):  # ends what was left open
-            for k, (name, b, a) in enumerate(stack):
-                if b and not any(c > m.start() for c in closes.get(name, ())):
-                    flush()
-                    pop(k)
-                    break
-        is_boiler = hidden or tag in OUTSIDE or tag == "header" and not article or bool(words and _around(words, not article and not is_article))
-        if tag == "body" or tag == "html":
-            is_boiler = is_article = False
-            for k, (name, _, _) in enumerate(stack):
-                if name == "head":
-                    pop(k)
-                    break
-        flush_inline = (is_boiler or is_article) and tag not in BLOCK
-        if flush_inline:
+            first = None
+            while loose and loose[0][0] <= m.start():
+                k = heapq.heappop(loose)[1]
+                if k < len(stack) and (stack[k][1] or stack[k][2]):
+                    first = k if first is None else min(first, k)
+            if first is not None:
+                flush()
+                pop(first)
+        if tag in ("body", "html"):
+            is_out = is_hint = is_article = False
+            if open_at.get("head"):
+                pop(open_at["head"][0])
+        else:
+            is_out = hidden or tag in OUTSIDE or tag == "header" and not article
+            is_hint = not is_out and bool(words) and _hinted(words, not article and not is_article)
+        is_article &= not is_out and not is_hint
+        if (is_out or is_hint or is_article) and tag not in BLOCK:
             flush()
-        stack.append((tag, is_boiler, is_article and not is_boiler))
-        boiler += is_boiler
-        article += is_article and not is_boiler
-        if len(stack) > 4096:  # only deeper nesting than any page has; keeps what matters
-            for k in range(len(stack) - 1):
-                if not (stack[k][1] or stack[k][2]):
-                    del stack[k]
-                    break
+        around = hint
+        if is_hint:
+            parents.append(hint)
+            hint = len(parents) - 1
+        if is_out or is_hint:
+            heapq.heappush(loose, (closes[tag][-1] if tag in closes else -1, len(stack)))
+        open_at.setdefault(tag, []).append(len(stack))
+        stack.append((tag, is_out, hint if is_hint else 0, is_article, around))
+        out += is_out
+        article += is_article
     if at < len(page) and not raw:
-        rest = page[at:]
-        cut = re.search(r"<[a-zA-Z/!?][^>]*\Z", rest)  # a tag that the page's end cut off
-        text.append(rest[: cut.start()] if cut else rest)
+        text.append(page[at:])
     flush()
-    return lines
+    return lines, parents
 
 
 def spans(weights: list[int], window: int, surge: int) -> list[tuple[int, int]]:
@@ -192,27 +234,90 @@ def spans(weights: list[int], window: int, surge: int) -> list[tuple[int, int]]:
     return out
 
 
+def _kept(lines: list[Line], window: int, surge: int) -> tuple[list[Line], bool]:
+    """Of lines that are not left out those of the main text, and whether any of them surged.
+
+    Short lines that only lines of links part from it belong to it: headings
+    right before the first run, lines between two runs, and sentences after the last.
+    """
+    if any(x.article for x in lines):
+        lines = [x for x in lines if x.article]
+        weights = [len(x.text) for x in lines]
+    else:
+        weights = [len(x.text) - x.links for x in lines]
+    runs = spans(weights, window, surge)
+    if not runs:
+        return lines, False
+    keep = [False] * len(lines)
+    for (a, b), after in zip(runs, [*runs[1:], (runs[-1][1], 0)], strict=True):
+        while b > a and not weights[b - 1]:  # the window that dives reaches over the end
+            b -= 1
+        keep[a:b] = [True] * (b - a)
+        for k in range(b, after[0]):
+            keep[k] = weights[k] > 0
+    first = runs[0][0]
+    for k in range(first - 1, -1, -1):
+        if weights[k] and not lines[k].head:
+            break
+        keep[k] = weights[k] > 0
+    for k in range(runs[-1][1], len(lines)):
+        if weights[k] and lines[k].text[-1] not in ".!?…\"”’。！？":
+            break
+        keep[k] = weights[k] > 0
+    return [x for x, k in zip(lines, keep, strict=True) if k], True
+
+
 def main_text(page: str | None, window: int = 3, surge: int = 80) -> str:
     """The main text of a page: its blocks joined by line feeds, empty if there is none.
 
-    Where the page marks its article, only lines of it weigh, and any of them
-    counts as a surge; else lines outside boilerplate must surge above `surge`
-    characters in `window` lines, and if none does, all such lines are kept.
+    Where the page marks its article, only lines of it count. A run of text
+    must surge above `surge` characters in `window` lines; where none does,
+    hinted elements are taken for wrappers, the largest first, and at last all
+    lines that are not left out are kept.
     """
     if not page:
         return ""
-    lines = page_lines(page)
-    marked = any(a and not b for _, b, a in lines)
-    weights = [0 if b or marked and not a else len(t) for t, b, a in lines]
-    runs = spans(weights, window, 0 if marked else surge) or spans(weights, window, 0)
-    return "\n".join(lines[k][0] for a, b in runs for k in range(a, b) if weights[k])
+    lines, parents = page_lines(page)
+    lines = [x for x in lines if not x.out]
+    plain = [x for x in lines if not x.hint]
+    found, surged = _kept(plain, window, surge)
+    wrapped = sum(len(x.text) for x in lines if x.hint and x.article)
+    if surged and (any(x.article for x in plain) or wrapped <= sum(len(x.text) - x.links for x in plain)):
+        return "\n".join(x.text for x in found)
+    size = [0] * len(parents)
+    for x in lines:
+        size[x.hint] += len(x.text) - x.links
+    for k in range(len(parents) - 1, 0, -1):
+        size[parents[k]] += size[k]
+    order = sorted((k for k in range(1, len(parents)) if size[k] > surge), key=lambda k: (-size[k], k))  # an outer element comes before those in it
+
+    def without(n: int) -> tuple[list[Line], bool]:
+        """What is kept if the first n elements of the order are wrappers."""
+        wrapper = [False] * len(parents)
+        for k in order[:n]:
+            wrapper[k] = True
+        live = [False] * len(parents)
+        for k in range(1, len(parents)):
+            live[k] = live[parents[k]] or not wrapper[k]
+        return _kept([x for x in lines if not live[x.hint]], window, surge)
+
+    low, high = 0, 1
+    while high < len(order) and not without(high)[1]:
+        low, high = high, 2 * high
+    high = min(high, len(order))
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (low, middle) if without(middle)[1] else (middle, high)
+    again, surged = without(high)
+    return "\n".join(x.text for x in (again if surged else found))
 
 
 def extract(df: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", window: int = 3, surge: int = 80) -> DataFrame:
     """Columns key, url, text, n_chars (code points) of each row, main text taken from the whole page.
 
     Null and empty pages give empty text; null keys and repeated rows pass
-    through one for one; other columns of the input are left out.
+    through one for one; an empty table gives none; other columns of the input
+    are left out.
     """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,6 +325,7 @@ def extract(df: DataFrame, key: str = "page_id", url: str = "url", page: str = "
             found = [main_text(x.as_py(), window, surge) for x in part.column(2)]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.string()), pa.array([len(x) for x in found], pa.int64())], ["key", "url", "text", "n_chars"])
 
+    bounded_batches(df.sparkSession)
     rows = df.select(df[key].alias("key"), df[url].cast("string").alias("url"), df[page].cast("string").alias("html"))
     kind = rows.schema["key"].dataType.simpleString()
     out = rows.mapInArrow(run, f"key {kind}, url string, text string, n_chars bigint")

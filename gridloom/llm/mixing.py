@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import WORD, checkpointed, fresh, small
+from gridloom.llm.common import WORD, checkpointed, columns, fresh, small
 
 DIMENSIONS = ("source", "lang", "topic")
 #: In place of a value: all values without a share of their own.
@@ -129,10 +129,10 @@ def sample(docs: DataFrame, targets: Targets = TARGETS, budget: float = 1.0, see
     chances = probabilities(fitted(docs.select(*(f[c].alias(c) for c in (*DIMENSIONS, "tokens"))), targets, rounds), budget)
     names = fresh(docs, *DIMENSIONS, "p")
     chances = small(chances.select(*(F.col(c).alias(n) for c, n in zip((*DIMENSIONS, "p"), names, strict=True))))
-    draws, empty = fresh(docs.select(docs["*"], *(F.lit(0).alias(n) for n in names)), "draw", "empty")
+    draws, empty = fresh(docs.select("*", *(F.lit(0).alias(n) for n in names)), "draw", "empty")
     rows = docs.select("*", *(f[c].alias(n) for c, n in zip(DIMENSIONS, names, strict=False)), f["draw"].alias(draws), f["empty"].alias(empty))
     found = rows.join(chances, names[:3], "left")
-    return found.where(F.col(empty) | (F.col(draws) < F.col(names[3]))).select(*(docs[c] for c in docs.columns))
+    return found.where(F.col(empty) | (F.col(draws) < F.col(names[3]))).select(*columns(docs))
 
 
 def oracle(targets: Targets = TARGETS, budget: float = 1.0, seed: int = 7, rounds: int = 36, table: str = "documents") -> str:

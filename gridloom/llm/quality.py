@@ -394,7 +394,7 @@ def scored(rows: DataFrame, model: DataFrame) -> DataFrame:
     return documents.groupBy("slot").cogroup(answers.groupBy("slot")).applyInArrow(_scored(shards, salts), "id bigint, lang string, part int, n bigint, nll double")
 
 
-def classify(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", low: float = 0.001, high: float = 0.999, prior: int = 50, fold: int = 5) -> DataFrame:
+def classify(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", low: float = 0.001, high: float = 0.999, prior: int = 50, fold: int = 5, row: str | None = None) -> DataFrame:
     """id, lang, n_chars, perplexity, steady, low, high, keep of each row.
 
     trusted has the keys of documents to learn from. One in `fold` of them, by a
@@ -408,7 +408,8 @@ def classify(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str
     language with fewer than 100 takes the wider of its own and of all languages'
     limits.
 
-    n_chars counts a run of white space as one. Null and empty texts have no
+    row names a column of numbers that tells rows apart, to be the id in the
+    result in place of the key. n_chars counts a run of white space as one. Null and empty texts have no
     perplexity and are kept; a null language is one of its own; rows of a
     language without trusted text, and all rows without any, have no perplexity
     and are kept. Repeated rows are judged alike; rows that share a key are
@@ -416,8 +417,8 @@ def classify(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str
     """
     bounded_batches(docs.sparkSession)
     ids = small(trusted.select(trusted[key].cast("long").alias("t")).where("t IS NOT NULL").distinct())
-    rows = docs.select(docs[key].cast("long").alias("id"), F.coalesce(docs[lang].cast("string"), F.lit("")).alias("lang"), F.coalesce(docs[text].cast("string"), F.lit("")).alias("text"))
-    rows = rows.join(ids, F.col("id") == F.col("t"), "left").select("id", "lang", "text", F.col("t").isNotNull().alias("trusted"), (F.pmod(F.xxhash64("id"), F.lit(fold)) == 0).alias("fold"))
+    rows = docs.select(docs[key].cast("long").alias("key"), docs[row or key].cast("long").alias("id"), F.coalesce(docs[lang].cast("string"), F.lit("")).alias("lang"), F.coalesce(docs[text].cast("string"), F.lit("")).alias("text"))
+    rows = rows.join(ids, F.col("key") == F.col("t"), "left").select("id", "lang", "text", F.col("t").isNotNull().alias("trusted"), (F.pmod(F.xxhash64("key"), F.lit(fold)) == 0).alias("fold"))
     own = checkpointed(counts(rows.where("trusted AND NOT fold AND text <> ''")))
     known = small(own.select("lang").distinct().withColumn("model", F.lit(True)))
     rows = rows.join(known, "lang", "left").select("id", "lang", F.when(~F.col("trusted"), 0).when(F.col("fold"), HELD).otherwise(LEARNED).alias("part"), "text", F.col("model").isNotNull().alias("model"))

@@ -7,8 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
-from gridloom.llm import chat_trees, decontaminate, html_text, mixing, quality, simhash, substring_dedup, suffix_dedup, warc, winnowing
+from gridloom.llm import chat_trees, decontaminate, html_text, mixing, pipeline, quality, simhash, substring_dedup, suffix_dedup, warc, winnowing
 from gridloom.llm.common import shared_dir
 from gridloom.llm.repeats import rest_of
 from gridloom.registry import Registry
@@ -129,4 +128,4 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
-REGISTRY.query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
+REGISTRY.query("pipeline", pipeline.ORACLE_SQL)(pipeline.run)

@@ -27,6 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridloom.llm import blobs, hashing
 from gridloom.llm.common import batches_of, bounded_batches, buffers, parts_for, text_bytes
@@ -283,23 +284,28 @@ def _packed_text(plan: Plan, part: pa.RecordBatch) -> Iterator[tuple[int, bytes,
     order = np.argsort(slot, kind="stable")
     cuts = np.flatnonzero(np.append(True, slot[order][1:] != slot[order][:-1])) if len(order) else []
     view = memoryview(data)
-    carried = buffers(part.column(2)) if part.num_columns > 2 else None
-    beside = memoryview(carried[0]) if carried is not None else None
+    beside = pa.RecordBatch.from_arrays(part.columns[2:], [f"carried_{k}" for k in range(part.num_columns - 2)]) if part.num_columns > 2 else None
     for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True) if len(order) else ():
         rows = order[a:b]
         body = b"".join(view[offsets[r] : offsets[r + 1]] for r in rows)
-        extra = None
-        if carried is not None:
-            extra = blobs.pack_text(ids[rows], carried[2][rows], np.diff(carried[1])[rows], b"".join(beside[carried[1][r] : carried[1][r + 1]] for r in rows))
+        extra = None if beside is None else _ipc(beside.take(pa.array(rows)))
         yield int(slot[rows[0]]), blobs.pack_text(ids[rows], has_id[rows] + 2 * there[rows], np.diff(offsets)[rows], body), extra
 
 
+def _ipc(batch: pa.RecordBatch) -> bytes:
+    """A batch of any types as bytes."""
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_batch(batch)
+    return out.getvalue().to_pybytes()
+
+
 class Group:
     """A group's documents. Rows with one id and text are one here, twin tells which."""
 
     def __init__(self, packed: list[bytes], extra: list[bytes] = ()) -> None:
         parts = [blobs.unpack_text(b) for b in packed]
-        self.carried = [blobs.unpack_text(b) for b in extra]
+        self.carried = pa.concat_tables([pa.ipc.open_stream(b).read_all() for b in extra]) if len(extra) else None
         self.ids = np.concatenate([p[0] for p in parts])
         self.has_id = np.concatenate([p[1] for p in parts]) & 1 > 0
         lengths = np.concatenate([p[2] for p in parts])
@@ -513,18 +519,17 @@ def _rows(plan: Plan, group: Group, out: list[tuple]) -> pa.Table:
     rows = pa.table([ids, pa.array(n_units, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(np.diff(spans), pa.int64()), listed, kept.cast(pa.string() if text else pa.binary())], ["id", "n_units", "n_removed", "n_spans", "spans", "kept"])
     if (group.twin != np.arange(len(group.twin))).any():
         rows = rows.take(pa.array(group.twin))
-    if group.carried:
-        sizes = np.concatenate([[0], np.cumsum(np.concatenate([c[2] for c in group.carried]))])
-        body = b"".join(c[3] for c in group.carried)
-        rows = rows.append_column("carried", pa.Array.from_buffers(pa.large_string(), len(n_units), [None, pa.py_buffer(sizes.astype(np.int64).tobytes()), pa.py_buffer(body)]).cast(pa.string()))
+    if group.carried is not None:
+        for name in group.carried.column_names:
+            rows = rows.append_column(name, group.carried.column(name))
     return rows
 
 
-def remove_repeats(docs: DataFrame, key: str, text: str, kind: str, n: int, levels: tuple[int, ...], window_key: Callable | None = None, carry: F.Column | None = None, whole: bool = False) -> DataFrame:
-    """Per row of docs: id, n_units, n_removed, n_spans, spans (start, end in units), kept (string for words, binary for bytes), and carried.
+def remove_repeats(docs: DataFrame, key: str, text: str, kind: str, n: int, levels: tuple[int, ...], window_key: Callable | None = None, carry: list[str] | None = None, whole: bool = False) -> DataFrame:
+    """Per row of docs: id, n_units, n_removed, n_spans, spans (start, end in units), kept (string for words, binary for bytes), and carried_0 and so on.
 
     whole: of bytes, kept is a string without the characters that lose a byte.
-    carry is a string to bring along from each row, so that no join need find the row again.
+    carry names columns of any type to bring along from each row, so that no join need find the row again.
 
     A unit goes if a window of n units over it also starts in a document with
     a smaller id. A null text has no units. A row with a null id loses nothing
@@ -549,17 +554,17 @@ def remove_repeats(docs: DataFrame, key: str, text: str, kind: str, n: int, leve
     if carry is None:
         documents = rows.mapInArrow(packed, schema)
     else:
-        beside = docs.select(docs[key].cast("long").alias("id"), docs[text].cast("string").alias("text"), F.coalesce(carry, F.lit("")).alias("carry"))
+        beside = docs.select(docs[key].cast("long").alias("id"), docs[text].cast("string").alias("text"), *(F.col(f"`{c.replace('`', '``')}`").alias(f"carried_{k}") for k, c in enumerate(carry)))
         documents = beside.mapInArrow(packed, schema + ", extra binary")
     sent = rows.mapInArrow(_first_level(plan, window_key), schema)
     for level in range(len(levels)):
         answers = sent.groupBy("slot").applyInArrow(_reduced(plan, level), schema)
         if level + 1 < len(levels):
             sent = documents.groupBy("slot").cogroup(answers.groupBy("slot")).applyInArrow(_next_level(plan, level + 1, window_key), schema)
-    kept = "string" if kind == "words" or whole else "binary"
-    result = "id bigint, n_units bigint, n_removed bigint, n_spans bigint, spans array<struct<start:bigint,end:bigint>>, kept " + kept
-    if carry is not None:
-        result += ", carried string"
+    span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
+    result = T.StructType([*(T.StructField(c, T.LongType()) for c in ("id", "n_units", "n_removed", "n_spans")), T.StructField("spans", T.ArrayType(span)), T.StructField("kept", T.StringType() if kind == "words" or whole else T.BinaryType())])
+    for k, name in enumerate(carry or ()):
+        result = result.add(f"carried_{k}", docs.schema[name].dataType)
     return documents.groupBy("slot").cogroup(answers.groupBy("slot")).applyInArrow(_result(plan), result)
 
 

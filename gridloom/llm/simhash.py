@@ -25,11 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm import blobs, hashing
-from gridloom.llm.common import bounded_batches, buffers, checkpointed
+from gridloom.llm.common import bounded_batches, buffers, checkpointed, parts_for
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: Buckets of up to so many fingerprints are compared pair by pair.
 SMALL = 32
+#: Bytes of keys and fingerprints that one bucket gathers.
+BUCKET_BYTES = 16 << 20
 
 
 def shingle_hashes(raw: bytes, size: int) -> np.ndarray:
@@ -195,7 +197,8 @@ def links(nodes: DataFrame, k: int = 4) -> DataFrame:
     """a, b: links between the distinct values of column fp that join what all links of at most k bits join."""
     if not 1 <= k <= 15:
         raise ValueError("k must be 1 to 15")
-    slots = max(1, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # a fingerprint has k + 33 keys or so, of 17 bytes each
+    slots = -(-parts_for(nodes.sparkSession, 17 * (k + 33) * nodes.count(), BUCKET_BYTES) // (k + 1))
 
     def deal(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:

@@ -2,12 +2,19 @@
 
 Two sets at a similarity of 4/5 or more share an element among the first fifth
 of each, whichever order all sets have. Sets that share no such element are
-never compared, and no pair that counts is lost. What meets is compared by size
-and by a bitmap of 1024 parities, which differ in no more bits than the sets
-differ in elements; then by parities over more places, last by the sets themselves.
-
-Sets that SimHash links are verified first. What they join already is not
-compared again, so that a large group of near copies does not list all its pairs.
+never compared, and no pair that counts is lost. The order is that of the
+elements' hashes, but for elements that many sets have, which come last: a
+common passage brings no sets together that share nothing else.
+
+What meets is compared by size and by parities, which differ in no more bits
+than the sets differ in elements; last by the sets themselves, made again from
+the texts. Only what can join two components is looked at:
+
+1. Sets whose SimHash is within a few bits, found by pigeonring filtering.
+2. Sets that meet at one of their very first elements, and then at any. A group
+   of sets that meet gives a forest of its likely pairs, not all of them.
+3. Where a likely pair turns out not to be similar, the groups it was in again,
+   now with all their pairs between different components.
 """
 
 from __future__ import annotations
@@ -25,19 +32,24 @@ from gridloom.llm.common import bounded_batches, buffers, checkpointed, parts_fo
 
 #: Two sets are similar if 5 times their common elements are at least 4 times all of theirs.
 PART, WHOLE = 4, 5
-#: Bits of a set's parities.
-BITS = 1024
-#: Bytes of a set's parities that go to a bucket.
-WIDE = 1024
+#: Bits of a set's parities at least, and bytes of them that are kept at most.
+BITS, WIDE = 256, 1024
 #: Bytes that one bucket gathers, and the largest group whose pairs are taken step by step.
 BUCKET, SMALL = 8 << 20, 32
+#: An element is common if in some batch so many of its rows have it, and this share of them. So many of them are known at most: they only change the order.
+COMMON_ROWS, COMMON_SHARE, COMMON_KEPT = 8, 1 / 64, 1 << 20
+#: The very first elements.
+FIRST = 8
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_COMMON = np.uint64(1 << 63)
 
 
 def parities(hashes: np.ndarray) -> np.ndarray:
-    """Whether an odd number of hashes falls to each of at least BITS places, two and more for each hash, packed."""
-    places = max(BITS, 1 << (2 * len(hashes) - 1).bit_length()) if len(hashes) else BITS
+    """Whether an odd number of hashes falls to each of at least BITS places, one and more for each hash, packed."""
+    places = max(BITS, 1 << max(0, len(hashes) - 1).bit_length())
     at = (hashing.mix(hashes, 5) % np.uint64(places)).astype(np.int64)
-    return np.packbits((np.bincount(at, minlength=places) & 1).astype(bool))
+    return folded(np.packbits((np.bincount(at, minlength=places) & 1).astype(bool)), WIDE)
 
 
 def folded(bits: np.ndarray, size: int) -> np.ndarray:
@@ -65,24 +77,76 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> bool:
     return WHOLE * both >= PART * (len(a) + len(b) - both)
 
 
-def sets(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """id, sig (a hash of the set), fp (SimHash), n, wide (parities), hashes (sorted) of each row's shingles."""
+def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each run of `size` words of some documents, A-Z lower-cased, and the runs before each document; fewer words are one run."""
+    starts, ends, counts = hashing.word_bounds(_LOWER[data], offsets)
+    words = np.diff(counts)
+    runs = np.where(words > size, words - size + 1, np.minimum(words, 1))
+    before = np.concatenate([[0], np.cumsum(runs)])
+    if not before[-1]:
+        return np.zeros(0, np.uint64), before
+    first = np.arange(before[-1]) - np.repeat(before[:-1] - counts[:-1], runs)
+    width = np.repeat(np.minimum(words, size), runs)
+    roll = hashing.Rolling(hashing.word_units(_LOWER[data], starts, ends))
+    return hashing.mix(roll.at(first, first + width) + width.astype(np.uint64), 29), before
+
+
+def ordered(hashes: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """A set as sorted numbers; those of common elements are the largest."""
+    own = np.unique(hashes >> np.uint64(1))
+    if not len(common):
+        return own
+    at = np.minimum(np.searchsorted(common, own), len(common) - 1)
+    return np.sort(np.where(common[at] == own, own | _COMMON, own))
+
+
+def common_elements(docs: DataFrame, text: str, size: int) -> np.ndarray:
+    """Elements that many sets have, sorted: at most COMMON_KEPT, those with most sets."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            data, off, _ = buffers(part.column(1))
-            view, rows = data.tobytes(), []
-            for k in range(len(off) - 1):
-                found = simhash.shingle_hashes(view[off[k] : off[k + 1]], size)
-                own = np.unique(found)
-                raw = own.astype("<u8").tobytes()
-                wide = parities(own)
-                rows.append((xxhash.xxh64_intdigest(raw, 7), simhash.simhash(found), len(own), wide.tobytes(), raw))
+            data, off, _ = buffers(part.column(0))
+            found, before = shingles(data, off, size)
+            found >>= np.uint64(1)
+            row = np.repeat(np.arange(part.num_rows), np.diff(before))
+            order = np.lexsort((row, found))
+            found, row = found[order], row[order]
+            new = np.append(True, (found[1:] != found[:-1]) | (row[1:] != row[:-1])) if len(found) else np.zeros(0, bool)
+            value, rows = np.unique(found[new], return_counts=True)
+            often = rows >= max(COMMON_ROWS, COMMON_SHARE * part.num_rows)
+            yield pa.RecordBatch.from_arrays([pa.array(value[often].view(np.int64)), pa.array(rows[often])], ["element", "rows"])
+
+    found = docs.select(docs[text].cast("string").alias("text")).mapInArrow(run, "element bigint, rows bigint").groupBy("element").agg(F.sum("rows").alias("rows"))
+    kept = found.orderBy(F.desc("rows"), "element").limit(COMMON_KEPT).select("element").toArrow()  # 8 MB at most
+    return np.sort(kept.column(0).to_numpy().view(np.uint64))
+
+
+_SETS = "sig bigint, fp bigint, n bigint, wide binary, tokens binary"
+
+
+def sets(docs: DataFrame, common, text: str, size: int) -> DataFrame:
+    """Other columns of docs, and sig (a hash of the set), fp (SimHash), n, wide (parities), tokens (the first fifth, sorted) of each row's shingles."""
+    others = [c for c in docs.columns if c != text]
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            data, off, _ = buffers(part.column(len(others)))
+            found, before = shingles(data, off, size)
+            rows = []
+            for k in range(part.num_rows):
+                each = found[before[k] : before[k + 1]]
+                own = ordered(each, common.value)
+                rows.append((signature(own), simhash.simhash(each), len(own), parities(own).tobytes(), own[: prefix(len(own))].tobytes()))
             sig, fp = (np.array([r[c] for r in rows], np.uint64).view(np.int64) for c in (0, 1))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sig), pa.array(fp), pa.array([r[2] for r in rows], pa.int64()), *(pa.array([r[c] for r in rows], pa.binary()) for c in (3, 4))], ["id", "sig", "fp", "n", "wide", "hashes"])
+            columns = [pa.array(sig), pa.array(fp), pa.array([r[2] for r in rows], pa.int64()), *(pa.array([r[c] for r in rows], pa.binary()) for c in (3, 4))]
+            yield pa.RecordBatch.from_arrays([*part.columns[: len(others)], *columns], [*others, "sig", "fp", "n", "wide", "tokens"])
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != text)
+    return docs.select(*others, text).mapInArrow(run, f"{kinds}, {_SETS}")
 
-    rows = docs.select(docs[key].cast("long").alias("id"), docs[text].cast("string").alias("text"))
-    return rows.mapInArrow(run, "id bigint, sig bigint, fp bigint, n bigint, wide binary, hashes binary")
+
+def signature(own: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(own.tobytes(), 7)
 
 
 def _dealt(token: np.ndarray, slots: int, columns: list[np.ndarray]) -> pa.RecordBatch:
@@ -95,35 +159,40 @@ def _dealt(token: np.ndarray, slots: int, columns: list[np.ndarray]) -> pa.Recor
 
 
 def shared(rows: DataFrame) -> DataFrame:
-    """token, sig: the prefix elements that several of the sets have."""
-    total = rows.agg(F.coalesce(F.sum(F.expr(f"n - ceil({PART} * n / {WHOLE}) + 1")), F.lit(0)).alias("n")).first()["n"]
-    slots = parts_for(rows.sparkSession, 16 * int(total), BUCKET)
+    """token, rank, sig: the first elements that several of the sets have, and which of its own a set counts them."""
+    total = rows.agg(F.coalesce(F.sum(F.octet_length("tokens")), F.lit(0)).alias("n")).first()["n"]
+    slots = parts_for(rows.sparkSession, 2 * int(total), BUCKET)
 
     def deal(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             sig = part.column(0).to_numpy(zero_copy_only=False)
             data, off, _ = buffers(part.column(1))
-            values, at = data.view("<u8"), off // 8
             each = np.unique(sig, return_index=True)[1]
-            take = [values[at[r] : at[r] + prefix(int(at[r + 1] - at[r]))] for r in each.tolist()]
+            counts = (np.diff(off) // 8)[each]
+            take = [data[off[r] : off[r + 1]].view("<u8") for r in each.tolist()]
             token = np.concatenate(take) if take else np.zeros(0, np.uint64)
-            yield _dealt(token, slots, [token, np.repeat(sig[each], [len(t) for t in take])])
+            rank = np.minimum(np.arange(len(token)) - np.repeat(np.cumsum(counts) - counts, counts), 255).astype("u1")
+            yield _dealt(token, slots, [token, rank, np.repeat(sig[each], counts)])
 
     def meet(slot: tuple, found: pa.Table) -> pa.Table:
-        token, sig = blobs.unpack_all(found.column("blob").to_pylist(), ["<u8", "<i8"])
+        token, rank, sig = blobs.unpack_all(found.column("blob").to_pylist(), ["<u8", "u1", "<i8"])
         order = np.lexsort((sig, token))
-        token, sig = token[order], sig[order]
+        token, rank, sig = token[order], rank[order], sig[order]
         new = np.append(True, (token[1:] != token[:-1]) | (sig[1:] != sig[:-1])) if len(token) else np.zeros(0, bool)
-        token, sig = token[new], sig[new]
+        token, rank, sig = token[new], rank[new], sig[new]
         same = token[1:] == token[:-1]
         several = np.append(same, False) | np.append(False, same) if len(token) else np.zeros(0, bool)
-        return pa.table({"token": pa.array(token[several].view(np.int64)), "sig": pa.array(sig[several])})
+        return pa.table({"token": pa.array(token[several].view(np.int64)), "rank": pa.array(rank[several].astype("i4")), "sig": pa.array(sig[several])})
+
+    return rows.select("sig", "tokens").mapInArrow(deal, "slot bigint, blob binary").groupBy("slot").applyInArrow(meet, "token bigint, rank int, sig bigint")
 
-    return rows.select("sig", "hashes").mapInArrow(deal, "slot bigint, blob binary").groupBy("slot").applyInArrow(meet, "token bigint, sig bigint")
 
+def close(token: np.ndarray, n: np.ndarray, label: np.ndarray, bits: np.ndarray, row: np.ndarray, joins: Callable[[int, int], bool] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Places of pairs of one token and two labels whose sizes and parities (bits, by row) may be those of similar sets; token and n are sorted.
 
-def close(token: np.ndarray, n: np.ndarray, label: np.ndarray, bits: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the pairs of one token and two labels whose sizes and parities (bits, by row) may be those of similar sets; token and n are sorted."""
+    All such pairs; or with `joins`, which tells of two rows whether they will
+    do, of each large group only so many that the others would join no more labels.
+    """
 
     def fits(i: np.ndarray, j: np.ndarray) -> np.ndarray:
         ok = np.flatnonzero((label[i] != label[j]) & (WHOLE * n[i] >= PART * n[j]))
@@ -141,23 +210,43 @@ def close(token: np.ndarray, n: np.ndarray, label: np.ndarray, bits: np.ndarray,
         right.append(i[ok] + step)
     for g in np.flatnonzero(count > SMALL):
         a, b = int(start[g]), int(start[g] + count[g])
+        root = label[a:b].copy()
         for x in range(a, b):
             j = np.arange(x + 1, a + int(np.searchsorted(n[a:b], WHOLE * n[x] // PART, "right")))
-            ok = fits(np.full(len(j), x), j)
-            left.append(np.full(len(ok), x))
-            right.append(j[ok])
+            j = j[root[j - a] != root[x - a]]
+            j = j[fits(np.full(len(j), x), j)]
+            if joins is not None:
+                found = []
+                for y in j.tolist():
+                    if root[y - a] != root[x - a] and joins(int(row[x]), int(row[y])):
+                        found.append(y)
+                        root[root == root[y - a]] = root[x - a]
+                j = np.array(found, np.int64)
+            left.append(np.full(len(j), x))
+            right.append(j)
     return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def candidates(tokens: DataFrame, nodes: DataFrame) -> DataFrame:
-    """a, b: pairs of nodes (sig, n, label, wide) that may be similar, of different labels. A set's parities go to a slot once for each batch."""
-    slots = parts_for(tokens.sparkSession, (32 + BITS // 8) * tokens.count(), BUCKET)
+def between(tokens: DataFrame, roots: DataFrame) -> DataFrame:
+    """token, sig, label of the tokens that sets of several components have; roots are (node, root), a set without one is its own."""
+    own = tokens.join(small(roots), tokens["sig"] == F.col("node"), "left").select("token", "sig", F.coalesce("root", "sig").alias("label"))
+    own = checkpointed(own)
+    mixed = own.groupBy("token").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("token")
+    return checkpointed(own.join(mixed, "token", "left_semi"))
+
+
+def candidates(tokens: DataFrame, nodes: DataFrame, every: bool) -> DataFrame:
+    """a, b: pairs of sets that may be similar, of different labels, of tokens (token, sig, label) and nodes (sig, n, wide); all, or a forest for each token.
+
+    A set's parities go to a slot once for each batch.
+    """
+    slots = parts_for(tokens.sparkSession, (40 + BITS // 8) * tokens.count(), BUCKET)
 
     def deal(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             sig, n, label = (part.column(c).to_numpy(zero_copy_only=False) for c in range(3))
             data, off, _ = buffers(part.column(3))
-            wide = [folded(data[off[r] : off[r + 1]], WIDE) for r in range(part.num_rows)]
+            wide = [data[off[r] : off[r + 1]] for r in range(part.num_rows)]
             token = part.column(4).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             row = np.repeat(np.arange(part.num_rows), part.column(4).value_lengths().to_numpy(zero_copy_only=False))
             slot = (hashing.mix(token, 3) % np.uint64(slots)).astype(np.int64)
@@ -176,53 +265,70 @@ def candidates(tokens: DataFrame, nodes: DataFrame) -> DataFrame:
         met = [blobs.unpack(x, ["<u8", "<i8"]) for x in found.column("tokens").to_pylist()]
         token, row = np.concatenate([x[0] for x in met]), np.concatenate([x[1] + k for x, k in zip(met, before[:-1], strict=True)])
         sig, n, label, sizes = (np.concatenate([x[c] for x in sets_of]) for c in range(4))
-        (data,) = blobs.unpack_all(found.column("wide").to_pylist(), ["u1"])
+        data = np.concatenate([blobs.unpack(x, ["u1"])[0] for x in found.column("wide").to_pylist()])
         ends = np.cumsum(sizes)
         wide = [data[e - z : e] for e, z in zip(ends.tolist(), sizes.tolist(), strict=True)]
         bits = np.stack([folded(w, BITS // 8) for w in wide]).view("<u8")
         order = np.lexsort((sig[row], n[row], token))
         row = row[order]
-        i, j = close(token[order], n[row], label[row], bits, row)
-        pairs = np.unique(np.stack([row[i], row[j]], axis=1), axis=0).tolist()
-        ok = np.array([(x, y) for x, y in pairs if may_be(n[x], wide[x], n[y], wide[y])], np.int64).reshape(-1, 2)
+        known: dict[tuple[int, int], bool] = {}
+
+        def joins(x: int, y: int) -> bool:
+            pair = (x, y) if x < y else (y, x)
+            if pair not in known:
+                known[pair] = may_be(n[x], wide[x], n[y], wide[y])
+            return known[pair]
+
+        i, j = close(token[order], n[row], label[row], bits, row, None if every else joins)
+        pairs = np.unique(np.sort(np.stack([row[i], row[j]], axis=1), axis=1), axis=0).tolist()
+        ok = np.array([p for p in pairs if joins(*p)], np.int64).reshape(-1, 2)
         a, b = sig[ok[:, 0]], sig[ok[:, 1]]
         return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
 
-    rows = tokens.groupBy("sig").agg(F.collect_list("token").alias("tokens")).join(nodes.select("sig", "n", "label", "wide"), "sig")
+    rows = tokens.groupBy("sig", "label").agg(F.collect_list("token").alias("tokens")).join(nodes.select("sig", "n", "wide"), "sig")
     return rows.select("sig", "n", "label", "wide", "tokens").mapInArrow(deal, "slot bigint, tokens binary, sets binary, wide binary").groupBy("slot").applyInArrow(meet, "a bigint, b bigint").distinct()
 
 
-def _pairs(pairs: DataFrame, rows: DataFrame, column: str, test: Callable[[int, np.ndarray, int, np.ndarray], bool]) -> DataFrame:
-    """The pairs (a, b) that pass test(n, bytes of the column, and both of the other). Only rows that are in a pair are dealt out."""
+def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar. Only sets of pairs are made again, each from one of its rows in docs (id, tag, text)."""
+
+    def again(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            data, off, _ = buffers(part.column(1))
+            found, before = shingles(data, off, size)
+            own = [np.unique(found[before[k] : before[k + 1]] >> np.uint64(1)).tobytes() for k in range(part.num_rows)]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own, pa.binary())], ["sig", "hashes"])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            (x, xo, _), (y, yo, _) = buffers(part.column(4)), buffers(part.column(5))
-            n, m = part.column(2).to_pylist(), part.column(3).to_pylist()
-            ok = [test(n[k], x[xo[k] : xo[k + 1]], m[k], y[yo[k] : yo[k + 1]]) for k in range(part.num_rows)]
+            (x, xo, _), (y, yo, _) = buffers(part.column(2)), buffers(part.column(3))
+            ok = [jaccard(x[xo[k] : xo[k + 1]].view("<u8"), y[yo[k] : yo[k + 1]].view("<u8")) for k in range(part.num_rows)]
             yield part.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    pairs = checkpointed(pairs)
-    needed = small(pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct())
-    own = rows.select("sig", "n", column).join(needed, "sig", "left_semi").dropDuplicates(["sig"])
-    side = lambda *names: own.select(*(F.col(c).alias(k) for c, k in zip(("sig", "n", column), names, strict=True)))
-    both = pairs.join(side("a", "n", "x"), "a").join(side("b", "m", "y"), "b")
-    return both.select("a", "b", "n", "m", "x", "y").mapInArrow(run, "a bigint, b bigint")
-
-
-def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar."""
-    return _pairs(_pairs(pairs, rows, "wide", may_be), rows, "hashes", lambda n, x, m, y: jaccard(x.view("<u8"), y.view("<u8")))
+    needed = small(pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct())
+    one = small(rows.select("sig", "id", "tag").join(needed, "sig", "left_semi").groupBy("sig").agg(F.min(F.struct("id", "tag")).alias("r")).select("sig", F.col("r.id").alias("i"), F.col("r.tag").alias("t")))
+    own = docs.join(one, docs["id"].eqNullSafe(F.col("i")) & (docs["tag"] == F.col("t"))).select("sig", "text")
+    own = own.mapInArrow(again, "sig bigint, hashes binary").dropDuplicates(["sig"])
+    side = lambda a, x: own.select(F.col("sig").alias(a), F.col("hashes").alias(x))
+    both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y")
+    return checkpointed(both.mapInArrow(run, "a bigint, b bigint"))
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, k: int = 6) -> DataFrame:
-    """id, component (the smallest id reachable over pairs of similar texts, itself included) of each row.
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, k: int = 6, tag: F.Column | None = None) -> DataFrame:
+    """id, tag, component (the smallest id reachable over pairs of similar texts, itself included), first of each row.
 
     Texts without words are alike and similar to no other. k: bits of SimHash
-    within which sets are compared first, which changes no result.
+    within which sets are compared first, which changes no result. tag tells
+    rows with one id apart, by default by their texts; first is true of the row
+    with the smallest (id, tag) of its component, and of rows like it. A null id
+    is in its component but never the smallest; one of null ids alone has a null
+    id. An empty table gives none; other columns are left out.
     """
-    bounded_batches(docs.sparkSession)
-    rows = checkpointed(sets(docs, key, text, size))
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    docs = docs.select(docs[key].cast("long").alias("id"), (F.xxhash64(docs[text].cast("string")) if tag is None else tag).alias("tag"), docs[text].cast("string").alias("text"))
+    common = spark.sparkContext.broadcast(common_elements(docs, "text", size))  # 8 MB at most
+    rows = checkpointed(sets(docs, common, "text", size))
     tokens = checkpointed(shared(rows))
     needed = small(tokens.select("sig").distinct())
     nodes = checkpointed(rows.join(needed, "sig", "left_semi").select("sig", "fp", "n", "wide").dropDuplicates(["sig"]))
@@ -230,12 +336,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     far = simhash.links(first, k)
     far = far.join(first.select(F.col("fp").alias("a"), F.col("rep").alias("x")), "a").join(first.select(F.col("fp").alias("b"), F.col("rep").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     alike = nodes.join(first, "fp").where("sig <> rep").select(F.col("sig").alias("a"), F.col("rep").alias("b"))
-    edges = checkpointed(verified(far.unionByName(alike), rows))
+    edges = verified(checkpointed(far.unionByName(alike)), rows, docs, size)
     roots = simhash.components(edges)
-    labelled = nodes.join(roots, nodes["sig"] == roots["node"], "left").withColumn("label", F.coalesce("root", "sig"))
-    more = verified(candidates(tokens, labelled), rows)
-    roots = simhash.components(edges.unionByName(more))
-    least = rows.groupBy("sig").agg(F.min("id").alias("least"))
-    rooted = checkpointed(least.join(roots, least["sig"] == roots["node"], "left").select("sig", "least", F.coalesce("root", "sig").alias("root")))
-    lowest = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    return rows.select("id", "sig").join(rooted.join(lowest, "root").select("sig", "component"), "sig").select("id", "component")
+    for own in (tokens.where(F.col("rank") < FIRST), tokens):
+        pairs = checkpointed(candidates(between(own, roots), nodes, every=False))
+        found = verified(pairs, rows, docs, size)
+        edges = edges.unionByName(found)
+        roots = simhash.components(edges)
+    failed = checkpointed(pairs.join(found, ["a", "b"], "left_anti"))
+    if not failed.isEmpty():
+        ends = small(failed.select(F.col("a").alias("sig")).union(failed.select("b")).distinct())
+        theirs = tokens.join(ends, "sig", "left_semi").select("token").distinct()
+        more = candidates(between(tokens.join(theirs, "token", "left_semi"), roots), nodes, every=True).join(failed, ["a", "b"], "left_anti")
+        roots = simhash.components(edges.unionByName(verified(checkpointed(more), rows, docs, size)))
+    own = F.struct(F.col("id").isNull().alias("none"), "id", "tag")
+    least = rows.groupBy("sig").agg(F.min("id").alias("least"), F.min(own).alias("head"))
+    rooted = checkpointed(least.join(roots, least["sig"] == roots["node"], "left").select("sig", "least", "head", F.coalesce("root", "sig").alias("root")))
+    lowest = rooted.groupBy("root").agg(F.min("least").alias("component"), F.min("head").alias("head"))
+    named = rooted.select("sig", "root").join(lowest, "root").select("sig", "component", "head")
+    return rows.select("id", "tag", "sig").join(named, "sig").select("id", "tag", "component", (own == F.col("head")).alias("first"))

@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from gridloom.llm import hashing
 from gridloom.llm.repeats import Chunk, Plan, remove_repeats
@@ -44,13 +43,13 @@ def suffix_buckets(plan: Plan, chunk: Chunk, places: np.ndarray) -> tuple[np.nda
     return out[0], out[1]
 
 
-def dedup_bytes(docs: DataFrame, n: int = 50, q: int = 16, key: str = "doc_id", text: str = "text", carry: F.Column | None = None, whole: bool = False) -> DataFrame:
+def dedup_bytes(docs: DataFrame, n: int = 50, q: int = 16, key: str = "doc_id", text: str = "text", carry: list[str] | None = None, whole: bool = False) -> DataFrame:
     """Removes each byte covered by an n-byte string that also starts in a document with a smaller key.
 
     Texts are UTF-8 bytes; matches never cross documents. Returns id, n_units,
     n_removed, n_spans, spans (start, end in bytes) and kept (binary, the bytes
     that stay; with `whole` a string without the characters that lose a byte)
-    per row, and carried, the string that carry makes of the row. A null text has no bytes; a null key takes no part and
+    per row, and the columns that carry names as carried_0 and so on. A null text has no bytes; a null key takes no part and
     loses nothing; repeated rows get the same result; an empty table gives
     none; other columns are left out.
     """

@@ -1,90 +1,8 @@
-"""From raw documents to a training mixture: five stages, each a training-data operator.
+"""The training-data pipeline: the quality classifier, SimHash near-dedup, suffix-array dedup, benchmark decontamination and mixing in turn.
 
-Every stage works on all that the one before kept, and its decisions take
-effect. All but the last return the columns of `documents`. Rows with null
-columns, empty texts or repeated keys pass through as each stage states; an
-empty table gives an empty one.
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; see gridloom/llm/pipeline.py.
 """
 
-from __future__ import annotations
+from gridloom.llm.pipeline import NEAR_BITS, ORACLE_SQL, STAGES, mixture, near_dedup, quality_filter, repeated_bytes, run, without_benchmark
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from gridloom.llm import decontaminate, mixing, quality, similar, suffix_dedup
-from gridloom.llm.common import checkpointed, small
-from gridloom.session import table
-
-#: Bits within which fingerprints of five-word shingles are compared before all others; what counts is a similarity of 0.8.
-NEAR_BITS = 6
-
-
-def _keyed(docs: DataFrame) -> DataFrame:
-    """docs with _key: the id, or for rows without one a hash of the text, above usual ids."""
-    return docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(1 << 62) + F.abs(F.xxhash64(F.coalesce("text", F.lit(""))) % (1 << 60))))
-
-
-def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose perplexity under the trusted text of their language is too high. Empty texts stay."""
-    rows = _keyed(docs)
-    trusted = table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0").select(F.col("doc_id").alias("_key"))
-    gone = small(quality.classify(rows, trusted, key="_key").where("NOT keep").select(F.col("id").alias("_gone")).distinct())
-    return rows.join(gone, F.col("_key") == F.col("_gone"), "left_anti").select(*docs.columns)
-
-
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents that share 0.8 of their five-word shingles the one with the smallest id stays; of repeated rows one."""
-    rows = _keyed(docs)
-    found = checkpointed(similar.near_duplicates(rows, key="_key", size=5, k=NEAR_BITS))
-    gone = small(found.where("id <> component").select(F.col("id").alias("_gone")).distinct())
-    twice = small(found.groupBy("id").count().where("count > 1").select(F.col("id").alias("_twice")))
-    kept = rows.join(gone, F.col("_key") == F.col("_gone"), "left_anti")
-    kept = kept.join(twice, F.col("_key") == F.col("_twice"), "left")
-    again = kept.where("_twice IS NOT NULL").dropDuplicates(["_key"])  # only rows with a repeated key are dealt out
-    return kept.where("_twice IS NULL").unionByName(again).select(*docs.columns)
-
-
-def repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts strings of 50 bytes and more that an earlier document has too; documents cut to nothing go.
-
-    A character that loses some of its bytes goes whole. n_chars is counted anew.
-    """
-    others = [f for f in docs.schema.fields if f.name not in ("text", "n_chars")]
-    flags = F.struct(*(F.col(f"`{f.name}`") for f in others), F.col("text").isNull().alias("_null"))
-    found = suffix_dedup.dedup_bytes(docs, carry=F.to_json(flags), whole=True)
-    own = F.from_json("carried", T.StructType([*others, T.StructField("_null", T.BooleanType())]))
-    rows = found.withColumn("own", own).where("n_units = 0 OR n_removed < n_units")
-    rows = rows.withColumn("text", F.when(F.col("own._null"), F.lit(None)).otherwise(F.col("kept")))
-    made = {"text": F.col("text"), "n_chars": F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
-    return rows.select(*((made[c] if c in made else F.col(f"own.`{c}`")).alias(c) for c in docs.columns))
-
-
-def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item."""
-    return decontaminate.clean(_keyed(docs), table(spark, sf_dir, "benchmark"), key="_key").select(*docs.columns)
-
-
-def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Draws documents so that sources, languages and topics come near their wanted shares of tokens."""
-    return mixing.sample(docs)
-
-
-STAGES = [
-    ("quality classifier", quality_filter),
-    ("simhash near-dedup", near_dedup),
-    ("suffix-array dedup", repeated_bytes),
-    ("benchmark decontamination", without_benchmark),
-    ("mixing", mixture),
-]
-
-#: The stages can't be said in SQL: perplexities and fingerprints need functions that DuckDB lacks.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table documents, each written to the checkpoint folder before the next reads it."""
-    docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = checkpointed(stage(spark, docs, sf_dir))
-    return STAGES[-1][1](spark, docs, sf_dir)
+__all__ = ["NEAR_BITS", "ORACLE_SQL", "STAGES", "mixture", "near_dedup", "quality_filter", "repeated_bytes", "run", "without_benchmark"]

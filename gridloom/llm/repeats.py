@@ -14,7 +14,7 @@ having settled its other bearers itself, and deals a q-gram with several
 blocks out by block. Rows travel packed, a blob for each map task and bucket.
 The text is dealt out by hash of the id, in groups of bounded bytes.
 
-Blocks are told apart by 64 bits of hash and 40 or more of their q-gram's, windows by 104 or more.
+Blocks are told apart by 64 bits of hash and 32 or more of their q-gram's, windows by 96 or more.
 """
 
 from __future__ import annotations
@@ -120,14 +120,17 @@ def sampled(key: np.ndarray, width: int) -> np.ndarray:
     return (place - (low & place)).astype(np.int64)
 
 
-def entries(plan: Plan, level: int, chunk: Chunk, candidates: np.ndarray, window_key: Callable | None) -> tuple[np.ndarray, ...]:
-    """Key, block, row in docs, lo and hi - lo of each run of candidate windows, lo counted in its document."""
+def entries(plan: Plan, level: int, chunk: Chunk, candidates: np.ndarray, names: Callable | None) -> tuple[np.ndarray, ...]:
+    """Key, block, row in docs, lo and hi - lo of each run of candidate windows, lo counted in its document.
+
+    names gives the identifiers of a level at each place. At the last level a window has those of the level before at its begin and at its end.
+    """
     n, q = plan.n, plan.levels[level]
     places = np.flatnonzero(candidates)
     if not len(places):
         return tuple(np.zeros(0, t) for t in ("u8", "u8", "i8", "i8", "i8"))
     if q < n:
-        gram = hashing.mix(chunk.roll.every(q))
+        gram = names(plan, level, chunk) if names else hashing.mix(chunk.roll.every(q))
         picked = sampled(gram, n - q + 1)[places]
         new = np.ones(len(places), bool)
         new[1:] = (picked[1:] != picked[:-1]) | (places[1:] != places[:-1] + 1)
@@ -137,7 +140,11 @@ def entries(plan: Plan, level: int, chunk: Chunk, candidates: np.ndarray, window
         block = hashing.mix(hashing.mix(chunk.roll.at(lo, hi + n)) + ((m - lo) << 20).astype(np.uint64) + (hi - lo).astype(np.uint64))
     else:
         lo = hi = places
-        key, block = window_key(plan, chunk, places) if window_key else (hashing.mix(chunk.roll.at(lo, lo + n)), hashing.mix(hashing.second(chunk.units).at(lo, lo + n)))
+        if names and level:
+            before, step = names(plan, level - 1, chunk), n - plan.levels[level - 1]
+            key, block = before[places], before[places + step]
+        else:
+            key, block = hashing.mix(chunk.roll.at(lo, lo + n)), hashing.mix(hashing.second(chunk.units).at(lo, lo + n))
     k = np.searchsorted(chunk.offsets, lo, "right") - 1
     return key >> np.uint64(16), block, chunk.docs[k], lo - chunk.offsets[k] + chunk.shift, hi - lo
 
@@ -241,8 +248,8 @@ def _sent(plan: Plan, level: int, found: list[tuple[np.ndarray, ...]], ids: np.n
     own = hashing.mix(key ^ hashing.mix(block)) >> np.uint64(16)
     key = np.where((several & ~key_first) | last, own, key)  # the first speaks for the key; the others go by block
     key, block, doc, tag, lo, wide, flags = (c[send] for c in (key, block, doc, tag, lo, wide, flags))
-    # 40 bits of the key are left to tell keys of a bucket apart
-    yield from _dealt((hashing.mix(key, 9) % np.uint64(plan.buckets)).astype(np.int64), [doc, lo, tag, wide.astype("u4"), flags, key & np.uint64((1 << 40) - 1), block])
+    # 32 bits of the key are left to tell keys of a bucket apart; keys taken for one only go to the next level together, as their blocks differ
+    yield from _dealt((hashing.mix(key, 9) % np.uint64(plan.buckets)).astype(np.int64), [doc, lo, tag, wide.astype("u4"), flags, key & np.uint64((1 << 32) - 1), block])
 
 
 def _reduced(plan: Plan, level: int) -> Callable:
@@ -352,7 +359,7 @@ def _again(chunk: Chunk, n: int, k: np.ndarray, lo: np.ndarray, wide: np.ndarray
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
-def _next_level(plan: Plan, level: int, window_key: Callable | None) -> Callable:
+def _next_level(plan: Plan, level: int, names: Callable | None) -> Callable:
     """Of a group: takes the answers of the level before, sends the open windows' runs at this level."""
 
     def run(slot: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -389,7 +396,7 @@ def _next_level(plan: Plan, level: int, window_key: Callable | None) -> Callable
             np.add.at(steps, at[stays], 1)
             np.add.at(steps, at[stays] + w[stays] + 1, -1)
             candidates = np.cumsum(steps[:-1]) > 0
-            found.append(entries(plan, level, chunk, candidates, window_key))
+            found.append(entries(plan, level, chunk, candidates, names))
         if told:
             r, at, w = _merged(*(np.concatenate(c) for c in zip(*told, strict=True)))
             if len(r):
@@ -400,7 +407,7 @@ def _next_level(plan: Plan, level: int, window_key: Callable | None) -> Callable
     return run
 
 
-def _first_level(plan: Plan, window_key: Callable | None) -> Callable:
+def _first_level(plan: Plan, names: Callable | None) -> Callable:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             data, offsets, _ = buffers(part.column(1))
@@ -411,7 +418,7 @@ def _first_level(plan: Plan, window_key: Callable | None) -> Callable:
                 found, pieces = [], np.zeros(j - i, bool)
                 for chunk in chunks(plan, own, off, has_id[i:j]):
                     pieces[chunk.docs[0]] |= chunk.shift > 0 or len(chunk.units) == CUT
-                    found.append(entries(plan, 0, chunk, chunk.starts(plan.n), window_key))
+                    found.append(entries(plan, 0, chunk, chunk.starts(plan.n), names))
                 yield from _slots(list(_sent(plan, 0, found, ids[i:j], _tags(own, off), pieces))).to_batches()
 
     return run
@@ -525,7 +532,7 @@ def _rows(plan: Plan, group: Group, out: list[tuple]) -> pa.Table:
     return rows
 
 
-def remove_repeats(docs: DataFrame, key: str, text: str, kind: str, n: int, levels: tuple[int, ...], window_key: Callable | None = None, carry: list[str] | None = None, whole: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str, text: str, kind: str, n: int, levels: tuple[int, ...], names: Callable | None = None, carry: list[str] | None = None, whole: bool = False) -> DataFrame:
     """Per row of docs: id, n_units, n_removed, n_spans, spans (start, end in units), kept (string for words, binary for bytes), and carried_0 and so on.
 
     whole: of bytes, kept is a string without the characters that lose a byte.
@@ -556,11 +563,11 @@ def remove_repeats(docs: DataFrame, key: str, text: str, kind: str, n: int, leve
     else:
         beside = docs.select(docs[key].cast("long").alias("id"), docs[text].cast("string").alias("text"), *(F.col(f"`{c.replace('`', '``')}`").alias(f"carried_{k}") for k, c in enumerate(carry)))
         documents = beside.mapInArrow(packed, schema + ", extra binary")
-    sent = rows.mapInArrow(_first_level(plan, window_key), schema)
+    sent = rows.mapInArrow(_first_level(plan, names), schema)
     for level in range(len(levels)):
         answers = sent.groupBy("slot").applyInArrow(_reduced(plan, level), schema)
         if level + 1 < len(levels):
-            sent = documents.groupBy("slot").cogroup(answers.groupBy("slot")).applyInArrow(_next_level(plan, level + 1, window_key), schema)
+            sent = documents.groupBy("slot").cogroup(answers.groupBy("slot")).applyInArrow(_next_level(plan, level + 1, names), schema)
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     result = T.StructType([*(T.StructField(c, T.LongType()) for c in ("id", "n_units", "n_removed", "n_spans")), T.StructField("spans", T.ArrayType(span)), T.StructField("kept", T.StringType() if kind == "words" or whole else T.BinaryType())])
     for k, name in enumerate(carry or ()):

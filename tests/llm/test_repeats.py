@@ -9,7 +9,7 @@ import pytest
 from gridloom.llm import repeats
 from gridloom.llm.queries import REGISTRY
 from gridloom.llm.substring_dedup import dedup_words, doubling
-from gridloom.llm.suffix_dedup import dedup_bytes, depths
+from gridloom.llm.suffix_dedup import bucket_pointers, dedup_bytes, depths
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -92,11 +92,36 @@ def test_documents_in_pieces(spark, kind, monkeypatch):
 def test_empty_table_and_levels(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert dedup_words(empty).count() == 0 and dedup_bytes(empty).count() == 0
-    assert doubling(50) == (12, 25, 50) and depths(16, 50) == [16, 32, 34]
+    assert doubling(50) == (12, 25, 50) and depths(16, 50) == (16, 32, 50) and depths(6, 100) == (6, 12, 24, 48, 96, 100)
     blank = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")
     assert sorted((r.id, r.n_units, r.kept) for r in dedup_words(blank).collect()) == [(1, 0, ""), (2, 0, "")]
 
 
+@pytest.mark.parametrize("kind", ["words", "bytes"])
+def test_very_long_text(spark, kind):
+    """A text of more units than are hashed at once, with repeats across the cuts."""
+    rng = random.Random(11)
+    long = " ".join(f"{rng.randrange(10**5):x}" for _ in range((1 << 20) + 9000 if kind == "words" else 230_000))
+    assert len(long) > 1 << 20
+    around = (1 << 20) * (len(long) // (1 << 20)) if kind == "bytes" else len(" ".join(long.split()[: 1 << 20]))
+    rows = [(5, long), (3, long[around - 400 : around + 400]), (4, long[:700] + " end"), (9, long[-900:]), (1, "short")]
+    assert spark_rows(spark, rows, kind, 50) == brute(rows, kind, 50)
+
+
+def test_pointers_tell_strings_apart(spark):
+    """Equal identifiers at every depth for equal bytes, and for no others."""
+    import numpy as np
+
+    data = np.frombuffer(b"abcabcabd" * 40 + b"xyz" * 30, np.uint8)
+    chunk = repeats.Chunk(repeats.hashing.byte_units(data), np.array([0, len(data)]), np.array([0]))
+    plan = repeats.Plan("bytes", 50, depths(16, 50), 1, 1)
+    for level, depth in enumerate(plan.levels):
+        found = bucket_pointers(plan, level, chunk)
+        raw = data.tobytes()
+        texts = [raw[i : i + depth] for i in range(len(raw) - depth + 1)]
+        assert len(found) == len(texts) and len(set(zip(found.tolist(), texts))) == len(set(texts)) == len(set(found.tolist()))
+
+
 @pytest.mark.parametrize("name,kind", [("op1_substring_dedup", "words"), ("op3_suffix_dedup", "bytes")])
 def test_query_on_driver_table(spark, name, kind):
     sf = "/root/testdata/sf0.001"

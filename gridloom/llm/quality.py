@@ -60,10 +60,13 @@ def points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def led(units: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The texts with START marks before each, their offsets there, and which places are text."""
+    """The texts with START marks before each and at the end, their offsets there, and which places are text.
+
+    So the n-grams are the same in whatever order the texts come.
+    """
     rows = np.arange(1, len(offsets))
     lead = (ORDER - 1) * np.concatenate([[0], rows])
-    out = np.full(len(units) + (ORDER - 1) * len(rows), START, np.uint32)
+    out = np.full(len(units) + (ORDER - 1) * (len(rows) + 1), START, np.uint32)
     place = np.arange(len(units)) + (ORDER - 1) * np.repeat(rows, np.diff(offsets))
     out[place] = units
     real = np.zeros(len(out), bool)

@@ -440,13 +440,14 @@ def classify(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str
 def _limits(judged: DataFrame, prior: int, low: float, high: float) -> DataFrame:
     """lang, mean, low, high of trusted rows. The distance of a document is that of its steady log perplexity from its language's mean."""
     held = F.col("part") == HELD
-    means = small(judged.where(held).groupBy("lang").agg((F.sum("nll") / F.sum("n")).alias("mean")))
+    of = lambda c: F.sum(F.when(held, F.col(c)))
+    means = small(judged.groupBy("lang").agg(F.coalesce(of("nll") / of("n"), F.sum("nll") / F.sum("n")).alias("mean")))  # n is not 0 here
     each = checkpointed(judged.join(means, "lang").select("lang", "mean", "part", ((F.col("nll") - F.col("mean") * F.col("n")) / (F.col("n") + prior)).alias("d")))
 
     def ends(by) -> DataFrame:
         own = F.when(held, F.col("d"))
         found = by.agg(F.count(own).alias("m"), F.percentile_approx(own, [0.5, high], 100_000).alias("q"), F.percentile_approx("d", low, 100_000).alias("least"))
-        wide = 1 + 2 / F.sqrt("m")
+        wide = F.when(F.col("m") > 0, 1 + 2 / F.sqrt(F.greatest("m", F.lit(1))))
         middle = F.col("q")[0]
         return found.withColumns({"a": middle + (F.least("least", middle) - middle) * wide, "b": middle + (F.col("q")[1] - middle) * wide})
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from gridloom.queries import banks, spaces
+from gridloom.queries import banks, calls, spaces
 from gridloom.registry import Registry
 
 REGISTRY = Registry()
-for _module in (spaces, banks):
+for _module in (spaces, banks, calls):
     _module.register(REGISTRY)

@@ -64,6 +64,11 @@ def row_id(key: Column, cycle: Column, position: Column) -> Column:
     return F.when((cycle > FIVE_DIGITS) | (position > FIVE_DIGITS), F.raise_error(F.lit("cycle or position beyond five digits"))).otherwise(text)
 
 
+def seed_hash(*parts: Column) -> Column:
+    """Hex digits of what seed_number makes of the parts; they must need no escape in JSON."""
+    return F.sha2(F.concat(F.lit("["), F.concat_ws(",", *(F.concat(F.lit('"'), p.cast("string"), F.lit('"')) for p in parts)), F.lit("]")), 256)
+
+
 def sha_number(text: Column) -> Column:
     """The first 32 bits of a SHA-256 as a number."""
     return F.conv(F.substring(F.sha2(text, 256), 1, 8), 16, 10).cast("long")

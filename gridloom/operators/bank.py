@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,9 +59,11 @@ def rewrite(rows: DataFrame, path: str, line: str, arrival: Sequence[str]) -> in
 
     Any row that a gate refuses stops the write, all such ids named.
     """
-    bad = rows.where(~(F.col("shape_ok") & F.col("source_ok") & F.col("images_ok"))).agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_set(F.substring("id", 1, 40))).alias("ids")).first()
-    if bad["n"]:
-        raise BankError(f"{bad['n']} records refused: {', '.join(bad['ids'])}")
+    bad = offenders(rows).orderBy("id")
+    if n := bad.count():
+        bad.write.mode("overwrite").json(f"{path}.refused")  # all of them, however many
+        first = [f"{r['id']} ({r['outcome']})" for r in bad.limit(20).collect()]
+        raise BankError(f"{n} records refused, all named in {path}.refused: {', '.join(first)}")
     kept = first_wins(rows, "id", arrival)
     kept.select(F.col(line).alias("value")).write.mode("overwrite").text(path)
     return rows.count() - kept.count()
@@ -119,6 +121,56 @@ def tallies(rows: DataFrame, dimensions: Sequence[str], unknown: str = "unknown"
     return sets.select(name.alias("dimension"), F.coalesce(*dimensions).alias("value"), "n")
 
 
+def breakdown(meta: Column, source: Column, unknown: str = "unknown") -> dict[str, Column]:
+    """The five dimensions of a record by its coordinate (a map): domain and capability have a second axis to fall back to."""
+    first = lambda *axes: F.coalesce(*(meta[a] for a in axes), F.lit(unknown))
+    return {"domain": first("knowledge_domain", "visual_domain"), "language": first("language"), "capability": first("capability", "question_type"), "system_prompt_mode": first("system_prompt_mode"), "data_source": F.coalesce(source, F.lit(unknown))}
+
+
+def unique_ids(lines: DataFrame, column: str = "value") -> DataFrame:
+    """records, unique_ids: objects among JSON lines, and distinct ids among them that are strings."""
+    value = F.try_parse_json(column)
+    own = lines.where(F.ltrim(column).startswith("{") & value.isNotNull()).select(F.when(F.schema_of_variant(F.try_variant_get(value, "$.id", "variant")) == "STRING", F.try_variant_get(value, "$.id", "string")).alias("id"))
+    return own.agg(F.count(F.lit(1)).alias("records"), F.count_distinct("id").alias("unique_ids"))
+
+
+def numbered_damage(lines: DataFrame, column: str = "value") -> DataFrame:
+    """lines (path, number, value) that are no JSON object, with their length; blank lines are none."""
+    own = parse_lines(lines, "id string", column)
+    return own.where(F.col(DAMAGED).isNotNull()).select("path", "number", F.length(DAMAGED).alias("length"), F.col(DAMAGED).alias("line"))
+
+
+def short_run(planned: DataFrame, own: DataFrame, abandoned: DataFrame) -> DataFrame:
+    """One row: planned, written, short, and reason=n of what was abandoned; no row if nothing is short."""
+    n = planned.agg(F.count(F.lit(1)).alias("planned")).crossJoin(own.agg(F.count_distinct("id").alias("written")))  # one row each
+    text = abandoned.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).agg(F.array_join(F.array_sort(F.collect_list(F.concat("reason", F.lit("="), F.col("n").cast("string")))), ", ").alias("reasons"))
+    return n.withColumn("short", F.col("planned") - F.col("written")).crossJoin(text).where("short > 0")
+
+
+def offenders(rows: DataFrame) -> DataFrame:
+    """id, outcome of rows (id, shape_ok, source_ok, images_ok) that some gate refuses."""
+    bad = records.append_outcome(F.col("shape_ok"), F.col("source_ok"), F.col("images_ok"), F.lit(False))
+    return rows.select("id", bad.alias("outcome")).where(F.col("outcome") != records.APPENDED)
+
+
+IDENTITY = "plan_identity struct<algorithm:string,version:variant,sampling:variant,ontology_sha256:variant,seed:variant,count:variant,unit_total:variant,plan_size:variant,digest:variant>"
+
+
+def identity(document: Column, algorithm: str) -> Column:
+    """The plan identity in a manifest's or progress record's JSON, null where there is none of this algorithm.
+
+    Records of the first version have only algorithm, version, size and digest;
+    what they lack is empty or 0.
+    """
+    p = F.from_json(document, IDENTITY)["plan_identity"]
+    whole = lambda c: F.when(F.schema_of_variant(c) == "BIGINT", F.try_variant_get(c, "$", "bigint"))
+    text = lambda c: F.when(F.schema_of_variant(c) == "STRING", F.try_variant_get(c, "$", "string"))
+    size, version, digest = whole(p["plan_size"]), whole(p["version"]), text(p["digest"])
+    ok = (p["algorithm"] == algorithm) & size.isNotNull() & version.isNotNull() & (digest != "")
+    known = F.struct(version.alias("version"), F.coalesce(text(p["sampling"]), F.lit("")).alias("sampling"), F.coalesce(text(p["ontology_sha256"]), F.lit("")).alias("ontology_sha256"), F.coalesce(whole(p["seed"]), F.lit(0)).alias("seed"), whole(p["count"]).alias("count"), F.coalesce(whole(p["unit_total"]), F.lit(0)).alias("unit_total"), size.alias("plan_size"), digest.alias("digest"))
+    return F.when(ok, known)
+
+
 def counter_delta(before: DataFrame, after: DataFrame, key: str, count: str) -> DataFrame:
     """after minus before over all keys of either, a missing one being 0; zeros are left out."""
     both = before.select(key, F.col(count).alias("a")).join(after.select(key, F.col(count).alias("b")), key, "full")

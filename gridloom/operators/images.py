@@ -24,9 +24,25 @@ def data_uri(path: Column, content: Column) -> Column:
     return F.when(kind.isNull(), F.raise_error(F.concat(F.lit("no media type for "), path))).otherwise(F.concat(F.lit("data:"), kind, F.lit(";base64,"), F.regexp_replace(F.base64(content), r"[\r\n]", "")))
 
 
+def running(rows: DataFrame, order: list[str], amount: str | None = None) -> DataFrame:
+    """rows with before, the sum of the column (or count) over all rows that come first in this order, and total, that of all.
+
+    Sums of sorted partitions are added up, so that no task holds all rows.
+    """
+    own = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+    each = F.col(amount) if amount else F.lit(1)
+    sums = own.groupBy("_part").agg(F.sum(each).alias("_m"))
+    first = sums.alias("a").join(sums.alias("b"), F.col("b._part") <= F.col("a._part")).groupBy("a._part").agg(F.sum(F.when(F.col("b._part") < F.col("a._part"), F.col("b._m")).otherwise(0)).alias("_first"))  # a row for each pair of partitions
+    inside = F.coalesce(F.sum(each).over(Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    total = sums.agg(F.coalesce(F.sum("_m"), F.lit(0)).alias("total"))
+    return own.withColumn("_inside", inside).join(first, "_part").crossJoin(total).withColumn("before", F.col("_first") + F.col("_inside")).drop("_part", "_inside", "_first")
+
+
 def numbered(files: DataFrame, group: str | None, name: str, tie: str) -> DataFrame:
     """files with slot (from 0) and n within each group, by name, then tie."""
-    own = Window.partitionBy(group) if group else Window.partitionBy(F.lit(0))
+    if group is None:
+        return running(files, [name, tie]).withColumnsRenamed({"before": "slot", "total": "n"})
+    own = Window.partitionBy(group)
     return files.withColumn("slot", F.row_number().over(own.orderBy(name, tie)) - 1).withColumn("n", F.count(F.lit(1)).over(own))
 
 
@@ -55,13 +71,69 @@ def allocate(turns: DataFrame, pool: DataFrame, most: int) -> DataFrame:
     order = users.withColumn("long", F.col("n_turns") > 2)
     # the running number is global: counts of earlier specs plus the rank within the spec
     specs = order.groupBy("long", "spec").agg(F.count(F.lit(1)).alias("m"))
-    before = F.sum("m").over(Window.orderBy("long", "spec").rowsBetween(Window.unboundedPreceding, -1))
-    starts = specs.withColumn("start", F.coalesce(before, F.lit(0))).select("spec", "start")
+    starts = running(specs, ["long", "spec"], "m").select("spec", F.col("before").alias("start"))
     size = pool.agg(F.max("n").alias("size"))
     numbered_ = order.join(starts, "spec").crossJoin(size).withColumn("slot", F.pmod(F.col("start") + F.col("rank") - 1, F.col("size")))
     return numbered_.join(pool.select("slot", "picture"), "slot").select("spec", "turn", "picture")
 
 
+def children(files: DataFrame, domain: str, path: str = "path") -> DataFrame:
+    """Files right in one domain's folder, by name; paths are relative to the folder of all domains."""
+    parts = F.split(path, "/")
+    return files.where((F.size(parts) == 2) & (parts[0] == domain)).orderBy(parts[1])
+
+
+def pool(files: DataFrame, path: str = "path") -> DataFrame:
+    """All files with slot (from 0) and n, ordered by the parts of their paths."""
+    return running(files.withColumn("_parts", F.split(path, "/")), ["_parts"]).drop("_parts").withColumnsRenamed({"before": "slot", "total": "n"})
+
+
+def sample(files: DataFrame, count: int, seed: int, path: str = "path") -> DataFrame:
+    """A subset that the seed draws; all files if there are no more than `count`."""
+    return files.orderBy(F.sha2(F.concat(F.lit(f"{seed}:"), path), 256), path).limit(count)
+
+
+def copy_targets(files: DataFrame, taken: DataFrame, force: bool = False, path: str = "path", folder: Column | None = None) -> DataFrame:
+    """files with target, their place below images/, and reused.
+
+    Without `force` a file whose place is taken (column target) is the one there.
+    Else files of one name get _1, _2 and so on before the suffix, by path.
+    """
+    name = F.element_at(F.split(path, "/"), -1)
+    place = F.concat(F.lit("images/"), name) if folder is None else F.concat(F.lit("images/"), folder, F.lit("/"), name)
+    own = files.withColumn("target", place).join(taken.select("target").distinct().withColumn("_taken", F.lit(True)), "target", "left").withColumn("_taken", F.coalesce("_taken", F.lit(False)))
+    reuse = F.col("_taken") & F.lit(not force)
+    nth = F.row_number().over(Window.partitionBy("target").orderBy(path)) - 1 + F.when(F.col("_taken"), 1).otherwise(0)
+    numbered_ = F.when(reuse | (nth == 0), F.col("target")).otherwise(F.regexp_replace("target", r"(\.[^./]*)?$", "")).cast("string")
+    suffix = F.when(reuse | (nth == 0), "").otherwise(F.concat(F.lit("_"), nth.cast("string"), F.regexp_extract("target", r"(\.[^./]*)$", 1)))
+    return own.withColumn("target", F.concat(numbered_, suffix)).withColumn("reused", reuse).drop("_taken")
+
+
+def served(rows: DataFrame, missing: DataFrame, domain: str = "visual_domain") -> DataFrame:
+    """Rows whose domain has a picture, and rows without a domain."""
+    return rows.join(missing.select(domain).where(F.col(domain).isNotNull()).distinct(), domain, "left_anti")
+
+
+def refusal(missing: DataFrame, root: str, planned: int, suffixes: tuple[str, ...] = WEB) -> DataFrame:
+    """One row, message: what a run says that finds no picture for some domains. missing: domain, id."""
+    each = missing.groupBy("domain").agg(F.count(F.lit(1)).alias("n"))
+    line = F.concat(F.lit("  - "), "domain", F.lit(f": no picture in {root}/"), "domain", F.lit(" ("), F.col("n").cast("string"), F.lit(" rows)"))
+    lines = F.array_join(F.array_sort(F.collect_list(line)), "\n")  # a line for each domain
+    head = F.concat(F.lit(f"{root} has no picture for "), F.count(F.lit(1)).cast("string"), F.lit(" domains:\n"))
+    tail = F.concat(F.lit("\n"), F.sum("n").cast("string"), F.lit(f" of {planned} planned rows need one. Put in a file ({', '.join(sorted(suffixes))}) or let such rows be skipped."))
+    return each.agg(F.concat(head, lines, tail).alias("message"))
+
+
+def merged(resolutions: DataFrame) -> DataFrame:
+    """Rounds' resolutions (cycle, domain, missing ids, candidates, pool, fallback) as one row for each domain.
+
+    Missing ids follow each other by round, the largest pool counts, the last
+    round's candidates, and a fallback in any round.
+    """
+    ids = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("cycle", "missing"))), lambda x: x["missing"]))
+    return resolutions.groupBy("domain").agg(ids.alias("missing"), F.max("pool").alias("pool"), F.max_by("candidates", "cycle").alias("candidates"), F.bool_or("fallback").alias("fallback"), F.min("cycle").alias("cycle"))
+
+
 def prunable(placed: DataFrame, referenced: DataFrame, key: str = "path") -> DataFrame:
     """Pictures placed by this run that no final record refers to."""
     return placed.join(referenced.select(key).distinct(), key, "left_anti")

@@ -34,7 +34,7 @@ def cycle_order_sql(units: DataFrame, cycles: int, seed: int, fp: str) -> DataFr
     rounds = units.sparkSession.range(cycles).select(F.col("id").alias("cycle"))
     key = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.lit(fp), F.col("cycle").cast("string"), F.col("unit_index").cast("string")), 256)
     order = Window.partitionBy("cycle").orderBy("key", "unit_index")
-    both = rounds.join(F.broadcast(units.select("unit_index"))).withColumn("key", key)  # units are small by contract
+    both = rounds.crossJoin(units.select("unit_index")).withColumn("key", key)  # each round has every unit
     return both.select("cycle", (F.row_number().over(order) - 1).cast("long").alias("position"), "unit_index")
 
 
@@ -62,8 +62,8 @@ def rotation(unit: Column, cycle: Column, size: int) -> Column:
 
 
 def with_units(plan: DataFrame, order: DataFrame, units: DataFrame) -> DataFrame:
-    """Plan indices with their units. Orders are joined by round and position, units go to all tasks."""
-    return plan.join(order, ["cycle", "position"]).join(F.broadcast(units), "unit_index")
+    """Plan indices with their units, joined by round and position."""
+    return plan.join(order, ["cycle", "position"]).join(units, "unit_index")
 
 
 def free_draws_exact(plan: DataFrame, axes: Sequence[tuple[str, Sequence[str]]], seed: int, fp: str, default_first: str | None = "English") -> DataFrame:
@@ -91,7 +91,7 @@ def free_draw_sql(index: Column, axis: str, size: int, seed: int, fp: str) -> Co
 
 def first_of_each(order: DataFrame, units: DataFrame, text: int, image: int) -> DataFrame:
     """A smoke plan: the first units of each modality in the first round, text before image, numbered anew."""
-    rows = order.where("cycle = 0").join(F.broadcast(units), "unit_index")
+    rows = order.where("cycle = 0").join(units, "unit_index")
     rank = F.row_number().over(Window.partitionBy("modality").orderBy("position"))
     kept = rows.withColumn("rank", rank).where(F.when(F.col("modality") == TEXT, F.col("rank") <= text).otherwise(F.col("rank") <= image))
     number = F.row_number().over(Window.orderBy(F.col("modality") == IMAGE, "rank")) - 1  # at most text + image rows

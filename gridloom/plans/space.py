@@ -145,21 +145,40 @@ def legal_blocks(frames: Frames) -> DataFrame:
 
 
 def positioned(blocks: DataFrame, frames: Frames) -> DataFrame:
-    """Blocks with the position of each value, pos_<axis>. Axis vocabularies are small by contract and go to all tasks."""
+    """Blocks with the position of each value, pos_<axis>."""
     for axis in frames.restricted:
-        blocks = blocks.join(F.broadcast(frames.values[axis].select(F.col("value").alias(axis), F.col("pos").alias(f"pos_{axis}"))), axis)
+        blocks = blocks.join(frames.values[axis].select(F.col("value").alias(axis), F.col("pos").alias(f"pos_{axis}")), axis)
     return blocks
 
 
 def units(blocks: DataFrame, frames: Frames) -> DataFrame:
     """unit_index, modality and block: text units in axis order, then image units of the image-capable blocks."""
     own = positioned(blocks, frames)
-    image = own.join(F.broadcast(frames.image_capable), frames.restricted[0], "left_semi")
+    image = own.join(frames.image_capable, frames.restricted[0], "left_semi")
     both = own.withColumn("modality", F.lit(TEXT)).unionByName(image.withColumn("modality", F.lit(IMAGE)))
     order = Window.orderBy(F.col("modality") == IMAGE, *(f"pos_{a}" for a in frames.restricted))
     return both.select((F.row_number().over(order) - 1).cast("long").alias("unit_index"), "modality", *frames.restricted)
 
 
+def expanded(rules: DataFrame, values: DataFrame) -> DataFrame:
+    """source, to: pair rules (pos, source, allowed: array) written out; the last rule of a source counts, just the wildcard means all values."""
+    last = rules.groupBy("source").agg(F.max_by("allowed", "pos").alias("allowed"))
+    every = values.agg(F.collect_list("value").alias("every"))  # one row; an axis has a few values
+    allowed = F.when(F.col("allowed") == F.array(F.lit(WILDCARD)), F.col("every")).otherwise(F.array_distinct("allowed"))
+    return last.crossJoin(every).select("source", F.explode(allowed).alias("to"))
+
+
+def rule_errors(rules: DataFrame, sources: DataFrame, values: DataFrame) -> DataFrame:
+    """problem, value: rules of unknown sources, unknown allowed values, sources without a rule."""
+    told = rules.select(F.explode("allowed").alias("value")).where(F.col("value") != WILDCARD)
+    out = [
+        rules.select(F.col("source").alias("value")).join(sources, "value", "left_anti").withColumn("problem", F.lit("unknown source")),
+        told.join(values, "value", "left_anti").withColumn("problem", F.lit("unknown value")),
+        sources.select("value").join(rules.select(F.col("source").alias("value")), "value", "left_anti").withColumn("problem", F.lit("no rule")),
+    ]
+    return reduce(DataFrame.unionByName, (x.select("problem", "value") for x in out)).distinct()
+
+
 def unsolvable(blocks: DataFrame, frames: Frames, a: str, b: str) -> DataFrame:
     """Pairs of values of two axes that no legal block has, in axis order."""
     every = frames.values[a].select(F.col("value").alias(a), F.col("pos").alias("pa")).crossJoin(frames.values[b].select(F.col("value").alias(b), F.col("pos").alias("pb")))

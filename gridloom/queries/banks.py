@@ -27,29 +27,29 @@ def chats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _CODE = "CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u' WHEN 'assistant' THEN 'a' ELSE 'x' END"
 _CHATS = f"WITH c AS (SELECT conv_id, string_agg({_CODE}, '' ORDER BY turn) AS code, list(role ORDER BY turn) AS roles FROM conversations GROUP BY conv_id), b AS (SELECT *, regexp_replace(code, '^s', '') AS body FROM c)"
-_PAGES = "WITH p AS (SELECT page_id, regexp_extract(url, '^https?://([^/]+)', 1) AS domain, regexp_replace(url, '^.*/', '') AS name, url, regexp_extract_all(html, '<p>') AS parts FROM pages)"
+_PAGES = "WITH p AS (SELECT page_id, regexp_extract(url, '^https?://([^/]+)', 1) AS domain, regexp_replace(url, '^.*/', '') AS name, url, regexp_extract_all(html, '<p>') AS parts, regexp_extract_all(html, '<b>') AS bold FROM pages)"
 
 
 def pictures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages as stand-ins for pictures: the host is the folder, the rest the name."""
+    """Pages as stand-ins for pictures: the host is the folder, the rest the name; own: pages with bold text, of which some hosts have none."""
     p = table(spark, sf_dir, "pages")
-    return p.select("page_id", F.regexp_extract("url", r"^https?://([^/]+)", 1).alias("domain"), F.regexp_replace("url", "^.*/", "").alias("name"), F.col("url").alias("picture"))
+    return p.select("page_id", F.regexp_extract("url", r"^https?://([^/]+)", 1).alias("domain"), F.regexp_replace("url", "^.*/", "").alias("name"), F.col("url").alias("picture"), F.col("html").contains("<b>").alias("own"))
 
 
 def sse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as streamed lines: one answer per user, a token for each event; some lines are damaged or end the answer."""
-    e = table(spark, sf_dir, "events").withColumn("seq", F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")))
+    """Events as streamed lines: one answer per user, a token for each event; some lines are damaged, the last ends the answer."""
+    e = table(spark, sf_dir, "events").withColumn("seq", F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("user_id")))
     delta = F.when(F.col("event_type") == "view", F.to_json(F.struct(F.col("event_type").alias("reasoning")))).otherwise(F.to_json(F.struct(F.concat(F.col("event_type"), F.lit(" ")).alias("content"))))
     finish = F.when(F.col("event_type") == "purchase", '"stop"').when(F.col("event_type") == "error", '"length"').otherwise("null")
     body = F.concat(F.lit('{"choices":[{"delta":'), delta, F.lit(',"finish_reason":'), finish, F.lit("}]}"))
-    line = F.when(F.col("seq") % 13 == 0, ": ping").when(F.col("seq") % 11 == 0, F.lit("data: {broken")).when(F.col("seq") == 40, "data: [DONE]").otherwise(F.concat(F.lit("data: "), body))
+    line = F.when(F.col("seq") % 13 == 0, ": ping").when(F.col("seq") % 11 == 0, F.lit("data: {broken")).when(F.col("seq") == F.col("n"), "data: [DONE]").otherwise(F.concat(F.lit("data: "), body))
     return e.select("user_id", "seq", line.alias("line"))
 
 
 _SSE = """
-WITH e AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq FROM events),
-k AS (SELECT * FROM e WHERE seq % 13 != 0 AND seq % 11 != 0 AND seq < 40),
-d AS (SELECT DISTINCT user_id FROM e WHERE seq % 13 != 0 AND seq < 40),
+WITH e AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq, count(*) OVER (PARTITION BY user_id) AS n FROM events),
+k AS (SELECT * FROM e WHERE seq % 13 != 0 AND seq % 11 != 0 AND seq < n),
+d AS (SELECT DISTINCT user_id FROM e WHERE seq % 13 != 0 AND (seq < n OR seq % 11 = 0)),
 a AS (SELECT d.user_id, coalesce(string_agg(event_type || ' ', '' ORDER BY seq) FILTER (event_type != 'view'), '') AS content,
              coalesce(string_agg(event_type, '' ORDER BY seq) FILTER (event_type = 'view'), '') AS reasoning,
              arg_max(CASE event_type WHEN 'purchase' THEN 'stop' ELSE 'length' END, seq) FILTER (event_type IN ('purchase', 'error')) AS finish
@@ -199,11 +199,11 @@ def register(reg: Registry) -> None:
         rows = table(spark, d, "documents")
         return rows.select("doc_id", wording.rendered(body, {"language": F.col("lang"), "knowledge_domain": F.concat("source", F.lit("{x}"))}).alias("prompt"))
 
-    @q("user_prompt", """WITH h AS (SELECT conv_id, string_agg(role || ': ' || coalesce(text, ''), chr(10) ORDER BY turn) FILTER (turn < 2) AS h FROM conversations GROUP BY ALL)
+    @q("user_prompt", """WITH h AS (SELECT conv_id, string_agg(role || ': ' || coalesce(text, ''), chr(10) ORDER BY turn) AS h FROM conversations GROUP BY ALL)
       SELECT conv_id, 'You play a real user. Write a ' || CASE WHEN h IS NULL THEN '' ELSE 'follow-up ' END || 'user message in English on general that asks for qa, in a single_turn conversation. Give the message only.' AS system,
              CASE WHEN h IS NULL THEN 'Write the first user message.' ELSE 'So far:' || chr(10) || h || chr(10) || chr(10) || 'Write the next user message.' END AS user_text FROM h""")
     def user_prompt(spark, d):
-        rows = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.when(F.col("turn") < 2, F.struct("turn", "role", F.coalesce("text", F.lit("")).alias("content"))))).alias("m"))
+        rows = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", F.coalesce("text", F.lit("")).alias("content")))).alias("m"))
         asked = wording.user_prompt(F.transform("m", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))), {}, F.lit(""))
         return rows.select("conv_id", asked.alias("p")).select("conv_id", F.col("p.system").alias("system"), F.col("p.user").alias("user_text"))
 
@@ -218,8 +218,8 @@ def register(reg: Registry) -> None:
         return rows.select("page_id", "image_count", (F.col("image_count") > 0).alias("has_image"), records.images_ok(F.col("page_id") % 5 == 0, F.col("image_count")).alias("consistent"))
 
     picks_sql = _PAGES + """
-      , own AS (SELECT domain, url AS picture, row_number() OVER (PARTITION BY domain ORDER BY name, url) - 1 AS slot, count(*) OVER (PARTITION BY domain) AS n FROM p WHERE page_id % 2 = 0),
-      pool AS (SELECT url AS picture, row_number() OVER (ORDER BY name, url) - 1 AS slot FROM p WHERE page_id % 10 = 1),
+      , own AS (SELECT domain, url AS picture, row_number() OVER (PARTITION BY domain ORDER BY name, url) - 1 AS slot, count(*) OVER (PARTITION BY domain) AS n FROM p WHERE len(bold) > 0),
+      pool AS (SELECT url AS picture, row_number() OVER (ORDER BY name, url) - 1 AS slot FROM p),
       want AS (SELECT domain, cycle, ('0x' || substr(sha256('7:' || domain), 1, 8))::BIGINT AS o FROM (SELECT DISTINCT domain FROM p), range(4) r(cycle)),
       k AS (SELECT w.*, c.n, (SELECT count(*) FROM pool) AS pn FROM want w LEFT JOIN (SELECT DISTINCT domain, n FROM own) c USING (domain)),
       picks AS (SELECT k.domain, k.cycle, CASE WHEN k.n IS NOT NULL THEN own.picture ELSE pool.picture END AS picture, k.n IS NULL AND pool.picture IS NOT NULL AS fallback
@@ -229,8 +229,8 @@ def register(reg: Registry) -> None:
         from gridloom.functions.hashing import sha_number
 
         rows = pictures(spark, d)
-        own = images.numbered(rows.where("page_id % 2 = 0"), "domain", "name", "picture")
-        pool = images.numbered(rows.where("page_id % 10 = 1"), None, "name", "picture")
+        own = images.numbered(rows.where("own"), "domain", "name", "picture")
+        pool = images.numbered(rows, None, "name", "picture")
         return images.picks(rows.select("domain").distinct(), own, pool, 4, sha_number(F.concat(F.lit("7:"), F.col("domain"))))
 
     @q("image_pick_rotation", picks_sql + " SELECT * FROM picks")
@@ -248,11 +248,11 @@ def register(reg: Registry) -> None:
     @q("image_allocation", """WITH t AS (SELECT conv_id, turn, count(*) OVER (PARTITION BY conv_id) AS n, role FROM conversations),
       u AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM t WHERE role = 'user'),
       g AS (SELECT *, row_number() OVER (ORDER BY n > 2, conv_id, turn) - 1 AS i FROM u WHERE k <= 2),
-      pool AS (SELECT url AS picture, row_number() OVER (ORDER BY url) - 1 AS slot FROM pages WHERE page_id % 7 = 0)
+      pool AS (SELECT url AS picture, row_number() OVER (ORDER BY url) - 1 AS slot FROM pages)
       SELECT conv_id, turn, picture FROM g JOIN pool ON slot = i % (SELECT count(*) FROM pool)""")
     def allocation(spark, d):
         t = table(spark, d, "conversations").select(F.col("conv_id").alias("spec"), "turn", "role", F.count(F.lit(1)).over(Window.partitionBy("conv_id")).alias("n_turns"))
-        pool = images.numbered(table(spark, d, "pages").where("page_id % 7 = 0").select(F.col("url").alias("picture"), F.col("url").alias("name")), None, "name", "picture")
+        pool = images.numbered(table(spark, d, "pages").select(F.col("url").alias("picture"), F.col("url").alias("name")), None, "name", "picture")
         return images.allocate(t, pool, 2).withColumnRenamed("spec", "conv_id")
 
     @q("failure_classes", "SELECT CASE event_type WHEN 'view' THEN 'timeout' WHEN 'click' THEN 'transport_error' WHEN 'error' THEN 'unexpected_error' ELSE 'empty_content' END AS reason, count(*) AS n, bool_or(event_type IN ('view', 'click')) AS unstable FROM events GROUP BY 1")
@@ -282,14 +282,15 @@ def register(reg: Registry) -> None:
     def stats(spark, d):
         return attempts.reasoning_stats(attempts.assembled(sse(spark, d), "user_id", "seq", "line"))
 
-    @q("redacted_config", "SELECT * FROM (VALUES " + ", ".join(f"('{k}', {str(config.is_secret(k)).lower()})" for k in KEYS) + ") t(key, secret)")
+    @q("redacted_config", r"SELECT key, NOT list_has_any(w, ['timeout', 'timeouts']) AND (list_has_any(w, ['api_key', 'apikey', 'key', 'token', 'secret', 'password', 'passwd', 'bearer', 'credential', 'auth']) OR array_to_string(w, '') IN ('apikey', 'key', 'token', 'secret', 'password', 'passwd', 'bearer', 'credential', 'auth')) AS secret FROM (SELECT key, list_filter(string_split_regex(lower(regexp_replace(key, '([a-z0-9])([A-Z])', '\1_\2', 'g')), '[^a-z0-9]+'), lambda x: x != '') AS w FROM (VALUES " + ", ".join(f"('{k}')" for k in KEYS) + ") t(key))")
     def redacted(spark, d):
         keys = spark.range(1).select(F.explode(F.array(*(F.lit(k) for k in KEYS))).alias("key"))
         return keys.select("key", config.is_secret_column(F.col("key")).alias("secret"))
 
-    @q("answer_gate", r"SELECT doc_id, CASE WHEN length(regexp_replace(substr(text, 1, doc_id % 12), '^[\s]+|[\s]+$', '', 'g')) < 8 THEN 'answer_too_short' END AS refused FROM documents")
+    @q("answer_gate", r"SELECT 'd' || doc_id AS id, CASE WHEN n < 8 THEN 'answer_too_short' WHEN n > 4000 THEN 'answer_too_long' END AS refused FROM (SELECT doc_id, length(regexp_replace(text, '^[\s]+|[\s]+$', '', 'g')) AS n FROM documents UNION ALL SELECT -event_id, length(event_type) FROM events)")
     def gate(spark, d):
-        return table(spark, d, "documents").select("doc_id", records.answer_gate(F.expr("substr(text, 1, cast(doc_id % 12 as int))")).alias("refused"))
+        said = table(spark, d, "documents").select("doc_id", "text").unionAll(table(spark, d, "events").select(-F.col("event_id"), "event_type"))
+        return said.select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), records.answer_gate(F.col("text"), 4000).alias("refused"))
 
     @reg.query("generate_fake")
     def generated(spark, d):

@@ -134,7 +134,7 @@ def register(reg: Registry) -> None:
     def free_draws(spark, d):
         return whole_plan(spark, d)[0].select("plan_index", "language", "style")
 
-    @q("plan_prefix_check", "SELECT 0::BIGINT AS rows_that_differ, (SELECT u FROM size) AS shared_rows")
+    @q("plan_prefix_check", ", short AS (SELECT position AS plan_index, 0 AS cycle, position, o.unit_index, u.modality, u.segment, u.priority, u.flag, u.status FROM (SELECT unit_index, row_number() OVER (ORDER BY sha256('7:tables:0:' || unit_index), unit_index) - 1 AS position FROM units) o JOIN units u USING (unit_index)), long AS (SELECT plan_index, cycle, position, unit_index, modality, segment, priority, flag, status FROM plan WHERE plan_index < (SELECT u FROM size)) SELECT (SELECT count(*) FROM ((FROM short EXCEPT FROM long) UNION ALL (FROM long EXCEPT FROM short))) AS rows_that_differ, (SELECT count(*) FROM short) AS shared_rows")
     def prefix_check(spark, d):
         """The plan of one round against the first rows of the plan of all rounds."""
         own = units(spark, d)

@@ -14,7 +14,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions import hashing
@@ -52,6 +52,15 @@ def read_json(out: str, name: str) -> dict | None:
     return found if isinstance(found, dict) else None
 
 
+SMOKE = "_smoke"
+
+
+def run_folder(configured: Column, stamp: Column, smoke: bool) -> Column:
+    """A run's folder: the configured one or a name with the time, marked once if it is a smoke run."""
+    name = F.coalesce(F.when(configured != "", F.regexp_replace(configured, "/+$", "")), F.concat(F.lit("outputs/run_"), stamp))
+    return F.when(F.lit(smoke) & ~name.endswith(SMOKE), F.concat(name, F.lit(SMOKE))).otherwise(name)
+
+
 def remove(out: str, name: str) -> None:
     store, folder = fs.FileSystem.from_uri(out)
     if store.get_file_info(f"{folder}/{name}").type != fs.FileType.NotFound:

@@ -9,7 +9,10 @@ from __future__ import annotations
 
 import argparse
 import json
+import re
 import uuid
+import warnings
+from pathlib import Path
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
@@ -21,12 +24,62 @@ from gridloom.functions import hashing
 from gridloom.operators import bank, images, readout, records
 from gridloom.plans import plan as plans
 from gridloom.plans import space as spaces
+from gridloom.sources import config
 from gridloom.streaming import generate
 
 MANIFEST, PROGRESS, COVERAGE, BANK = "manifest.json", "progress.json", "coverage", "bank"
 RECORD = "id string, data_source string, messages array<struct<role:string,content:string>>, anchor_meta map<string,string>"
 
 
+class PictureError(ValueError):
+    """A plan asks for pictures that are not there."""
+
+
+@dataclass(frozen=True)
+class Pictures:
+    """Files of a picture folder (domain, path), where they lie, and what becomes of rows whose domain has none."""
+
+    files: DataFrame
+    root: str
+    skip_missing: bool = False
+
+    @staticmethod
+    def read(spark: SparkSession, root: str, skip_missing: bool = False) -> Pictures:
+        """All pictures below a folder, one folder in it for each domain."""
+        found = images.listing(spark, root)
+        base = fs.FileSystem.from_uri(root)[1].rstrip("/") + "/"
+        below = F.regexp_replace("path", "^.*?" + re.escape(base), "")
+        return Pictures(found.select(F.split(below, "/")[0].alias("domain"), "path"), root, skip_missing)
+
+
+def resolved(context: Context, pictures: Pictures) -> DataFrame:
+    """cycle, domain, picture, fallback of the plan's rounds and domains: the next own file each round, else the pool's."""
+    gated = context.space.gated
+    wanted = context.plan.where(F.col(gated).isNotNull()).select(F.col(gated).alias("domain")).distinct()
+    files = pictures.files.select("domain", F.col("path").alias("picture"), F.element_at(F.split("path", "/"), -1).alias("name"))
+    own = images.numbered(files, "domain", "name", "picture")
+    offset = hashing.sha_number(F.concat(F.lit(f"{context.identity['seed']}:"), F.col("domain")))
+    return images.picks(wanted, own, images.numbered(files, None, "name", "picture"), plans.rounds(context.count, context.size)[2], offset)
+
+
+def with_pictures(context: Context, plan: DataFrame, pictures: Pictures | None) -> tuple[DataFrame, DataFrame | None]:
+    """plan rows with picture, and the rows left out for want of one. Without a folder no row has a picture.
+
+    Rows whose domain has no picture anywhere stop the run, or are skipped if that is wanted.
+    """
+    gated = context.space.gated
+    if pictures is None:
+        return plan.withColumn("picture", F.lit(None).cast("string")), None
+    found = resolved(context, pictures)
+    rows = plan.join(found.select("cycle", F.col("domain").alias(gated), "picture"), ["cycle", gated], "left")
+    lacking = rows.where(F.col(gated).isNotNull() & F.col("picture").isNull()).select(F.col(gated).alias("domain"), "id")
+    if lacking.isEmpty():
+        return rows, None
+    if not pictures.skip_missing:
+        raise PictureError(images.refusal(lacking, pictures.root, context.count).first()["message"])
+    return rows.where(F.col(gated).isNull() | F.col("picture").isNotNull()), lacking
+
+
 def write_json(out: str, name: str, document: object) -> None:
     """A JSON file in the folder (a URI), whole or not at all."""
     write_text(out, name, json.dumps(document, indent=2, ensure_ascii=False) + "\n")
@@ -121,16 +174,20 @@ def _coordinates(own: DataFrame, axes: tuple[str, ...]) -> DataFrame:
     return own.select("id", *(F.col("anchor_meta")[a].alias(a) for a in axes))
 
 
-def execute(spark: SparkSession, context: Context, out: str, client: Callable[[], generate.Client], concurrency: int = 4, overwrite: bool = False) -> dict:
+def execute(spark: SparkSession, context: Context, out: str, client: Callable[[], generate.Client], concurrency: int = 4, overwrite: bool = False, pictures: Pictures | None = None, smoke: bool = False) -> dict:
     """Generates what the bank in `out` lacks, appends it, and returns the manifest.
 
-    A bank of another plan is refused before anything is written. A run with
-    nothing left to do keeps a finished manifest of the same plan as it is.
+    A bank of another plan, and a plan whose pictures are not there, are refused
+    before anything is written. A run with nothing left to do keeps a finished
+    manifest of the same plan as it is. Every generated row passes the bank's
+    gates or is counted by the one that refuses it. Pictures of the rows that
+    are appended are copied to images/<domain>.
     """
     plan, axes = context.plan, context.axes
     before = read_bank(spark, out).limit(0) if overwrite else read_bank(spark, out)
     bank.guard(plan.select("id", *axes), _coordinates(before, axes), axes)
-    pending = bank.missing(plan, before).cache()
+    pending, skipped = with_pictures(context, bank.missing(plan, before), pictures)
+    pending = pending.cache()
     todo, had = pending.count(), before.select("id").distinct().count()
     if not todo:
         done = read_json(out, MANIFEST)
@@ -140,17 +197,34 @@ def execute(spark: SparkSession, context: Context, out: str, client: Callable[[]
     specs = pending.select("id", "n_turns", F.lit(None).cast("string").alias("system"), F.to_json(F.map_from_entries("coordinate")).alias("ask"))
     made = generate.generate(specs, client, concurrency).persist()
     try:
-        rows = made.where("reason IS NULL").join(plan.select("id", "coordinate"), "id")
-        messages = F.transform(F.arrays_zip("roles", "contents"), lambda x: F.struct(x["roles"].alias("role"), x["contents"].alias("content")))
-        meta = F.map_concat(F.map_from_entries("coordinate"), F.create_map(F.lit("has_image"), F.lit("false"), F.lit("image_count"), F.lit("0")))
-        line = records.record_json(F.col("id"), F.lit(records.TEXT_SOURCE), messages, F.col("answer"), F.lit(None).cast("string"), meta, F.lit("client"), F.lit("client"))
-        gated = rows.where(records.shape_ok(records.shape_code(F.col("roles"))))
-        gated.select(line.alias("value")).write.mode("overwrite" if overwrite else "append").text(f"{out}/{BANK}")
-        reasons = {r["reason"]: r["n"] for r in made.where("reason IS NOT NULL").groupBy("reason").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each class
+        rows = made.where("reason IS NULL").join(pending.select("id", "coordinate", "picture", F.col(context.space.gated).alias("domain")), "id")
+        files = rows.where("picture IS NOT NULL").select("domain", F.col("picture").alias("path")).distinct()
+        placed = images.copy_targets(files, spark.createDataFrame([], "target string"), folder=F.col("domain")).select("domain", F.col("path").alias("picture"), F.col("target").alias("placed"))
+        rows = rows.join(placed, ["domain", "picture"], "left")
+        first = F.array_position("roles", "user") - 1  # the turn that shows the picture
+        parts = lambda text: F.concat(F.lit("["), F.to_json(F.struct(F.lit("image").alias("type"), F.col("placed").alias("image"))), F.lit(","), F.to_json(F.struct(F.lit("text").alias("type"), text.alias("text"))), F.lit("]"))
+        content = lambda x, i: F.when(F.col("placed").isNotNull() & (i == first), parts(x["contents"])).otherwise(x["contents"])
+        messages = F.transform(F.arrays_zip("roles", "contents"), lambda x, i: F.struct(x["roles"].alias("role"), content(x, i).alias("content")))
+        has = F.col("placed").isNotNull()
+        source = F.when(has, records.MULTI_SOURCE).otherwise(records.TEXT_SOURCE)
+        meta = F.map_concat(F.map_from_entries("coordinate"), F.create_map(F.lit("has_image"), has.cast("string"), F.lit("image_count"), has.cast("int").cast("string")))
+        line = records.record_json(F.col("id"), source, messages, F.col("answer"), F.lit(None).cast("string"), meta, F.lit("client"), F.lit("client"))
+        gates = rows.select("id", "domain", "picture", "placed", line.alias("value"), records.shape_ok(records.shape_code(F.col("roles"))).alias("shape_ok"), records.source_ok(source).alias("source_ok"), records.images_ok(has, has.cast("int")).alias("images_ok"))
+        gated = bank.append_outcomes(gates, before, ["value"]).persist()
+        gated.where(F.col("outcome") == records.APPENDED).select("value").write.mode("overwrite" if overwrite else "append").text(f"{out}/{BANK}")
+        copy_placed(spark, gated.where((F.col("outcome") == records.APPENDED) & F.col("placed").isNotNull()).select("picture", "placed").distinct(), out)
+        tally = lambda df, c: {r[c]: r["n"] for r in df.groupBy(c).agg(F.count(F.lit(1)).alias("n")).collect()}  # noqa: E731  a row for each class
+        reasons, outcomes = tally(made.where("reason IS NOT NULL"), "reason"), tally(gated, "outcome")
+        gated.unpersist()
     finally:
         made.unpersist()
     after = read_bank(spark, out)
-    document = manifest(context, after, reasons)
+    document = manifest(context, after, reasons) | {"outcomes": dict(sorted(outcomes.items()))} | ({"smoke": True} if smoke else {})
+    if pictures is not None:
+        document["pictures"] = picture_readout(context, after, pictures, skipped)
+    pending.unpersist()
+    if document["missing"]:
+        warnings.warn(f"{document['missing']} of {context.count} planned rows are not in the bank: {reasons or 'nothing was abandoned'}", stacklevel=2)
     write_json(out, MANIFEST, document)
     row, found = coverage(context, bank.owned(plan, after, pending.limit(0)))
     write_json(out, f"{COVERAGE}.json", {"readout": row, "rules": found})
@@ -181,6 +255,37 @@ def coverage(context: Context, plan: DataFrame) -> tuple[dict, list[dict]]:
     return found.first().asDict(), [r.asDict() for r in rules.collect()]
 
 
+def picture_readout(context: Context, own: DataFrame, pictures: Pictures, skipped: DataFrame | None) -> dict:
+    """Over the whole bank: rows with a picture, files at hand, rounds and domains served from the pool, and rows skipped."""
+    found = resolved(context, pictures)
+    used = own.where(F.col("anchor_meta")["has_image"] == "true").select("id").join(context.plan.select("id", "cycle", F.col(context.space.gated).alias("domain")), "id")
+    both = used.join(found, ["cycle", "domain"])
+    n = both.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.col("fallback").cast("long")), F.lit(0)).alias("fallback_rows"), F.sort_array(F.collect_set(F.when(F.col("fallback"), F.col("domain")))).alias("fallback_domains")).first()
+    out = n.asDict() | {"candidates": pictures.files.count()}
+    if skipped is not None:
+        out |= skipped.agg(F.count(F.lit(1)).alias("skipped_rows"), F.sort_array(F.collect_set("domain")).alias("skipped_domains")).first().asDict()
+    return out
+
+
+def copy_placed(spark: SparkSession, files: DataFrame, out: str) -> None:
+    """Copies files (picture, placed) below `out`, in tasks; each appears whole or not at all."""
+
+    def place(parts):
+        store, folder = fs.FileSystem.from_uri(out)
+        for part in parts:
+            for source, target in zip(part["picture"], part["placed"], strict=True):
+                origin, path = fs.FileSystem.from_uri(source if "://" in source or source.startswith("/") else source.replace(":/", ":///", 1))
+                store.create_dir(f"{folder}/{target}".rpartition("/")[0], recursive=True)
+                at = f"{folder}/{target}.tmp-{uuid.uuid4().hex}"
+                with origin.open_input_stream(path, compression=None) as a, store.open_output_stream(at, compression=None) as b:
+                    while piece := a.read(1 << 20):
+                        b.write(piece)
+                store.move(at, f"{folder}/{target}")
+            yield part[["placed"]]
+
+    files.mapInPandas(place, "placed string").write.format("noop").mode("overwrite").save()
+
+
 def copy_pictures(files: DataFrame, out: str) -> DataFrame:
     """Copies pictures (path, content) into out/images and returns path, placed; equal names get a hash of their source."""
     named = files.withColumn("name", F.element_at(F.split("path", "/"), -1))
@@ -201,20 +306,47 @@ def copy_pictures(files: DataFrame, out: str) -> DataFrame:
     return same.select("path", "content", target.alias("placed")).mapInPandas(place, "path string, placed string")
 
 
+SETTINGS = {"plan": {"space": str, "count": int, "seed": int, "leaf": str}, "output": {"directory": str}, "images": {"directory": str, "skip_missing": bool}}
+
+
+def override_of(base: Path, explicit: str | None) -> Path | None:
+    """The file over a configuration: the one named, which must be there; else .local/config.override.toml of the checkout; else the one beside the configuration."""
+    if explicit is not None:
+        found = Path(explicit).expanduser()
+        if not found.is_file():
+            raise FileNotFoundError(f"no such file over the configuration: {explicit}")
+        return found
+    folder = base.resolve().parent
+    checkout = next((p for p in (folder, *folder.parents) if (p / ".git").exists() or (p / "pyproject.toml").is_file()), None)
+    tiers = ([checkout / ".local"] if checkout else []) + [folder]
+    return next((p / "config.override.toml" for p in tiers if (p / "config.override.toml").is_file()), None)
+
+
 def main(argv: list[str] | None = None) -> None:
-    """Prints the readout of a plan: python -m gridloom.run SPACE.json --count N --seed S."""
+    """Prints the readout of a plan: python -m gridloom.run --config FILE [--override FILE] [--image-dir FOLDER] [--smoke]."""
     parser = argparse.ArgumentParser(description="Plan a coordinate space and read it out.")
-    parser.add_argument("space")
-    parser.add_argument("--count", type=int, required=True)
-    parser.add_argument("--seed", type=int, default=0)
-    parser.add_argument("--leaf", default="knowledge")
+    parser.add_argument("--config", type=Path, required=True)
+    parser.add_argument("--override")
+    parser.add_argument("--image-dir")
+    parser.add_argument("--smoke", action="store_true")
     args = parser.parse_args(argv)
-    spaces.load(args.space)
-    with open(args.space, encoding="utf-8") as f:
+    over = override_of(args.config, args.override)
+    settings = config.load(str(args.config), SETTINGS, str(over) if over else None)
+    own = settings["plan"]
+    spaces.load(own["space"])
+    with open(own["space"], encoding="utf-8") as f:
         document = json.load(f)
-    context = build(SparkSession.builder.getOrCreate(), document, args.count, args.seed, args.leaf)
-    row, rules = coverage(context, context.plan)
+    spark = SparkSession.builder.getOrCreate()
+    context = build(spark, document, min(own["count"], 8) if args.smoke else own["count"], config.seed_of(own["seed"]), own["leaf"] or "knowledge")
+    folder = args.image_dir or settings["images"]["directory"]
+    plan, _ = with_pictures(context, context.plan, Pictures.read(spark, folder, bool(settings["images"]["skip_missing"])) if folder else None)
+    row, rules = coverage(context, plan)
     print(readout.markdown(row, rules))
+    if settings["output"]["directory"]:
+        stamp = F.date_format(F.current_timestamp(), "yyyyMMdd_HHmmss")
+        out = spark.range(1).select(run_folder(F.lit(settings["output"]["directory"]), stamp, args.smoke).alias("f")).first()["f"]
+        write_text(out, "config.toml", config.snapshot(settings))
+        write_json(out, f"{COVERAGE}.json", {"readout": row, "rules": rules})
 
 
 if __name__ == "__main__":

@@ -57,7 +57,63 @@ def test_pictures_are_placed_once(spark, tmp_path):
     assert placed["a"] == "p.jpg" != placed["b"] and (tmp_path / "out" / "images" / placed["b"]).read_bytes() == b"b"
 
 
+def folders(tmp_path, domains):
+    """A picture folder with two files for each domain."""
+    for d in domains:
+        (tmp_path / "pics" / d).mkdir(parents=True)
+        for n in ("b.jpg", "a.png"):
+            (tmp_path / "pics" / d / n).write_bytes(f"{d} {n}".encode())
+    return f"file://{tmp_path}/pics"
+
+
+def test_rows_with_pictures(spark, tmp_path):
+    """Image rows name the picture that lies in the output; the next round takes the next file; domains without one use the pool."""
+    context = run.build(spark, TINY, 20, 7)
+    domains = context.space.axes[context.space.gated]
+    root = folders(tmp_path, domains[:1])
+    out = f"file://{tmp_path}/out"
+    made = run.execute(spark, context, out, Quiet, 2, pictures=run.Pictures.read(spark, root))
+    images = context.plan.where("modality = 'image'").count()
+    assert made["outcomes"] == {"appended": 20} and made["pictures"]["rows"] == images > 0 and made["pictures"]["candidates"] == 2
+    assert made["pictures"]["fallback_domains"] == sorted(domains[1:]) and made["tallies"]["data_source"] == {"multi": images, "text": 20 - images}
+    seen = set()
+    for r in run.read_bank(spark, out).collect():
+        meta = r.anchor_meta
+        user = next(m.content for m in r.messages if m.role == "user")
+        assert (meta["has_image"], meta["image_count"]) == (("true", "1") if r.data_source == "multi" else ("false", "0"))
+        if r.data_source == "multi":
+            parts = json.loads(user)
+            assert [p["type"] for p in parts] == ["image", "text"] and parts[0]["image"].startswith(f"images/{meta[context.space.gated]}/")
+            seen.add(parts[0]["image"])
+    assert seen and all((tmp_path / "out" / p).read_bytes().startswith(domains[0].encode()) for p in seen)
+    assert run.execute(spark, context, out, Quiet, 2, pictures=run.Pictures.read(spark, root)) == made
+
+
+def test_no_picture_at_all(spark, tmp_path):
+    context = run.build(spark, TINY, 20, 7)
+    (tmp_path / "none").mkdir()
+    none = spark.createDataFrame([], "domain string, path string")
+    with pytest.raises(run.PictureError, match=r"no picture for \d+ domains:\n  - "):
+        run.execute(spark, context, f"file://{tmp_path}/o1", Quiet, 2, pictures=run.Pictures(none, "pics"))
+    assert not (tmp_path / "o1").exists()
+    with pytest.warns(UserWarning, match="are not in the bank"):
+        made = run.execute(spark, context, f"file://{tmp_path}/o2", Quiet, 2, pictures=run.Pictures(none, "pics", skip_missing=True))
+    images = context.plan.where("modality = 'image'").count()
+    assert made["records"] == 20 - images and made["pictures"]["skipped_rows"] == images
+
+
 def test_command_line(spark, tmp_path, capsys):
     (tmp_path / "space.json").write_text(json.dumps(TINY))
-    run.main([str(tmp_path / "space.json"), "--count", "16", "--seed", "7"])
-    assert "| total | 16 |" in capsys.readouterr().out
+    (tmp_path / "c.toml").write_text(f'[plan]\nspace = "{tmp_path}/space.json"\ncount = 4\nseed = 7\n[output]\ndirectory = "file://{tmp_path}/made/"\n')
+    (tmp_path / "config.override.toml").write_text("[plan]\ncount = 16\n")
+    run.main(["--config", str(tmp_path / "c.toml")])
+    assert "| total | 16 |" in capsys.readouterr().out and "count = 16" in (tmp_path / "made" / "config.toml").read_text()
+    (tmp_path / "other.toml").write_text("[plan]\ncount = 20\n")
+    run.main(["--config", str(tmp_path / "c.toml"), "--override", str(tmp_path / "other.toml"), "--smoke"])
+    assert "| total | 8 |" in capsys.readouterr().out and (tmp_path / "made_smoke" / "coverage.json").exists()
+    with pytest.raises(FileNotFoundError):
+        run.main(["--config", str(tmp_path / "c.toml"), "--override", "nowhere.toml"])
+    (tmp_path / ".git").mkdir()
+    (tmp_path / ".local").mkdir()
+    (tmp_path / ".local" / "config.override.toml").write_text("")
+    assert run.override_of(tmp_path / "c.toml", None).parent.name == ".local"

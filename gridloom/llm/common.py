@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 from collections.abc import Iterator
 
@@ -59,6 +60,14 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(name, str(most))
 
 
+def release() -> None:
+    """Gives memory that is no longer used back to the system: Python workers live on between tasks, and so would what one of them once held."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def text_bytes(df: DataFrame, column: str = "text") -> int:
     """Bytes of text in all rows: sizes groups so that each fits a task."""
     return df.agg(F.coalesce(F.sum(F.octet_length(column)), F.lit(0)).alias("n")).first()["n"]

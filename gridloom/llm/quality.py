@@ -28,13 +28,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.llm import blobs, hashing
-from gridloom.llm.common import bounded_batches, buffers, checkpointed, parts_for, small, text_bytes
+from gridloom.llm.common import bounded_batches, buffers, checkpointed, release, small, text_bytes
 
 ORDER = 5
 #: Stands before each document, so that its first letters have contexts.
 START = 2
 #: Code points that are numbered at once; text bytes of a group.
-WINDOW, GROUP_BYTES = 1 << 20, 12 << 20
+WINDOW, GROUP_BYTES = 1 << 19, 8 << 20
 #: Bytes of the model in a shard, shards at most that are made for the sake of parallel work, bytes of questions that a task answers.
 SHARD_BYTES, SHARDS, ASKED_BYTES = 32 << 20, 64, 64 << 20
 #: Trusted documents that the model is made of, and those held out.
@@ -221,7 +221,14 @@ def shard_of(names: np.ndarray, shards: int) -> np.ndarray:
 # documents against the model
 
 
-def _packed(groups: int):
+def _groups(rows: DataFrame) -> dict[str, tuple[int, int]]:
+    """First group and how many of each language: a group has one language, so that its texts share their n-grams."""
+    found = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).orderBy("lang").collect()  # a row for each language of trusted text
+    counts = [max(1, -(-r["n"] // GROUP_BYTES)) for r in found]
+    return {r["lang"]: (sum(counts[:k]), counts[k]) for k, r in enumerate(found)}
+
+
+def _packed(groups):
     """Documents as one blob for each group and batch: id, state (1: has an id; 2 times the part), language, text."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,7 +240,10 @@ def _packed(groups: int):
             role = part.column(2).to_numpy(zero_copy_only=False)
             view, nview = data.tobytes(), names.tobytes()
             tag = np.array([xxhash.xxh32_intdigest(view[off[r] : off[r + 1]]) for r in range(len(ids))], np.uint64)
-            slot = (hashing.mix(ids.view(np.uint64) ^ hashing.mix(tag, 7), 5) % np.uint64(groups)).astype(np.int64)
+            slot = (hashing.mix(ids.view(np.uint64) ^ hashing.mix(tag, 7), 5) >> np.uint64(1)).astype(np.int64)
+            for name, own in _by_language(part.column(1)):
+                first, count = groups.value[name]
+                slot[own] = first + slot[own] % count
             order = np.argsort(slot, kind="stable")
             out = []
             for a, b in _cuts(slot[order]):
@@ -278,6 +288,7 @@ def _asked(found: list[list[np.ndarray]], shards: int) -> tuple[np.ndarray, list
 
 def _questions(shards: int, salts: int):
     def run(key: tuple, rows: pa.Table) -> pa.Table:
+        release()
         group = key[0].as_py()
         _, _, langs, texts = _unpacked(rows.column("blob").to_pylist())
         found = [g.hashes(salt_of(name)) for name, _, units, _, _ in _streams(langs, texts) for _, g in windows(units)]
@@ -342,6 +353,7 @@ _SCORED = pa.schema([("id", pa.int64()), ("lang", pa.string()), ("part", pa.int3
 
 def _scored(shards: int, salts: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        release()
         if not left.num_rows:
             return _SCORED.empty_table()
         ids, state, langs, texts = _unpacked(left.column("blob").to_pylist())
@@ -353,7 +365,7 @@ def _scored(shards: int, salts: int):
                 found.append(g.hashes(salt_of(name)))
                 work.append((len(streams) - 1, at, g.number, g.suffix, g.context))
         names, cuts, slot = _asked(found, shards)
-        flags, known, back = np.zeros(len(names), "u1"), np.zeros(len(names)), np.zeros(len(names))
+        flags, known, back = np.zeros(len(names), "u1"), np.zeros(len(names), "f4"), np.zeros(len(names), "f4")
         for a, b in cuts:
             if int(slot[a]) in told:
                 f, x, y = blobs.unpack(told[int(slot[a])], ["u1", "<u2", "<u2"])
@@ -370,7 +382,7 @@ def _scored(shards: int, salts: int):
                     score = np.where(flags[i] & KNOWN > 0, known[i], weight[context[k - 1]] + score[suffix[k - 1]])
                 else:
                     score = known[i]
-                weight = np.where(flags[i] & CONTEXT > 0, back[i], 0.0)
+                weight = np.where(flags[i] & CONTEXT > 0, back[i], np.float32(0))
             here = real[at : at + WINDOW]
             sums = np.concatenate([[0.0], np.cumsum(np.where(here, score[number], 0.0))])
             edge = np.clip(offsets - at, 0, len(here))
@@ -386,7 +398,7 @@ def scored(rows: DataFrame, model: DataFrame) -> DataFrame:
     spark = rows.sparkSession
     model = checkpointed(model)
     total = text_bytes(rows)
-    groups = parts_for(spark, total, GROUP_BYTES)
+    groups = spark.sparkContext.broadcast(_groups(rows))
     shards = max(-(-16 * model.count() // SHARD_BYTES), min(SHARDS, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     salts = max(1, -(-total // (4 * shards * ASKED_BYTES)))  # questions take about a quarter of the text's bytes
     schema = "slot bigint, blob binary"

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.llm import blobs, hashing
-from gridloom.llm.common import batches_of, bounded_batches, buffers, parts_for, text_bytes
+from gridloom.llm.common import batches_of, bounded_batches, buffers, parts_for, release, text_bytes
 
 #: Units in a chunk; a longer document is its own chunk, up to CUT, and is cut with overlap beyond.
 CHUNK, CUT = 1 << 18, 1 << 20
@@ -257,6 +257,7 @@ def _reduced(plan: Plan, level: int) -> Callable:
     last = plan.levels[level] == plan.n
 
     def run(slot: tuple, rows: pa.Table) -> pa.Table:
+        release()
         number = slot[0].as_py()
         packed = rows.column("blob").to_pylist()
         if number >= plan.buckets:  # settled before: on to its group
@@ -363,6 +364,7 @@ def _next_level(plan: Plan, level: int, names: Callable | None) -> Callable:
     """Of a group: takes the answers of the level before, sends the open windows' runs at this level."""
 
     def run(slot: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        release()
         number = slot[0].as_py()
         group = Group(left.column("blob").to_pylist())
         doc, lo, tag, wide, flags = _taken(right.column("blob").to_pylist(), _ANSWER)
@@ -445,6 +447,7 @@ def _kept_words(data: np.ndarray, offsets: np.ndarray, gone: np.ndarray, starts:
 
 def _result(plan: Plan) -> Callable:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        release()
         group = Group(left.column("blob").to_pylist(), left.column("extra").to_pylist() if "extra" in left.column_names else ())
         doc, lo, tag, wide, flags = _taken(right.column("blob").to_pylist(), _ANSWER)
         gone = flags & REMOVED > 0

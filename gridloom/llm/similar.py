@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm import blobs, hashing, simhash
-from gridloom.llm.common import bounded_batches, buffers, checkpointed, parts_for, small
+from gridloom.llm.common import bounded_batches, buffers, checkpointed, parts_for, release, small
 
 #: Two sets are similar if 5 times their common elements are at least 4 times all of theirs.
 PART, WHOLE = 4, 5
@@ -175,6 +175,7 @@ def shared(rows: DataFrame) -> DataFrame:
             yield _dealt(token, slots, [token, rank, np.repeat(sig[each], counts)])
 
     def meet(slot: tuple, found: pa.Table) -> pa.Table:
+        release()
         token, rank, sig = blobs.unpack_all(found.column("blob").to_pylist(), ["<u8", "u1", "<i8"])
         order = np.lexsort((sig, token))
         token, rank, sig = token[order], rank[order], sig[order]
@@ -260,6 +261,7 @@ def candidates(tokens: DataFrame, nodes: DataFrame, every: bool) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), *(pa.array([r[c] for r in out], pa.binary()) for c in (1, 2, 3))], ["slot", "tokens", "sets", "wide"])
 
     def meet(slot: tuple, found: pa.Table) -> pa.Table:
+        release()
         sets_of = [blobs.unpack(x, ["<i8"] * 4) for x in found.column("sets").to_pylist()]
         before = np.cumsum([0, *(len(x[0]) for x in sets_of)])
         met = [blobs.unpack(x, ["<u8", "<i8"]) for x in found.column("tokens").to_pylist()]

@@ -8,32 +8,36 @@ can miss at the wanted containment. A document that holds enough of an item
 therefore holds a shingle of its sketch, whatever the document's length; no
 true pair is lost. Pairs found so are verified on the exact shingles.
 
-Items are broadcast in blocks of bounded bytes; each block meets all documents.
+Only the sketches' hashes go to all tasks, four million of them at a time: those
+of some hundred megabytes of items, so that documents are read once but for
+benchmarks larger than that. Documents that hold one are joined to its items.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm import hashing
-from gridloom.llm.common import batches_of, buffers, fresh, small
+from gridloom.llm import blobs, hashing
+from gridloom.llm.common import batches_of, bounded_batches, buffers, checkpointed, fresh, small
 
-#: Text bytes of the items in one broadcast block.
-BLOCK_BYTES = 4 << 20
+#: Sketch hashes in one broadcast block, and how they are packed.
+BLOCK_GRAMS, _SKETCH = 4 << 20, ["<i8", "u1", "<u8"]
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_TABLE = _LOWER.tobytes()
 
 
-def item_shingles(text: bytes, size: int) -> tuple[int, list[bytes]]:
-    """Words in a shingle, and the distinct shingles of an item; one with fewer words is a single shingle."""
-    words = _LOWER[np.frombuffer(text, np.uint8)].tobytes().split()
-    size = min(size, len(words))
+def item_shingles(text: bytes, size: int, least: int = 1) -> tuple[int, list[bytes]]:
+    """Words in a shingle, and the distinct shingles of an item; one with fewer words is a single shingle, one with fewer than `least` has none."""
+    words = text.translate(_TABLE).split()
+    size = min(size, len(words)) if len(words) >= least else 0
     return size, sorted({b" ".join(words[i : i + size]) for i in range(len(words) - size + 1)}) if size else []
 
 
@@ -48,103 +52,122 @@ def signature_length(n: int, share: float) -> int:
     return min(n, top - needed(top, share) + 1)
 
 
+def sketches(items: DataFrame, size: int, share: float, least: int) -> DataFrame:
+    """blob: uid of the item, words in a shingle and hash of each sketch shingle of items (uid, text) of at least `least` words, packed for each batch."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            uid, width, gram = [], [], []
+            for i, text in zip(part.column(0).to_pylist(), part.column(1), strict=True):
+                k, shingles = item_shingles(text.as_buffer().to_pybytes(), size, least)
+                if shingles:
+                    own = gram_hashes(shingles, k)
+                    own = own[np.argsort(hashing.mix(own, 11))][: signature_length(len(shingles), share)]
+                    uid.append(np.full(len(own), i, np.int64))
+                    width.append(np.full(len(own), k, "u1"))
+                    gram.append(own)
+            if uid:
+                yield pa.RecordBatch.from_arrays([pa.array([blobs.pack([np.concatenate(x) for x in (uid, width, gram)])], pa.binary())], ["blob"])
+
+    return items.select("uid", F.col("text").cast("binary")).mapInArrow(run, "blob binary")
+
+
+def gram_hashes(shingles: list[bytes], width: int) -> np.ndarray:
+    """The hash that each shingle has wherever it stands in a text."""
+    data = np.frombuffer(b" ".join(shingles), np.uint8)
+    starts, ends, _ = hashing.word_bounds(data, np.array([0, len(data)]))
+    return hashing.mix(hashing.Rolling(hashing.word_units(data, starts, ends)).every(width))[::width]
+
+
 class Block:
-    """Items and the sorted hashes of their sketches, by words in a shingle."""
-
-    def __init__(self, items: list[tuple], size: int, share: float) -> None:
-        self.items, self.share = [], share
-        sketch: dict[int, list[tuple[int, int]]] = {}
-        for number, text in items:
-            width, shingles = item_shingles(text, size)
-            if not shingles:
-                continue
-            data = b" ".join(shingles)
-            ends = np.cumsum([len(s) + 1 for s in shingles]) - 1
-            starts = np.append(0, ends[:-1] + 1)
-            words = hashing.word_bounds(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
-            units = hashing.word_units(np.frombuffer(data, np.uint8), words[0], words[1])
-            grams = hashing.mix(hashing.Rolling(units).every(width))[::width] if len(starts) else np.zeros(0, np.uint64)
-            order = np.argsort(hashing.mix(grams, 11))[: signature_length(len(shingles), share)]
-            sketch.setdefault(width, []).extend((int(g), len(self.items)) for g in grams[order])
-            self.items.append((number, width, frozenset(shingles)))
+    """Sketch hashes of some items, sorted, by words in a shingle."""
+
+    def __init__(self, uid: np.ndarray, width: np.ndarray, gram: np.ndarray) -> None:
         self.sketch = {}
-        for width, pairs in sketch.items():
-            pairs.sort()
-            self.sketch[width] = np.array([p[0] for p in pairs], np.uint64), np.array([p[1] for p in pairs])
+        for k in np.unique(width).tolist():
+            own = np.flatnonzero(width == k)
+            own = own[np.argsort(gram[own], kind="stable")]
+            self.sketch[k] = gram[own], uid[own]
 
-    def found(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """Row, item and shared shingles of each pair that reaches the share."""
+    def found(self, data: np.ndarray, offsets: np.ndarray) -> dict[int, set[int]]:
+        """Items of which each row holds a shingle of the sketch."""
         data = _LOWER[data]
         starts, ends, counts = hashing.word_bounds(data, offsets)
+        pairs: dict[int, set[int]] = {}
         if not len(starts):
-            return
+            return pairs
         roll = hashing.Rolling(hashing.word_units(data, starts, ends))
-        text = data.tobytes()
-        pairs = set()
         for width, (grams, owner) in self.sketch.items():
             mine = hashing.mix(roll.every(width))
             low = np.searchsorted(grams, mine)
-            for i in np.flatnonzero(grams[np.minimum(low, len(grams) - 1)] == mine):
+            for i in np.flatnonzero(grams[np.minimum(low, len(grams) - 1)] == mine).tolist():
                 row = int(np.searchsorted(counts, i, "right") - 1)
-                if i + width > counts[row + 1]:
-                    continue
-                at = low[i]
-                while at < len(grams) and grams[at] == mine[i]:
-                    pairs.add((row, int(owner[at])))
-                    at += 1
-        held: dict[tuple[int, int], set[bytes]] = {}
-        for row, item in sorted(pairs):
-            number, width, shingles = self.items[item]
-            if (row, width) not in held:
-                held = {k: v for k, v in held.items() if k[0] == row}
-                words = text[offsets[row] : offsets[row + 1]].split()
-                held[row, width] = {b" ".join(words[i : i + width]) for i in range(len(words) - width + 1)}
-            both = len(shingles & held[row, width])
-            if both >= needed(len(shingles), self.share):
-                yield row, item, both
-
-
-def contained(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", size: int = 5, share: float = 0.8) -> DataFrame:
+                if i + width <= counts[row + 1]:
+                    high = np.searchsorted(grams, mine[i], "right")
+                    pairs.setdefault(row, set()).update(owner[low[i] : high].tolist())
+        return pairs
+
+
+_FOUND = "id bigint, item bigint, n_shingles bigint, n_shared bigint, containment double"
+
+
+def contained(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", size: int = 5, share: float = 0.8, least: int = 1) -> DataFrame:
     """id, item, n_shingles, n_shared, containment: items of which a document holds at least `share` of the distinct shingles.
 
     Words are lower-cased in A-Z; a shingle is `size` words, or all words of an
-    item that has fewer. Null and empty texts hold nothing and are never found;
-    a null key passes into the result; repeated rows of either table each give
-    pairs; empty tables give none; other columns are left out.
+    item that has fewer. Items of fewer than `least` words are not looked for.
+    Null and empty texts hold nothing and are never found; a null key passes
+    into the result; repeated rows of either table each give pairs; empty
+    tables give none; other columns are left out.
     """
+    spark = docs.sparkSession
+    bounded_batches(spark)
     rows = docs.select(docs[key].cast("long").alias("id"), docs[text].cast("string").alias("text"))
-    own = items.select(items[item_key].cast("long").alias("item"), items[item_text].cast("string").alias("text")).where("text IS NOT NULL")
-    found, held, size_held = [], [], 0
+    own = items.select(items[item_key].cast("long").alias("item"), items[item_text].cast("string").alias("text")).where("text IS NOT NULL").withColumn("uid", F.xxhash64("text"))
+    own = checkpointed(own)
+    found, held = [], []
 
     def block() -> None:
-        nonlocal held, size_held
-        shared = docs.sparkSession.sparkContext.broadcast(Block(held, size, share))  # of BLOCK_BYTES of text and one item at most
+        shared = spark.sparkContext.broadcast(Block(*(np.concatenate([h[c] for h in held]) for c in range(3))) if held else Block(*(np.zeros(0, t) for t in _SKETCH)))  # of BLOCK_GRAMS hashes and those of one batch at most
 
         def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in parts:
                 data, off, _ = buffers(part.column(1))
-                out = []
                 for i, j in batches_of(off, 1 << 20):
-                    for row, item, both in shared.value.found(data[off[i] : off[j]], off[i : j + 1] - off[i]):
-                        number, _, shingles = shared.value.items[item]
-                        out.append((i + row, number, len(shingles), both, both / len(shingles)))
-                ids = part.column(0).take(pa.array([o[0] for o in out], pa.int64()))
-                yield pa.RecordBatch.from_arrays([ids, *(pa.array([o[k] for o in out], t) for k, t in ((1, pa.int64()), (2, pa.int64()), (3, pa.int64()), (4, pa.float64())))], ["id", "item", "n_shingles", "n_shared", "containment"])
-
-        found.append(rows.mapInArrow(run, "id bigint, item bigint, n_shingles bigint, n_shared bigint, containment double"))
-        held, size_held = [], 0
-
-    for r in own.orderBy("item", "text").toLocalIterator():  # one partition of items at a time
-        held.append((r["item"], r["text"].encode()))
-        size_held += len(held[-1][1])
-        if size_held >= BLOCK_BYTES:
+                    hits = shared.value.found(data[off[i] : off[j]], off[i : j + 1] - off[i])
+                    if hits:
+                        take = pa.array([i + r for r in hits], pa.int64())
+                        yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), pa.array([sorted(x) for x in hits.values()], pa.list_(pa.int64()))], ["id", "text", "uids"])
+
+        found.append(rows.mapInArrow(run, "id bigint, text string, uids array<bigint>"))
+        held.clear()
+
+    for r in sketches(own.dropDuplicates(["uid"]), size, share, least).toLocalIterator():
+        held.append(blobs.unpack(r["blob"], _SKETCH))
+        if sum(len(h[0]) for h in held) >= BLOCK_GRAMS:
             block()
     if held or not found:
         block()
-    whole = found[0]
-    for more in found[1:]:
-        whole = whole.unionAll(more)
-    return whole
+    pairs = reduce(DataFrame.unionAll, found).select("id", "text", F.explode("uids").alias("uid"))
+    both = pairs.join(small(own.select("uid", "item", F.col("text").alias("wanted"))), "uid").select("id", "text", "item", "wanted")
+
+    def verify(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            out, before, known = [], None, {}
+            for r, (said, wanted) in enumerate(zip(part.column(1), part.column(3), strict=True)):
+                said = said.as_buffer().to_pybytes()
+                if said != before:
+                    before, known, words = said, {}, said.translate(_TABLE).split()
+                k, shingles = item_shingles(wanted.as_buffer().to_pybytes(), size, least)
+                if k not in known:
+                    known[k] = {b" ".join(words[i : i + k]) for i in range(len(words) - k + 1)}
+                shared = sum(x in known[k] for x in shingles)
+                if shingles and shared >= needed(len(shingles), share):
+                    out.append((r, len(shingles), shared, shared / len(shingles)))
+            take = pa.array([o[0] for o in out], pa.int64())
+            yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(2).take(take), *(pa.array([o[k] for o in out], t) for k, t in ((1, pa.int64()), (2, pa.int64()), (3, pa.float64())))], ["id", "item", "n_shingles", "n_shared", "containment"])
+
+    return both.mapInArrow(verify, _FOUND)
 
 
 def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", **how) -> DataFrame:

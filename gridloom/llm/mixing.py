@@ -60,7 +60,7 @@ def wanted(cells: DataFrame, d: str, targets: Targets) -> DataFrame:
     named = have.join(cells.sparkSession.createDataFrame(shares, "value string, share double"), F.col(d) == F.col("value"), "left")
     sums = named.agg(F.sum(F.when(F.col("share").isNull(), F.col("have"))).alias("unnamed"), F.sum("share").alias("named"))
     whole = F.coalesce(F.col("named"), F.lit(0.0)) + F.when(F.col("unnamed").isNotNull(), F.lit(rest)).otherwise(0.0)
-    share = F.coalesce(F.col("share"), F.lit(rest) * F.col("have") / F.col("unnamed")) / F.when(whole > 0, whole)
+    share = F.coalesce(F.col("share"), F.try_divide(F.lit(rest) * F.col("have"), F.col("unnamed"))) / F.when(whole > 0, whole)
     return named.crossJoin(F.broadcast(sums)).select(d, F.coalesce(share, F.lit(0.0)).alias(f"t_{d}"))  # sums is one row
 
 
@@ -79,7 +79,7 @@ def fitted(cells: DataFrame, targets: Targets = TARGETS, rounds: int = ROUNDS, t
     for done in range(0, rounds, LOOK):
         for _ in range(min(LOOK, rounds - done)):
             for d in DIMENSIONS:
-                cells = cells.withColumn("w", F.coalesce(F.col("w") * F.col(f"t_{d}") / F.sum("w").over(Window.partitionBy(d)), F.lit(0.0)))
+                cells = cells.withColumn("w", F.coalesce(F.try_divide(F.col("w") * F.col(f"t_{d}"), F.sum("w").over(Window.partitionBy(d))), F.lit(0.0)))
         cells = checkpointed(cells)
         if _off(cells) <= tolerance:
             break
@@ -94,8 +94,8 @@ def _off(cells: DataFrame) -> float:
 
 def probabilities(cells: DataFrame, budget: float = 1.0) -> DataFrame:
     """fitted() cells with p, the probability of their documents: as large as it can be without one above 1, and at most `budget` of all tokens."""
-    ends = cells.agg(F.least(F.lit(budget) * F.sum("tokens") / F.sum("w"), F.min(F.col("tokens") / F.when(F.col("w") > 0, F.col("w")))).alias("factor"))
-    return cells.crossJoin(F.broadcast(ends)).withColumn("p", F.round(F.least(F.lit(1.0), F.col("w") * F.col("factor") / F.col("tokens")), 6)).drop("factor")  # one row
+    ends = cells.agg(F.least(F.try_divide(F.lit(budget) * F.sum("tokens"), F.sum("w")), F.min(F.col("tokens") / F.when(F.col("w") > 0, F.col("w")))).alias("factor"))
+    return cells.crossJoin(F.broadcast(ends)).withColumn("p", F.round(F.least(F.lit(1.0), F.col("w") * F.coalesce("factor", F.lit(0.0)) / F.col("tokens")), 6)).drop("factor")  # one row
 
 
 def report(cells: DataFrame) -> DataFrame:

@@ -81,11 +81,11 @@ def repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item."""
+    """Drops documents that hold a benchmark item of five words or more."""
     rows, key, tag = _keyed(docs)
     (row,) = fresh(rows, "row")
     rows = rows.withColumn(row, F.xxhash64(key, tag))
-    hit = decontaminate.contained(rows, table(spark, sf_dir, "benchmark"), key=row).select("id")
+    hit = decontaminate.contained(rows, table(spark, sf_dir, "benchmark"), key=row, least=5).select("id")
     return _without(rows, hit, row).select(*columns(docs))
 
 

@@ -18,28 +18,40 @@ def test_query_equals_sql(spark, name):
     assert spark_rows(df) == sql_rows(REGISTRY.oracles[name])
 
 
-def test_raking_meets_marginals(spark):
+TARGETS = {"source": {"s0": 0.5, "s1": 0.1, "gone": 0.3, "*": 0.4}, "lang": {"l0": 1, "l1": 2, "l2": 1}}
+
+
+def test_raking_meets_given_targets(spark):
+    """Named values get their shares, what is not named the rest by tokens, absent values nothing; a dimension without targets stays."""
     rng = random.Random(1)
-    rows = [(f"s{i % 5}", f"l{j}", f"t{k}", rng.randint(1, 5000)) for i in range(5) for j in range(3) for k in range(4)]
+    rows = [(f"s{i % 5}", f"l{j}", f"t{k}", rng.randint(1, 5000)) for i in range(5) for j in range(3) for k in range(4)] + [("s1", "l1", "t1", 0)]
     cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")
-    found = mixing.fitted(cells, rounds=12).collect()
-    total = sum(r.w for r in found)
-    for d, power in zip(mixing.DIMENSIONS, mixing.POWERS):
-        have, tokens = {}, {}
-        for r in found:
-            have[r[d]] = have.get(r[d], 0) + r.w / total
-            tokens[r[d]] = tokens.get(r[d], 0) + r.tokens
-        raw = {v: t**power for v, t in tokens.items()}
-        assert all(have[v] == pytest.approx(raw[v] / sum(raw.values()), abs=1e-3) for v in have)
-    held = mixing.probabilities(mixing.fitted(cells), 0.6)
-    assert held.agg(F.sum(F.col("p") * F.col("tokens")) / F.sum("tokens")).first()[0] == pytest.approx(0.6, abs=1e-6)
-    assert held.agg(F.max("p")).first()[0] <= 1
+    held = mixing.probabilities(mixing.fitted(cells, TARGETS))
+    shares = {(r.dimension, r.value): r for r in mixing.report(held).collect()}
+    total = sum(r[3] for r in rows)
+    tokens = lambda d, v: sum(r[3] for r in rows if r[d] == v)
+    rest = total - tokens(0, "s0") - tokens(0, "s1")
+    want = {("source", "s0"): 0.5, ("source", "s1"): 0.1, **{("source", f"s{i}"): 0.4 * tokens(0, f"s{i}") / rest for i in (2, 3, 4)}}
+    want |= {("lang", "l0"): 0.25, ("lang", "l1"): 0.5, ("lang", "l2"): 0.25, **{("topic", f"t{k}"): tokens(2, f"t{k}") / total for k in range(4)}}
+    assert set(want) == set(shares)
+    for k, share in want.items():
+        assert shares[k].wanted == pytest.approx(share, abs=1e-9) and shares[k].expected == pytest.approx(share, abs=2e-6)
+    assert held.agg(F.max("p")).first()[0] == pytest.approx(1, abs=1e-6)  # the tightest cell keeps all
+    less = mixing.probabilities(mixing.fitted(cells, TARGETS), 0.05)
+    assert less.agg(F.sum(F.col("p") * F.col("tokens")) / F.sum("tokens")).first()[0] == pytest.approx(0.05, abs=1e-5)
+
+
+def test_targets_that_cells_cannot_meet(spark):
+    """Rounds end; what is wanted of a source that has one language only is left as near as can be."""
+    cells = spark.createDataFrame([("a", "x", "t", 10), ("b", "y", "t", 10)], "source string, lang string, topic string, tokens long")
+    found = mixing.fitted(cells, {"source": {"a": 0.9, "b": 0.1}, "lang": {"x": 0.1, "y": 0.9}}, rounds=12).collect()
+    assert sum(r.w for r in found) == pytest.approx(1) and all(0 <= r.w <= 1 for r in found)
 
 
 def test_mix_and_sample_agree_on_odd_rows(spark):
     rows = [(i, f"word {i} " * (i % 30), "en" if i % 3 else None, f"s{i % 4}", "x") for i in range(300)] + [(None, "no id", "en", "s1", "x"), (None, None, None, None, "x"), (7, "", "en", "s1", "x"), (8, rows_text := "again and again", "en", "s1", "x"), (8, rows_text, "en", "s1", "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, p string").repartition(3)
-    mixed, kept = mixing.mix(docs, budget=0.5), mixing.sample(docs, budget=0.5)
+    mixed, kept = mixing.mix(docs, TARGETS, budget=0.5), mixing.sample(docs, TARGETS, budget=0.5)
     assert mixed.count() == len(rows) and kept.columns == docs.columns
     assert sorted(str(r.id) for r in mixed.where("kept").collect()) == sorted(str(r.doc_id) for r in kept.collect())
     assert {r.id: r.kept for r in mixed.where("tokens = 0").collect()}[7] is True
@@ -77,7 +89,7 @@ def test_contained_equals_brute_force(spark, monkeypatch):
     want = plain_pairs(docs, items)
     got = lambda: sorted(((r.id, r.item, r.n_shingles, r.n_shared) for r in decontaminate.contained(d, b).collect()), key=str)
     assert got() == want and len(want) > 30
-    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 500)  # several blocks of items
+    monkeypatch.setattr(decontaminate, "BLOCK_GRAMS", 1)  # several blocks of items
     assert got() == want
     left = decontaminate.clean(d, b)
     assert sorted((str(r.doc_id) for r in left.collect())) == sorted(str(i) for i, _ in docs if i is None or i not in {w[0] for w in want})

@@ -5,7 +5,8 @@ from __future__ import annotations
 import random
 import re
 import tomllib
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,19 +21,43 @@ class ConfigError(ValueError):
     """A configuration that cannot be used."""
 
 
-def merged(base: Mapping, over: Mapping) -> dict:
-    """Tables merge key by key, other values are replaced."""
-    out = dict(base)
-    for k, v in over.items():
-        out[k] = merged(out[k], v) if isinstance(v, Mapping) and isinstance(out.get(k), Mapping) else v
+Path = tuple[str, ...]
+
+
+def leaves(document: Mapping, at: Path = ()) -> Iterator[tuple[Path, object]]:
+    """Where each value of a nested table stands, and the value; an empty table is a value."""
+    for k, v in document.items():
+        if isinstance(v, Mapping) and v:
+            yield from leaves(v, (*at, k))
+        else:
+            yield (*at, k), v
+
+
+def tree(values: Mapping[Path, object]) -> dict:
+    """The nested table of such places and values."""
+    out: dict = {}
+    for path, v in values.items():
+        reduce(lambda table, k: table.setdefault(k, {}), path[:-1], out)[path[-1]] = v
     return out
 
 
-def unset(value: object) -> object:
-    """Empty strings as None, at any depth."""
-    if isinstance(value, Mapping):
-        return {k: unset(v) for k, v in value.items()}
-    return [unset(v) for v in value] if isinstance(value, list) else None if value == "" else value
+def merged(base: Mapping, *over: Mapping) -> dict:
+    """All layers laid on each other: the last value of a place counts, and clears what stood above or below it, but for tables it adds to."""
+    found: dict[Path, object] = {}
+    for layer in (base, *over):
+        for path, v in leaves(layer):
+            gone = [p for p in found if p == path or p[: len(path)] == path and v != {} or path[: len(p)] == p]
+            for p in gone:
+                del found[p]
+            if v != {} or not any(p[: len(path)] == path for p in found):
+                found[path] = v
+    return tree(found)
+
+
+def unset(document: Mapping) -> dict:
+    """The table with None in place of every empty string."""
+    blank = lambda v: [blank(x) for x in v] if isinstance(v, list) else unset(v) if isinstance(v, Mapping) else v or None if isinstance(v, str) else v
+    return tree({path: blank(v) for path, v in leaves(document)})
 
 
 def checked(config: Mapping, schema: Mapping, at: str = "") -> dict:
@@ -54,11 +79,11 @@ def checked(config: Mapping, schema: Mapping, at: str = "") -> dict:
 
 def load(base: str, schema: Mapping, override: str | None = None) -> dict:
     """A checked configuration from a TOML file and an optional second one over it."""
-    found: dict = {}
+    layers = []
     for path in filter(None, (base, override)):
         with open(path, "rb") as f:
-            found = merged(found, tomllib.load(f))
-    return checked(unset(found), schema)
+            layers.append(tomllib.load(f))
+    return checked(unset(merged(*layers)), schema)
 
 
 def seed_of(configured: int | None) -> int:
@@ -66,22 +91,26 @@ def seed_of(configured: int | None) -> int:
     return random.SystemRandom().getrandbits(32) if configured is None else configured
 
 
-def words(key: str) -> list[str]:
-    return [w for w in re.split(r"[^a-zA-Z0-9]+", re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", key).lower()) if w]
+# What splits a key into words, and what in the split key speaks of a secret or of a duration; Python and Spark read all three alike.
+_BREAK = r"(?<=[a-z0-9])(?=[A-Z])|[^a-zA-Z0-9]+"
+_SECRET = rf"(^|_)({'|'.join(SECRET_WORDS)})(_|$)"
+_DURATION = rf"(^|_)({'|'.join(DURATION_WORDS)})(_|$)"
+#: Secret words as they look run together.
+_JOINED = tuple(w.replace("_", "") for w in SECRET_WORDS)
 
 
 def is_secret(key: object) -> bool:
     """Whether a word of the key, or all of them run together, names a secret; durations never do."""
-    own = words(key) if isinstance(key, str) else []
-    flat = {"".join(words(w)) for w in SECRET_WORDS}
-    return not set(own) & set(DURATION_WORDS) and (bool(set(own) & set(SECRET_WORDS)) or "".join(own) in flat)
+    if not isinstance(key, str):
+        return False
+    split = re.sub(_BREAK, "_", key).lower()
+    return not re.search(_DURATION, split) and (bool(re.search(_SECRET, split)) or split.replace("_", "") in _JOINED)
 
 
 def is_secret_column(key: Column) -> Column:
     """The same for a column of keys."""
-    own = F.filter(F.split(F.lower(F.regexp_replace(key, "(?<=[a-z0-9])(?=[A-Z])", "_")), "[^a-z0-9]+"), lambda w: w != "")
-    has = lambda names: F.arrays_overlap(own, F.array(*(F.lit(n) for n in names)))
-    return ~has(DURATION_WORDS) & (has(SECRET_WORDS) | F.array_join(own, "").isin(*("".join(words(w)) for w in SECRET_WORDS)))
+    split = F.lower(F.regexp_replace(key, _BREAK, "_"))
+    return ~split.rlike(_DURATION) & (split.rlike(_SECRET) | F.replace(split, F.lit("_"), F.lit("")).isin(*_JOINED))
 
 
 def redacted(value: object, key: object = None) -> object:

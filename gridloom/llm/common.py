@@ -45,7 +45,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 #: Rows and bytes of text in one Arrow batch between Spark and Python.
-BATCH_ROWS, BATCH_TEXT = 2_500, 8 << 20
+BATCH_ROWS, BATCH_TEXT = 2_500, 4 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:

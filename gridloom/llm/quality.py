@@ -151,6 +151,7 @@ def counts(rows: DataFrame) -> DataFrame:
     """lang, gram (ORDER code points), c over all rows with columns lang and text, none of them null."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for part in parts:
             for name, own in _by_language(part.column(0)):
                 units, _, real = led(*points(part.column(1).take(pa.array(own)).to_pylist()))
@@ -232,6 +233,7 @@ def _packed(groups):
     """Documents as one blob for each group and batch: id, state (1: has an id; 2 times the part), language, text."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for part in parts:
             data, off, _ = buffers(part.column(3))
             names, noff, _ = buffers(part.column(1))
@@ -303,6 +305,7 @@ def _dealt_model(shards: int, salts: int):
     """The model's rows packed for each shard, and for each share of the groups that ask it."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for part in parts:
             names = np.zeros(part.num_rows, np.uint64)
             order = part.column(1).to_numpy(zero_copy_only=False)

@@ -411,6 +411,7 @@ def _next_level(plan: Plan, level: int, names: Callable | None) -> Callable:
 
 def _first_level(plan: Plan, names: Callable | None) -> Callable:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for part in parts:
             data, offsets, _ = buffers(part.column(1))
             has_id = part.column(0).is_valid().to_numpy(zero_copy_only=False)
@@ -555,6 +556,7 @@ def remove_repeats(docs: DataFrame, key: str, text: str, kind: str, n: int, leve
     schema = "slot bigint, blob binary"
 
     def packed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for part in parts:
             found = list(_packed_text(plan, part))
             columns = [pa.array([x[k] for x in found], t) for k, t in ((0, pa.int64()), (1, pa.binary()), (2, pa.binary()))]

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm import blobs, hashing
-from gridloom.llm.common import bounded_batches, buffers, checkpointed, parts_for
+from gridloom.llm.common import bounded_batches, buffers, checkpointed, parts_for, release
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: Buckets of up to so many fingerprints are compared pair by pair.
@@ -63,6 +63,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     """id, fp (the 64 bits as a signed number) of each row; no words give zero."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for part in parts:
             data, off, _ = buffers(part.column(1))
             view = data.tobytes()

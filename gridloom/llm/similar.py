@@ -104,6 +104,7 @@ def common_elements(docs: DataFrame, text: str, size: int) -> np.ndarray:
     """Elements that many sets have, sorted: at most COMMON_KEPT, those with most sets."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for part in parts:
             data, off, _ = buffers(part.column(0))
             found, before = shingles(data, off, size)
@@ -129,6 +130,7 @@ def sets(docs: DataFrame, common, text: str, size: int) -> DataFrame:
     others = [c for c in docs.columns if c != text]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for part in parts:
             data, off, _ = buffers(part.column(len(others)))
             found, before = shingles(data, off, size)
@@ -164,6 +166,7 @@ def shared(rows: DataFrame) -> DataFrame:
     slots = parts_for(rows.sparkSession, 2 * int(total), BUCKET)
 
     def deal(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for part in parts:
             sig = part.column(0).to_numpy(zero_copy_only=False)
             data, off, _ = buffers(part.column(1))
@@ -244,6 +247,7 @@ def candidates(tokens: DataFrame, nodes: DataFrame, every: bool) -> DataFrame:
     slots = parts_for(tokens.sparkSession, (40 + BITS // 8) * tokens.count(), BUCKET)
 
     def deal(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for part in parts:
             sig, n, label = (part.column(c).to_numpy(zero_copy_only=False) for c in range(3))
             data, off, _ = buffers(part.column(3))
@@ -295,6 +299,7 @@ def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, size: int) -> D
     """The pairs (a, b) whose sets are similar. Only sets of pairs are made again, each from one of its rows in docs (id, tag, text)."""
 
     def again(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for part in parts:
             data, off, _ = buffers(part.column(1))
             found, before = shingles(data, off, size)
@@ -302,6 +307,7 @@ def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, size: int) -> D
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own, pa.binary())], ["sig", "hashes"])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for part in parts:
             (x, xo, _), (y, yo, _) = buffers(part.column(2)), buffers(part.column(3))
             ok = [jaccard(x[xo[k] : xo[k + 1]].view("<u8"), y[yo[k] : yo[k + 1]].view("<u8")) for k in range(part.num_rows)]

@@ -1,7 +1,11 @@
 """HTML extraction against hand-made pages and, on the driver's pages, against the plain article markup."""
 
 import html
+import random
 import re
+import time
+
+import pytest
 
 from gridloom.llm.html_text import extract, main_text, page_lines, spans
 from gridloom.llm.queries import REGISTRY
@@ -27,6 +31,72 @@ def test_raw_text_comments_and_cut_tags():
     assert [x.text for x in page_lines("<p>" * 9000 + "deep")[0]] == ["deep"]
 
 
+LONG = ("Some words of an article that go on for a while, so that its lines are dense. " * 3).strip()
+MENU = "".join(f'<div><a href="/{i}">Item {i}</a></div>' for i in range(9))
+
+
+@pytest.mark.parametrize("names", ["wrapper with-sidebar", "layout no-ads", "page has-nav", "sidebar", "ad", "nav-wrapper", "newsletter", "comments"])
+def test_wrappers_are_told_by_their_text(names):
+    """A name in markup takes no text away where nothing else is dense; what it marks beside an article goes."""
+    inner = f'<div class="{names}"><h2>Title</h2><p>{LONG}</p><p>End.</p></div>'
+    assert main_text(MENU + inner) == f"Title\n{LONG}\nEnd."
+    nested = f'<div id="{names}"><div class="ad-box"><div role="complementary">{inner}</div></div></div>'
+    assert main_text(nested) == f"Title\n{LONG}\nEnd."
+    if not names.split()[-1].startswith(("with-", "no-", "has-", "nav-wrapper")):
+        assert main_text(f"<p>{LONG}</p><p>More of it.</p>{inner}") == f"{LONG}\nMore of it."
+
+
+def test_links_part_no_short_lines_from_the_text():
+    links = "".join(f'<div><a href="x">share {i}</a></div>' for i in range(5))
+    page = MENU + "<h1>Title</h1>" + links + f"<p>{LONG}</p>" + links + "<p>Between.</p>" + links + f"<p>{LONG}</p>" + links + "<p>The last words.</p>" + MENU + "<div>Imprint</div>"
+    assert main_text(page) == f"Title\n{LONG}\nBetween.\n{LONG}\nThe last words."
+
+
+def test_broken_markup_leaves_nothing_behind():
+    assert main_text('<p>one <a href="x>two</a> three</p><p class="k">four "five" six</p>') == 'one two three\nfour "five" six'
+    assert main_text("<p title=don't>a</p><p data-x='<b>no</b>' id=\"y\">b</p>") == "a\nb"
+    assert main_text('<p>a <b class="x <i>b</i></p>') == "a b"
+    for n in (10, 5000):
+        assert len(main_text("<div><div><nav>" + "<b>" * n + f"</div></div><p>{LONG}</p>")) == len(LONG)
+
+
+@pytest.mark.parametrize("piece", ["<nav><article>", '<div class=ad><p>x</p>', '<a href="x>t ', "</b><i>", "<script>x</script><p>y</p>", "<!-- ", '<p "', "<header><footer>", "<svg>", "<div class='related'>word "])
+def test_time_grows_with_the_page(piece):
+    def took(n):
+        began = time.process_time()
+        main_text(piece * n)
+        return time.process_time() - began
+
+    took(500)
+    few, many = min(took(4000) for _ in range(2)), took(32_000)
+    assert many < 0.3 or many < 24 * few  # eight times the page; a square would be 64
+
+
+def brute_spans(weights, window, surge):
+    """Runs from the definition: surge at the first window above, back over weighty lines, dive at the first empty window."""
+    total = lambda k: sum(weights[k : k + window])
+    out, i, end = [], 0, 0
+    while i < len(weights):
+        if total(i) > surge:
+            start = next(k for k in range(i, len(weights)) if weights[k])
+            while start > end and weights[start - 1]:
+                start -= 1
+            i = next((k for k in range(max(i, start), len(weights)) if total(k) <= 0), len(weights))
+            out.append((start, i))
+            end = i
+        else:
+            i += 1
+    return out
+
+
+def test_spans_equal_brute_force():
+    rng = random.Random(4)
+    for _ in range(500):
+        weights = [rng.choice([0, 0, 0, 5, 30, 90]) for _ in range(rng.randint(0, 30))]
+        for window, surge in ((3, 80), (1, 20), (4, 0)):
+            assert spans(weights, window, surge) == brute_spans(weights, window, surge)
+
+
 def test_rows_pass_one_for_one(spark):
     rows = [(1, "u", "<p>x</p>", "t"), (1, "u", "<p>x</p>", "t"), (None, None, None, None), (2, "v", "", "t")]
     got = extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import string
 from collections.abc import Mapping, Sequence
@@ -68,6 +69,22 @@ def validated_sentences(document: object, axis: str, values: Sequence[str]) -> d
     return {v: t.strip() for v, t in found.items()}
 
 
+def read_sentences(spark: SparkSession, folder: str, axes: Mapping[str, Sequence[str]]) -> dict[str, dict[str, str]]:
+    """Sentences by axis from a folder of <axis>.json files ({"values": {value: sentence}}); an axis without a file has none."""
+    rows = spark.read.text(f"{folder}/*.json", wholetext=True).select("value", F.input_file_name().alias("path")).collect()  # a small file for each axis
+    found = {}
+    for r in rows:
+        axis = r["path"].rpartition("/")[2][:-5]
+        if axis not in axes or axis not in INSTRUCTION_AXES:
+            raise WordingError(f"{axis}: no axis that takes instructions")
+        try:
+            document = json.loads(r["value"])
+        except ValueError as e:
+            raise WordingError(f"{axis}: {e}") from e
+        found[axis] = validated_sentences(document, axis, axes[axis])
+    return found
+
+
 def requirement(sentences: Mapping[str, Mapping[str, str]], columns: Mapping[str, Column], lead: str = "Requirements:") -> Column:
     """The lead and the sentences of a row's values in the order of axes; a null value adds nothing, an unknown one is an error."""
     said = []

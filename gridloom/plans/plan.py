@@ -29,6 +29,12 @@ def require_subset(per_modality: object, available: tuple[int, int]) -> tuple[in
     return per_modality
 
 
+def require_either(count: object, per_modality: object) -> None:
+    """Just one of a count and a subset by modality."""
+    if (count is None) == (per_modality is None):
+        raise ValueError("plan: expected a count or counts by modality, not both")
+
+
 def cycle_order_sql(units: DataFrame, cycles: int, seed: int, fp: str) -> DataFrame:
     """cycle, position, unit_index: each round orders the units by a hash."""
     rounds = units.sparkSession.range(cycles).select(F.col("id").alias("cycle"))

@@ -267,6 +267,27 @@ def picture_readout(context: Context, own: DataFrame, pictures: Pictures, skippe
     return out
 
 
+def referenced(own: DataFrame) -> DataFrame:
+    """path of every picture that the bank's messages name, from images/ on."""
+    named = F.flatten(F.transform("messages", lambda m: F.regexp_extract_all(m["content"], F.lit(r'"image":"([^"]*)"'), F.lit(1))))
+    return own.select(F.explode(named).alias("path")).select(records.relative_image(F.col("path")).alias("path")).distinct()
+
+
+def prune(spark: SparkSession, out: str, placed: DataFrame) -> int:
+    """Deletes pictures (path, below `out`) that this run placed and no record of the bank names; returns how many."""
+    gone = images.prunable(placed, referenced(read_bank(spark, out)))
+
+    def drop(parts):
+        store, folder = fs.FileSystem.from_uri(out)
+        for part in parts:
+            there = [p for p in part["path"] if store.get_file_info(f"{folder}/{p}").type == fs.FileType.File]
+            for p in there:
+                store.delete_file(f"{folder}/{p}")
+            yield part[part["path"].isin(there)]
+
+    return gone.select("path").distinct().mapInPandas(drop, "path string").count()
+
+
 def copy_placed(spark: SparkSession, files: DataFrame, out: str) -> None:
     """Copies files (picture, placed) below `out`, in tasks; each appears whole or not at all."""
 

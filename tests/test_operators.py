@@ -167,3 +167,50 @@ def test_generation_and_streaming_append(spark, tmp_path):
         stream = spark.readStream.schema("id string, line string").json(str(tmp_path / "in"))
         generate.append_stream(stream, str(tmp_path / "bank"), str(tmp_path / "ck")).awaitTermination()
     assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "bank")).collect()) == ["a", "b", "c"]
+
+
+class Flaky:
+    """Fails as its script says: t and c speak of the server, e of the model, . is an answer."""
+
+    def __init__(self, script):
+        self.script = iter(script)
+
+    def chat(self, system, user):
+        kind = next(self.script)
+        if kind in "tc":
+            raise TimeoutError if kind == "t" else ConnectionError
+        return "" if kind == "e" else "an answer of some length"
+
+
+def test_cooldown_after_a_streak():
+    pd = pytest.importorskip("pandas")
+    for script, waits in (("ttt..", 1), ("tt..tt", 0), ("tetct", 1), ("tcttct", 2)):
+        slept = []
+        rows = pd.DataFrame([(str(i), 1, None, "ask") for i in range(len(script) - script.count(".") // 2)], columns=["id", "n_turns", "system", "ask"])
+        out = list(generate.rows(iter([rows]), Flaky(script), generate.Pressure(3, 9.0, slept.append)))[0]
+        assert len(out) == len(rows) and slept == [9.0] * waits, script
+
+
+def test_ids_are_read_on(spark, tmp_path):
+    (tmp_path / "bank").mkdir()
+    (tmp_path / "bank" / "a.txt").write_text('{"id":"x"}\n\n{"id":"y"\n{"id":"x"}\n')
+    known = lambda: sorted(r.id for r in generate.known_ids(spark, f"{tmp_path}/bank", f"{tmp_path}/ids", f"{tmp_path}/ck").collect())
+    assert known() == ["x"]
+    before = len(list((tmp_path / "ids").glob("*.parquet")))
+    (tmp_path / "bank" / "b.txt").write_text('{"id":"z"}\n{"other":1}')
+    assert known() == ["x", "z"] == known() and len(list((tmp_path / "ids").glob("*.parquet"))) > before
+
+
+def test_sentences_from_files(spark, tmp_path):
+    axes = {"difficulty": ["low", "high"], "response_style": ["plain"], "language": ["English"]}
+    (tmp_path / "difficulty.json").write_text(json.dumps({"values": {"low": "Keep it easy.", "high": " Keep it hard. "}}))
+    assert wording.read_sentences(spark, str(tmp_path), axes) == {"difficulty": {"low": "Keep it easy.", "high": "Keep it hard."}}
+    (tmp_path / "language.json").write_text("{}")
+    with pytest.raises(wording.WordingError, match="takes instructions"):
+        wording.read_sentences(spark, str(tmp_path), axes)
+
+
+def test_layers_of_configuration():
+    assert config.merged({"a": {"b": 1, "c": {"d": 2}}, "x": 1}, {"a": {"c": {"e": 3}, "b": 4}, "y": {}}) == {"a": {"b": 4, "c": {"d": 2, "e": 3}}, "x": 1, "y": {}}
+    assert config.merged({"a": {"b": 1}}, {"a": 5}) == {"a": 5} and config.merged({"a": 5}, {"a": {"b": 1}}) == {"a": {"b": 1}} == config.merged({"a": {"b": 1}}, {"a": {}})
+    assert config.unset({"a": "", "b": {"c": "", "d": ["", "x"]}, "f": 0, "g": False}) == {"a": None, "b": {"c": None, "d": [None, "x"]}, "f": 0, "g": False}

@@ -117,3 +117,16 @@ def test_command_line(spark, tmp_path, capsys):
     (tmp_path / ".local").mkdir()
     (tmp_path / ".local" / "config.override.toml").write_text("")
     assert run.override_of(tmp_path / "c.toml", None).parent.name == ".local"
+
+
+def test_pictures_that_no_record_names_are_deleted(spark, tmp_path):
+    out = f"file://{tmp_path}/o"
+    (tmp_path / "o" / "images" / "d").mkdir(parents=True)
+    for n in ("a.jpg", "b.jpg", "c.jpg"):
+        (tmp_path / "o" / "images" / "d" / n).write_bytes(b"x")
+    line = {"id": "i", "data_source": "multi", "messages": [{"role": "user", "content": '[{"type":"image","image":"images/d/a.jpg"},{"type":"text","text":"t"}]'}], "anchor_meta": {}}
+    (tmp_path / "o" / "bank").mkdir()
+    (tmp_path / "o" / "bank" / "part.txt").write_text(json.dumps(line) + "\n")
+    placed = spark.createDataFrame([("images/d/a.jpg",), ("images/d/b.jpg",), ("images/d/gone.jpg",)], "path string")
+    assert run.prune(spark, out, placed) == 1
+    assert sorted(os.listdir(tmp_path / "o" / "images" / "d")) == ["a.jpg", "c.jpg"]

@@ -8,6 +8,7 @@ builds the raw product unless no pair table joins two axes.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -66,6 +67,7 @@ def parse(document: object, source: str = "document") -> Space:
     if not isinstance(document, dict):
         raise SpaceError(f"{source}: expected object (received: {type(document).__name__})")
     problems = [f"{k}: expected {t.__name__} (received: {type(document[k]).__name__ if k in document else 'nothing'})" for k, t in _FIELDS.items() if not isinstance(document.get(k), t)]
+    problems += [] if problems else list(_inner(document))
     problems += [f"{k}: expected nothing (received: {type(document[k]).__name__})" for k in document if k not in _FIELDS]
     if problems:
         raise SpaceError(f"{source}: " + "; ".join(problems))
@@ -81,6 +83,39 @@ def parse(document: object, source: str = "document") -> Space:
     return Space(axes, restricted, free, gated, pairs, capable, dict(document["turns"]))
 
 
+_PAIR = {"id": str, "from": str, "to": str, "rules": list}
+
+
+def _inner(document: dict) -> Iterator[str]:
+    """What is wrong in the lists and tables of a document that has all its fields."""
+    kind = lambda v: type(v).__name__
+    for where in ("restricted", "free"):
+        yield from (f"{where}.{i}: expected str (received: {kind(v)})" for i, v in enumerate(document[where]) if not isinstance(v, str))
+    for i, pair in enumerate(document["pairs"]):
+        at = f"pairs.{i}"
+        if not isinstance(pair, dict):
+            yield f"{at}: expected dict (received: {kind(pair)})"
+            continue
+        yield from (f"{at}.{k}: expected {t.__name__} (received: {kind(pair[k]) if k in pair else 'nothing'})" for k, t in _PAIR.items() if not isinstance(pair.get(k), t))
+        yield from (f"{at}.{k}: expected an axis (received: {pair[k]})" for k in ("from", "to") if isinstance(pair.get(k), str) and pair[k] not in document["axes"])
+        for j, rule in enumerate(pair["rules"] if isinstance(pair.get("rules"), list) else ()):
+            if not (isinstance(rule, list | tuple) and len(rule) == 2 and isinstance(rule[0], str) and isinstance(rule[1], list | tuple) and all(isinstance(v, str) for v in rule[1])):
+                yield f"{at}.rules.{j}: expected a value and a list of values (received: {rule!r})"
+    for k, v in document["modality"].items():
+        if k not in ("must", "may", "text_only") or not isinstance(v, list) or not all(isinstance(x, str) for x in v):
+            yield f"modality.{k}: expected must, may or text_only with a list of values (received: {v!r})"
+    for k, v in document["turns"].items():
+        if v != "multi" and (isinstance(v, bool) or not isinstance(v, int) or v < 1):
+            yield f"turns.{k}: expected a count from 1 or multi (received: {v!r})"
+
+
+def role_errors(declared: DataFrame, restricted: DataFrame, free: DataFrame, gated: str) -> DataFrame:
+    """problem, axis of frames with column axis: axes without a role, roles of unknown axes, axes with two roles."""
+    roles = restricted.select("axis").unionAll(free.select("axis"))
+    out = {"without a role": declared.select("axis").where(F.col("axis") != gated).exceptAll(roles), "unknown": roles.join(declared, "axis", "left_anti"), "two roles": restricted.select("axis").intersect(free.select("axis"))}
+    return reduce(DataFrame.unionAll, (df.distinct().select(F.lit(name).alias("problem"), "axis") for name, df in out.items()))
+
+
 def _pair(raw: dict, axes: dict[str, tuple[str, ...]]) -> PairTable:
     """A pair table with wildcards written out; the last of several rules for one value counts."""
     name, source, to = raw["id"], raw["from"], raw["to"]

@@ -210,6 +210,11 @@ def register(reg: Registry) -> None:
         r, s, v = rules(spark, d)
         return spaces.rule_errors(r, s.unionAll(spark.range(1).select(F.lit("9-NEW"))), v)
 
+    @q("role_errors", "WITH a AS (SELECT DISTINCT o_orderpriority AS axis FROM orders), r AS (SELECT axis FROM a WHERE axis < '3' UNION ALL SELECT 'odd'), f AS (SELECT axis FROM a WHERE axis > '2' AND axis < '4') SELECT 'without a role' AS problem, axis FROM a WHERE axis NOT IN (SELECT axis FROM r) AND axis NOT IN (SELECT axis FROM f) AND axis != '5-LOW' UNION ALL SELECT 'unknown', axis FROM r WHERE axis NOT IN (SELECT axis FROM a) UNION ALL SELECT 'two roles', axis FROM r WHERE axis IN (SELECT axis FROM f)")
+    def role_errors(spark, d):
+        axes = table(spark, d, "orders").select(F.col("o_orderpriority").alias("axis")).distinct()
+        return spaces.role_errors(axes, axes.where("axis < '3'").unionAll(spark.range(1).select(F.lit("odd"))), axes.where("axis > '2' AND axis < '4'"), "5-LOW")
+
     @q("expected_roles", "SELECT conv_id, string_agg(CASE WHEN i % 2 = 0 THEN 'user' ELSE 'assistant' END, ',' ORDER BY i) AS roles FROM (SELECT conv_id, unnest(range(2 * count(*) - 1)) AS i FROM conversations GROUP BY conv_id) GROUP BY conv_id")
     def expected(spark, d):
         from gridloom.plans import plan as plans

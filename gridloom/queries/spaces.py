@@ -155,6 +155,12 @@ def register(reg: Registry) -> None:
         key = hashing.run_key_column(FP, SEED, hashing.SQL)
         return whole_plan(spark, d)[0].select("plan_index", hashing.row_id(key, F.col("cycle"), F.col("position")).alias("id"))
 
+    @q("plan_digest", """SELECT sha256('["tables",7]' || string_agg('["' || id || '",[["flag","' || flag || '"],["priority","' || priority || '"],["segment","' || segment || '"]],1]', '' ORDER BY plan_index)) AS digest FROM (SELECT *, substr(sha256('["tables",7,"cycle-sha2/v1"]'), 1, 8) || printf('-c%05dp%05d', cycle, position) AS id FROM plan)""")
+    def digest(spark, d):
+        key = hashing.run_key_column(FP, SEED, hashing.SQL)
+        rows = whole_plan(spark, d)[0].select("plan_index", hashing.row_id(key, F.col("cycle"), F.col("position")).alias("id"), plans.coordinate(["segment", "priority", "flag"]).alias("coordinate"), F.lit(1).alias("n_turns"))
+        return spark.createDataFrame([(hashing.plan_digest(rows, [FP, SEED]),)], "digest string")
+
     @q("block_labels", "SELECT unit_index, 'segment=' || segment || ', priority=' || priority || ', flag=' || flag || ', status=' || status AS label FROM units")
     def labels(spark, d):
         return units(spark, d).select("unit_index", F.array_join(F.array(*(F.concat(F.lit(f"{a}="), F.col(a)) for a in BLOCK)), ", ").alias("label"))

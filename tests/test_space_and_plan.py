@@ -126,3 +126,10 @@ def test_files_and_last_rule(tmp_path):
     for bad in ((0, 0), (1,), (1, 99), [1, 1], (True, 1)):
         with pytest.raises(ValueError):
             plans.require_subset(bad, (5, 5))
+
+
+@pytest.mark.parametrize("change,said", [({"pairs": [{"from": "a"}]}, "pairs.0.id: expected str (received: nothing)"), ({"pairs": ["x"]}, "pairs.0: expected dict"), ({"modality": {"must": "x"}}, "modality.must"), ({"turns": {"x": 0}}, "turns.x"), ({"restricted": [1]}, "restricted.0: expected str")])
+def test_what_is_wrong_inside_is_said(change, said):
+    with pytest.raises(spaces.SpaceError) as e:
+        spaces.parse({**TINY, **change})
+    assert said in str(e.value)

@@ -148,7 +148,7 @@ def contained(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
             block()
     if held or not found:
         block()
-    pairs = reduce(DataFrame.unionAll, found).select("id", "text", F.explode("uids").alias("uid"))
+    pairs = checkpointed(reduce(DataFrame.unionAll, found)).select("id", "text", F.explode("uids").alias("uid"))  # documents that hold a sketch's shingle; a task then has one Python worker at a time
     both = pairs.join(small(own.select("uid", "item", F.col("text").alias("wanted"))), "uid").select("id", "text", "item", "wanted")
 
     def verify(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

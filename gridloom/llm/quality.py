@@ -76,7 +76,7 @@ def led(units: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 def numbered(key: np.ndarray, top: int) -> tuple[np.ndarray, int]:
     """Dense numbers of keys below `top`, and how many there are."""
-    if top <= 1 << 23:
+    if top <= 1 << 22:
         seen = np.zeros(top, bool)
         seen[key] = True
         return (np.cumsum(seen, dtype=np.int32) - 1)[key], int(np.count_nonzero(seen))

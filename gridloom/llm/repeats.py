@@ -472,7 +472,7 @@ def _result(plan: Plan) -> Callable:
         out = []
         by_row = np.argsort(row, kind="stable")
         row, lo, end = row[by_row], lo[by_row], end[by_row]
-        for i, j in batches_of(group.offsets, 8 * CHUNK):
+        for i, j in batches_of(group.offsets, CHUNK):
             data, offsets = group.data[group.offsets[i] : group.offsets[j]], group.offsets[i : j + 1] - group.offsets[i]
             if plan.kind == "words":
                 starts, ends, counts = hashing.word_bounds(data, offsets)

@@ -6,6 +6,7 @@ import json
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gridloom.llm import warc
@@ -75,7 +76,8 @@ def test_damage_and_empty(spark, tmp_path):
 @pytest.mark.parametrize("keys", [range(0, 200_000, 2), [i % 70 * 10**12 + i // 70 for i in range(100_000)], [None] * 100_000, [5] * 100_000])
 def test_no_shard_is_overfull(spark, keys):
     """Even keys, many dense clusters, no keys, one key: shards hold the target and less than a row more."""
-    rows = spark.createDataFrame([(k if k is not None else -(1 << 63), i * 7919 % 100_003, 0, 10) for i, k in enumerate(keys)], "k long, h long, u long, size long")
+    n = len(keys)
+    rows = spark.createDataFrame(pa.table({"k": pa.array([k if k is not None else -(1 << 63) for k in keys], pa.int64()), "h": pa.array(np.arange(n) * 7919 % 100_003), "u": pa.array(np.zeros(n, np.int64)), "size": pa.array(np.full(n, 10))}))
     cuts = warc.cuts_of(rows.repartition(8), 500)
     found = rows.toArrow()
     slot = warc.shard_of(cuts, *(found.column(c).to_numpy() for c in ("k", "h", "u")))

@@ -56,7 +56,7 @@ def points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     edge = offsets[1:-1]
     keep[edge[edge < len(units)]] = True
     kept = np.where(space, np.uint32(0x20), units)[keep]
-    return kept, np.concatenate([[0], np.cumsum(keep)])[offsets]
+    return kept, np.concatenate([[0], np.cumsum(keep, dtype=np.int32)])[offsets].astype(np.int64)
 
 
 def led(units: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -64,14 +64,12 @@ def led(units: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
     So the n-grams are the same in whatever order the texts come.
     """
-    rows = np.arange(1, len(offsets))
-    lead = (ORDER - 1) * np.concatenate([[0], rows])
-    out = np.full(len(units) + (ORDER - 1) * (len(rows) + 1), START, np.uint32)
-    place = np.arange(len(units)) + (ORDER - 1) * np.repeat(rows, np.diff(offsets))
-    out[place] = units
-    real = np.zeros(len(out), bool)
-    real[place] = True
-    return out, offsets + lead, real
+    lead = (ORDER - 1) * np.arange(len(offsets))
+    real = np.ones(len(units) + (ORDER - 1) * len(offsets), bool)
+    real[((offsets + lead)[:, None] + np.arange(ORDER - 1)).ravel()] = False
+    out = np.full(len(real), START, np.uint32)
+    out[real] = units
+    return out, offsets + lead + ORDER - 1, real
 
 
 def numbered(key: np.ndarray, top: int) -> tuple[np.ndarray, int]:

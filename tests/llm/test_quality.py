@@ -110,7 +110,7 @@ def test_windows_number_the_same_grams():
     rng = random.Random(3)
     units_, off, real = quality.led(*quality.points([text(rng, 200), "", text(rng, 50, "é日 "), "x"]))
     whole = set(np.concatenate(quality.Grams(units_).hashes(5)).tolist())
-    assert real.sum() == off[-1] - (N - 1) * 4 and whole
+    assert real.sum() == off[-1] - (N - 1) * 5 and whole
     again, _, _ = quality.led(*quality.points(["x", text(random.Random(3), 200)]))
     assert set(np.concatenate(quality.Grams(again).hashes(5)).tolist()) & whole
 

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import chat_trees, decontaminate, html_text, mixing, pipeline, quality, simhash, substring_dedup, suffix_dedup, warc, winnowing
+from gridloom.llm import chat_trees, decontaminate, html_text, mixing, periodic, pipeline, quality, simhash, substring_dedup, suffix_dedup, warc, winnowing
 from gridloom.llm.common import shared_dir
 from gridloom.llm.repeats import rest_of
 from gridloom.registry import Registry
@@ -128,4 +128,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+@REGISTRY.query("op13_periodic")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.collapse(table(spark, sf_dir, "documents"), plant=True).withColumnRenamed("id", "doc_id")
+
+
 REGISTRY.query("pipeline", pipeline.ORACLE_SQL)(pipeline.run)

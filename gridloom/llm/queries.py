@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import chat_trees, codes, decontaminate, html_text, mixing, periodic, pipeline, quality, simhash, substring_dedup, suffix_dedup, warc, winnowing
+from gridloom.llm import chat_trees, codes, decontaminate, html_text, mixing, periodic, pipeline, quality, simhash, substring_dedup, suffix_dedup, toxicity, warc, winnowing
 from gridloom.llm.common import shared_dir
 from gridloom.llm.repeats import rest_of
 from gridloom.registry import Registry
@@ -128,6 +128,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+@REGISTRY.query("op11_toxicity")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).withColumnRenamed("id", "doc_id")
+
+
 @REGISTRY.query("op12_vector_codes", codes.oracle())
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.compress(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id").drop("label")

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gridloom.operators.ordering import running
+from gridloom.session import checkpointed
+
 # Suffixes of pictures, and the media types of those that can be sent inline.
 WEB = ("jpg", "jpeg", "png", "gif", "webp")
 OTHER = ("bmp", "tiff", "tif")
@@ -24,26 +27,13 @@ def data_uri(path: Column, content: Column) -> Column:
     return F.when(kind.isNull(), F.raise_error(F.concat(F.lit("no media type for "), path))).otherwise(F.concat(F.lit("data:"), kind, F.lit(";base64,"), F.regexp_replace(F.base64(content), r"[\r\n]", "")))
 
 
-def running(rows: DataFrame, order: list[str], amount: str | None = None) -> DataFrame:
-    """rows with before, the sum of the column (or count) over all rows that come first in this order, and total, that of all.
-
-    Sums of sorted partitions are added up, so that no task holds all rows.
-    """
-    own = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
-    each = F.col(amount) if amount else F.lit(1)
-    sums = own.groupBy("_part").agg(F.sum(each).alias("_m"))
-    first = sums.alias("a").join(sums.alias("b"), F.col("b._part") <= F.col("a._part")).groupBy("a._part").agg(F.sum(F.when(F.col("b._part") < F.col("a._part"), F.col("b._m")).otherwise(0)).alias("_first"))  # a row for each pair of partitions
-    inside = F.coalesce(F.sum(each).over(Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    total = sums.agg(F.coalesce(F.sum("_m"), F.lit(0)).alias("total"))
-    return own.withColumn("_inside", inside).join(first, "_part").crossJoin(total).withColumn("before", F.col("_first") + F.col("_inside")).drop("_part", "_inside", "_first")
-
-
 def numbered(files: DataFrame, group: str | None, name: str, tie: str) -> DataFrame:
-    """files with slot (from 0) and n within each group, by name, then tie."""
+    """files with slot (from 0) and n within each group, by name, then tie; the files of a group are spread over tasks like any others."""
     if group is None:
         return running(files, [name, tie]).withColumnsRenamed({"before": "slot", "total": "n"})
-    own = Window.partitionBy(group)
-    return files.withColumn("slot", F.row_number().over(own.orderBy(name, tie)) - 1).withColumn("n", F.count(F.lit(1)).over(own))
+    own = checkpointed(running(files, [group, name, tie]).drop("total"))
+    each = own.groupBy(group).agg(F.min("before").alias("_least"), F.count(F.lit(1)).alias("n")).withColumnRenamed(group, "_group")
+    return own.join(each, F.col(group).eqNullSafe(F.col("_group"))).withColumn("slot", F.col("before") - F.col("_least")).select(*files.columns, "slot", "n")
 
 
 def picks(domains: DataFrame, own: DataFrame, pool: DataFrame, cycles: int, offset: Column) -> DataFrame:

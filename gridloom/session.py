@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -20,3 +22,21 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table, read by Spark so that any Hadoop file system works."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, spark.checkpoint.dir; only a local master that names none gets one of its own."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if found is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
+        found = f"file://{tempfile.mkdtemp(prefix='gridloom-')}"
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(found)
+    return found
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows as written to the shared folder, so that a lost executor costs nothing that was there."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()

@@ -10,7 +10,8 @@ kept, whole.
 
 What stands around an article is told by elements, and by names in class, id
 and role. Names only hint: where no text outside hinted elements surges, the
-largest of these turns out to be a wrapper and counts like any other.
+largest of these turns out to be a wrapper and counts like any other; inside an
+article, names that can be a subject take away only what is no dense text.
 All steps take time in proportion to the page.
 """
 
@@ -34,7 +35,8 @@ _ATTR = re.compile(r"(?:^|[\s\"'])(class|id|role|hidden|aria-hidden|style|itempr
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 #: Text inside is no text of the page; the parser reads on at the end tag only.
-RAW = frozenset("script style noscript template textarea title xmp iframe noembed noframes svg math object".split())
+RAW = frozenset("script style noscript template textarea title xmp iframe noembed noframes svg".split())
+_RAW_END = re.compile(rf"</({'|'.join(sorted(RAW))})(?=[\s/>])", re.I)
 #: Elements that hold no main text.
 OUTSIDE = frozenset("nav footer aside form button select dialog head menu fieldset datalist".split())
 #: Elements that end a line before and after them.
@@ -43,10 +45,16 @@ BLOCK = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEADS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements whose text is running text.
+PROSE = frozenset("p blockquote pre dd figcaption".split())
 #: Parts of a class, id or role name that mark text around the article.
 AROUND = frozenset(
     "ad ads adsense adbox adslot alert alertdialog banner banners breadcrumb breadcrumbs comment commentlist comments complementary consent contentinfo cookie cookies copyright dialog disclaimer discussion disqus donate footer gdpr hidden masthead menu menubar menus modal nav navbar navbox navigation newsletter notice notices notification notifications outbrain overlay pager pagination paywall popup privacy promo promos promoted promotion promotions recommended related replies respond search share sharing sidebar sidebars signup skip social subscribe subscription taboola teaser teasers toolbar tooltip topbar widget widgets".split()
 )
+#: Those of them that a section of an article may have for its subject: inside one, its text decides.
+SUBJECT = frozenset("alert complementary copyright disclaimer discussion donate notice notices privacy recommended related search skip social".split())
+#: Parts that say nothing of what an element holds.
+FORM = frozenset("area bar block body bottom box btn button buttons container count extra form group head icon inner item items js left link links list module outer panel post right section slot small sticky text thread title top unit user view wp".split())
 #: Parts after which a name tells what the element has or lacks, not what it is.
 ABOUT = frozenset("with without no not non has hide toggle layout grid row wrap wrapper".split())
 #: Parts of names that mark content, and names of the article itself.
@@ -54,8 +62,11 @@ CONTENT = frozenset("content article main post entry story".split())
 ARTICLE = frozenset("main article articlebody".split())
 
 
+_IMPRINT = re.compile(r"©|\(c\)|copyright|all rights reserved", re.I)
+
+
 class Line(NamedTuple):
-    """A line of a page: its text, whether it is left out, its innermost hinted element (0: none), whether it is in an article, characters in links, whether it is a heading."""
+    """A line of a page: its text, whether it is left out, its innermost hinted element (0: none), whether it is in an article, characters in links, whether it is a heading, or running text."""
 
     text: str
     out: bool
@@ -63,6 +74,7 @@ class Line(NamedTuple):
     article: bool
     links: int
     head: bool
+    prose: bool
 
 
 def _marks(attrs: str) -> tuple[list[str], bool]:
@@ -77,19 +89,43 @@ def _marks(attrs: str) -> tuple[list[str], bool]:
     return words, hidden
 
 
-def _hinted(words: list[str], page_level: bool) -> bool:
-    """Whether one of an element's names marks text around the article and no other one marks content."""
-    around = content = False
+def _hinted(words: list[str], page_level: bool, inside: bool) -> tuple[bool, bool]:
+    """Whether one of an element's names marks text around the article and no other one marks content; and whether that is sure whatever the text is like.
+
+    Inside an article a name marks nothing that has a part of another meaning beside.
+    """
+    around = content = other = sure = False
     for word in words:
         parts = {p.lower() for p in _PART.findall(word)}
-        own = not parts & ABOUT and (bool(parts & AROUND) or any(p.startswith(("advert", "sponsor")) for p in parts) or page_level and "header" in parts)
+        found = {p for p in parts if p in AROUND or p.startswith(("advert", "sponsor")) or page_level and p == "header"}
+        own = not parts & ABOUT and bool(found)
         around |= own
+        sure |= own and bool(found - SUBJECT)
+        other |= any(p not in found | FORM and not p.isdigit() for p in parts)
         content |= not own and bool(parts & CONTENT)
-    return around and not content
+    return around and not content and not (inside and other and not sure), sure
+
+
+def _tokens(page: str) -> list[re.Match]:
+    """Tags, comments and declarations in order. What stands between the tags of scripts, styles and their like is no markup: the next token there is the end tag."""
+    ends: dict[str, list[int]] = {}
+    for m in _RAW_END.finditer(page):
+        ends.setdefault(m[1].lower(), []).append(m.start())
+    found, at = [], 0
+    while m := _TOKEN.search(page, at):
+        found.append(m)
+        at = m.end()
+        tag = (m[2] or m[5] or "").lower()
+        if tag in RAW and not (m[1] or m[4]) and not (m[3] or m[6] or "").rstrip().endswith("/"):
+            own = ends.get(tag, [])
+            k = bisect_left(own, at)
+            if k < len(own):
+                at = own[k]
+    return found
 
 
-def page_lines(page: str) -> tuple[list[Line], list[int]]:
-    """Each non-empty line of a page in order, and of each hinted element the hinted one around it.
+def page_lines(page: str) -> tuple[list[Line], list[int], list[bool]]:
+    """Each non-empty line of a page in order; of each hinted element the hinted one around it, and whether its names are sure.
 
     An element left out whose end tag is missing ends where an article, a main
     element or a footer begins, and at the end of its parent at the latest.
@@ -98,12 +134,12 @@ def page_lines(page: str) -> tuple[list[Line], list[int]]:
     text: list[str] = []
     stack: list[tuple[str, bool, int, bool, int]] = []  # open elements: tag, left out, hint, article, the hint around
     open_at: dict[str, list[int]] = {}
-    parents = [0]
+    parents, sure = [0], [False]
     out = article = links = anchors = hint = 0
-    head = False
+    head = prose = False
     loose: list[tuple[int, int]] = []  # elements left out or hinted, by the last end tag of their name
     closes: dict[str, list[int]] = {}
-    tokens = list(_TOKEN.finditer(page))
+    tokens = _tokens(page)
     for m in tokens:
         if m[1] or m[4]:
             closes.setdefault((m[2] or m[5]).lower(), []).append(m.start())
@@ -113,7 +149,7 @@ def page_lines(page: str) -> tuple[list[Line], list[int]]:
         if text:
             line = " ".join(html.unescape("".join(text)).split())
             if line:
-                lines.append(Line(line, out > 0, hint, article > 0, min(links, len(line)), head))
+                lines.append(Line(line, out > 0, hint, article > 0, min(links, len(line)), head, prose))
             text.clear()
         links = 0
 
@@ -149,6 +185,7 @@ def page_lines(page: str) -> tuple[list[Line], list[int]]:
         if tag in BLOCK:
             flush()
             head = tag in HEADS and not end_tag
+            prose = tag in PROSE and not end_tag or tag == "br" and prose
         if tag == "a":
             anchors = 0 if end_tag else 1
         if end_tag:
@@ -178,18 +215,19 @@ def page_lines(page: str) -> tuple[list[Line], list[int]]:
                 flush()
                 pop(first)
         if tag in ("body", "html"):
-            is_out = is_hint = is_article = False
+            is_out = is_hint = is_article = certain = False
             if open_at.get("head"):
                 pop(open_at["head"][0])
         else:
             is_out = hidden or tag in OUTSIDE or tag == "header" and not article
-            is_hint = not is_out and bool(words) and _hinted(words, not article and not is_article)
+            is_hint, certain = _hinted(words, not article and not is_article, article > 0) if words and not is_out else (False, False)
         is_article &= not is_out and not is_hint
         if (is_out or is_hint or is_article) and tag not in BLOCK:
             flush()
         around = hint
         if is_hint:
             parents.append(hint)
+            sure.append(certain)
             hint = len(parents) - 1
         if is_out or is_hint:
             heapq.heappush(loose, (closes[tag][-1] if tag in closes else -1, len(stack)))
@@ -200,7 +238,7 @@ def page_lines(page: str) -> tuple[list[Line], list[int]]:
     if at < len(page) and not raw:
         text.append(page[at:])
     flush()
-    return lines, parents
+    return lines, parents, sure
 
 
 def spans(weights: list[int], window: int, surge: int) -> list[tuple[int, int]]:
@@ -238,7 +276,7 @@ def _kept(lines: list[Line], window: int, surge: int) -> tuple[list[Line], bool]
     """Of lines that are not left out those of the main text, and whether any of them surged.
 
     Short lines that only lines of links part from it belong to it: headings
-    right before the first run, lines between two runs, and sentences after the last.
+    right before the first run, lines between two runs, and sentences and running text after the last.
     """
     if any(x.article for x in lines):
         lines = [x for x in lines if x.article]
@@ -261,12 +299,26 @@ def _kept(lines: list[Line], window: int, surge: int) -> tuple[list[Line], bool]
             break
         keep[k] = weights[k] > 0
     for k in range(runs[-1][1], len(lines)):
-        if weights[k] and lines[k].text[-1] not in ".!?…\"”’。！？":
+        if weights[k] and lines[k].text[-1] not in ".!?…\"”’。！？" and (not lines[k].prose or _IMPRINT.search(lines[k].text)):
             break
         keep[k] = weights[k] > 0
     return [x for x, k in zip(lines, keep, strict=True) if k], True
 
 
+def _cleared(lines: list[Line], parents: list[int], sure: list[bool], surge: int) -> list[Line]:
+    """The lines without hints that are unsure where, inside an article, the element's own text is as dense as the article's: more than `surge` characters, most of them in no link."""
+    own, text = [0] * len(parents), [0] * len(parents)
+    for x in lines:
+        if x.article and x.hint and not sure[x.hint]:
+            own[x.hint] += len(x.text) - x.links
+            text[x.hint] += len(x.text)
+    clear = [0] * len(parents)  # of each element, the innermost hinted one that counts
+    for k in range(1, len(parents)):
+        dense = own[k] > surge and 3 * own[k] > 2 * text[k]
+        clear[k] = clear[parents[k]] if dense else k
+    return [x._replace(hint=clear[x.hint]) if clear[x.hint] != x.hint else x for x in lines]
+
+
 def main_text(page: str | None, window: int = 3, surge: int = 80) -> str:
     """The main text of a page: its blocks joined by line feeds, empty if there is none.
 
@@ -277,8 +329,8 @@ def main_text(page: str | None, window: int = 3, surge: int = 80) -> str:
     """
     if not page:
         return ""
-    lines, parents = page_lines(page)
-    lines = [x for x in lines if not x.out]
+    lines, parents, sure = page_lines(page)
+    lines = _cleared([x for x in lines if not x.out], parents, sure, surge)
     plain = [x for x in lines if not x.hint]
     found, surged = _kept(plain, window, surge)
     wrapped = sum(len(x.text) for x in lines if x.hint and x.article)

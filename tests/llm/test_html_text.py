@@ -72,6 +72,88 @@ def test_time_grows_with_the_page(piece):
     assert many < 0.3 or many < 24 * few  # eight times the page; a square would be 64
 
 
+P = "Four hundred characters of an article would stand here, were this not a test of it. " * 4
+P = P.strip()
+
+
+@pytest.mark.parametrize("raw", ['<script>var s="<!--";</script>', '<style>a{content:"<!--"}</style>', "<script>if (a<b && c) { d='<![CDATA[' }</script>", '<title>a <!-- b</title>', "<textarea><!-- </textarea>", "<SCRIPT>'<p>'</SCRIPT >"])
+def test_comment_marks_in_scripts_open_no_comment(raw):
+    assert main_text(f"{raw}<p>{P}</p>") == main_text(f"<article>{raw}<p>{P}</p></article>") == P
+    assert main_text(f"<p>{P}</p>{raw}<p>End.</p>") == f"{P}\nEnd."
+
+
+@pytest.mark.parametrize("mark", ['section class="social studies"', 'section id="related-work"', 'p class="privacy-law"', 'div class="search-theory"', 'section class="discussion"', 'section id="related"', 'div class="notice"'])
+def test_subjects_of_an_article_stay(mark):
+    tag = mark.split()[0]
+    page = f"{MENU}<article><p>{LONG}</p><{mark}>{P}</{tag}><p>End</p></article>"
+    assert main_text(page) == f"{LONG}\n{P}\nEnd"
+
+
+@pytest.mark.parametrize("mark", ['div class="comments"', 'section id="comment-list"', 'div class="ad-box"', 'div class="related"', 'div class="share-buttons"', 'div class="cookie-notice"', 'div class="notice"'])
+def test_what_is_around_goes_from_within_an_article(mark):
+    tag = mark.split()[0]
+    inner = '<a href="x">' + P + "</a>" if "related" in mark else "Short." if mark.endswith('"notice"') else P
+    assert main_text(f"<article><p>{LONG}</p><{mark}>{inner}</{tag}><p>End</p></article>") == f"{LONG}\nEnd"
+
+
+def test_formulas_and_last_lines_stay():
+    assert main_text(f"<article><p>{LONG}</p><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be.</p></article>") == f"{LONG}\nLet x=1 be."
+    links = '<div><a href="/a">share</a></div>' * 4
+    assert main_text(f"{MENU}<h1>T</h1><p>{LONG}</p>{links}<p>No full stop at the end</p>{MENU}<div>Imprint</div>") == f"T\n{LONG}\nNo full stop at the end"
+    assert main_text(f"<p>{LONG}</p>{links}<p>© 2020 Somebody</p>") == LONG
+
+
+def plain_article(page):
+    """The article's blocks by a parser of the standard library: elements and whole names decide, nothing is weighed."""
+    from html.parser import HTMLParser
+
+    class Plain(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.lines, self.text, self.stack = [], [], []
+
+        def flush(self):
+            line = " ".join("".join(self.text).split())
+            if line:
+                self.lines.append(line)
+            self.text = []
+
+        def handle_starttag(self, tag, attrs):
+            if tag not in ("b", "i", "a", "em"):
+                self.flush()
+            if tag not in ("br", "img"):
+                self.stack.append((tag, dict(attrs).get("class", "")))
+
+        def handle_endtag(self, tag):
+            if tag not in ("b", "i", "a", "em"):
+                self.flush()
+            while self.stack and self.stack.pop()[0] != tag:
+                pass
+
+        def handle_data(self, data):
+            tags = [t for t, _ in self.stack]
+            if "article" in tags and not {"script", "style", "form", "nav", "aside", "footer"} & set(tags) and not any(c in ("comments", "ad-box", "newsletter") for _, c in self.stack):
+                self.text.append(data)
+
+    parser = Plain()
+    parser.feed(page)
+    parser.close()
+    parser.flush()
+    return "\n".join(parser.lines)
+
+
+def test_pages_equal_a_plain_parser():
+    rng = random.Random(9)
+    words = lambda n: " ".join(rng.choice(["alpha", "b&amp;c", "<b>bold</b>", "d&#233;", "<i>it</i>alic", "日本", '<a href="/x">link</a>']) for _ in range(n))
+    around = ["<nav><ul><li><a href=/>Home</a></ul></nav>", "<aside><p>" + "side text " * 30 + "</p></aside>", '<script>var a = "<!-- </p>";</script>', "<style>p{content:'<!--'}</style>", "<!-- <article>no</article> -->", "<form><p>mail<input></p></form>"]
+    within = ["<script>x='<!--'</script>", '<div class="ad-box"><p>' + "buy this " * 20 + "</p></div>", "<!-- gone -->", "<form>q</form>", '<div class="newsletter">sign up</div>', '<div class="comments"><p>' + "first! " * 30 + "</p></div>"]
+    for _ in range(200):
+        blocks = [rng.choice([f"<p>{words(rng.randint(1, 60))}</p>", f"<h2>{words(3)}</h2>", f"<ul><li>{words(5)}</li><li>{words(9)}</li></ul>", f"<blockquote>{words(30)}<br>{words(4)}</blockquote>", rng.choice(within)]) for _ in range(rng.randint(1, 12))]
+        article = f"<article><h1>{words(4)}</h1><p>{words(60)}</p>{''.join(blocks)}</article>"
+        page = f"<html><head><title>t</title></head><body>{''.join(rng.sample(around, 3))}{article}{''.join(rng.sample(around, 2))}<footer>f</footer></body></html>"
+        assert main_text(page) == plain_article(page)
+
+
 def brute_spans(weights, window, surge):
     """Runs from the definition: surge at the first window above, back over weighty lines, dive at the first empty window."""
     total = lambda k: sum(weights[k : k + window])

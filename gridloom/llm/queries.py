@@ -56,7 +56,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @REGISTRY.query("op5_mixing", mixing.oracle())
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    return mixing.mix(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id").withColumns({"p": F.round("p", 6), "off": F.round("off", 6)})
 
 
 @REGISTRY.query(

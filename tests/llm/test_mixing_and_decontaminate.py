@@ -26,7 +26,7 @@ def test_raking_meets_given_targets(spark):
     rng = random.Random(1)
     rows = [(f"s{i % 5}", f"l{j}", f"t{k}", rng.randint(1, 5000)) for i in range(5) for j in range(3) for k in range(4)] + [("s1", "l1", "t1", 0)]
     cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")
-    held = mixing.probabilities(mixing.fitted(cells, TARGETS))
+    held = mixing.probabilities(mixing.fitted(cells, TARGETS), least=0.0)
     shares = {(r.dimension, r.value): r for r in mixing.report(held).collect()}
     total = sum(r[3] for r in rows)
     tokens = lambda d, v: sum(r[3] for r in rows if r[d] == v)
@@ -37,7 +37,7 @@ def test_raking_meets_given_targets(spark):
     for k, share in want.items():
         assert shares[k].wanted == pytest.approx(share, abs=1e-9) and shares[k].expected == pytest.approx(share, abs=2e-6)
     assert held.agg(F.max("p")).first()[0] == pytest.approx(1, abs=1e-6)  # the tightest cell keeps all
-    less = mixing.probabilities(mixing.fitted(cells, TARGETS), 0.05)
+    less = mixing.probabilities(mixing.fitted(cells, TARGETS), 0.05, least=0.0)
     assert less.agg(F.sum(F.col("p") * F.col("tokens")) / F.sum("tokens")).first()[0] == pytest.approx(0.05, abs=1e-5)
 
 
@@ -48,6 +48,47 @@ def test_targets_that_cells_cannot_meet(spark):
     assert sum(r.w for r in found) == pytest.approx(1) and all(0 <= r.w <= 1 for r in found)
 
 
+def test_a_scarce_cell_does_not_take_the_corpus_along(spark):
+    """Two words of one language that is to have an eighth: it keeps both, the rest meets its targets among itself, and the gap is told."""
+    rows = [(f"s{i % 4}", "en" if i % 3 else "fr", f"t{i // 4 % 2}", 1000 + 37 * i) for i in range(24)] + [("s0", "es", "t0", 2)]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")
+    wanted = {"source": {"s0": 0.4, "*": 0.6}, "lang": {"es": 0.12, "*": 0.88}}
+    total = sum(r[3] for r in rows)
+    tight = mixing.probabilities(mixing.fitted(cells, wanted), least=0.0)
+    assert tight.agg(F.sum(F.col("p") * F.col("tokens"))).first()[0] < 30  # as exact shares would have it
+    held = mixing.probabilities(mixing.fitted(cells, wanted), least=0.3)
+    assert held.agg(F.sum(F.col("p") * F.col("tokens"))).first()[0] == pytest.approx(0.3 * total, rel=0.15)
+    got = {(r.dimension, r.value): r for r in mixing.report(held).collect()}
+    assert held.where("lang = 'es'").first().p > 0.9 and got["lang", "es"].expected < 0.001 < got["lang", "es"].wanted
+    assert got["source", "s0"].expected == pytest.approx(0.4, abs=0.02)
+    assert held.where("p > 0").count() == held.count()
+    with pytest.raises(ValueError, match="lang 'es' would have 0.00"):
+        mixing.probabilities(mixing.fitted(cells, wanted), least=0.3, most_off=0.05)
+    assert mixing.probabilities(mixing.fitted(cells.where("lang <> 'es'"), wanted), least=0.3, most_off=1e-6).count() == cells.where("lang <> 'es'").dropDuplicates(["source", "lang", "topic"]).count()
+
+
+def test_small_probabilities_are_not_rounded_away(spark):
+    cells = spark.createDataFrame([("a", "x", "t", 3), ("b", "x", "t", 30_000_000)], "source string, lang string, topic string, tokens long")
+    found = {r.source: r.p for r in mixing.probabilities(mixing.fitted(cells, {"source": {"a": 0.5, "b": 0.5}}), least=0.0).collect()}
+    assert found == {"a": pytest.approx(1), "b": pytest.approx(1e-7)}
+
+
+def test_powers_of_present_shares(spark):
+    cells = spark.createDataFrame([("a", "x", "t", 100), ("b", "x", "t", 900), ("b", "y", "t", 8000)], "source string, lang string, topic string, tokens long")
+    got = {(r.dimension, r.value): r.wanted for r in mixing.report(mixing.probabilities(mixing.fitted(cells, {"source": 0.5, "lang": 0, "topic": 1.0}))).collect()}
+    assert got["source", "a"] == pytest.approx(10 / (10 + 8900**0.5)) and got["lang", "x"] == got["lang", "y"] == 0.5 and got["topic", "t"] == 1
+
+
+def test_no_python_on_the_way(spark):
+    """Given shares reach the plan as literals: neither plan has rows made by Python."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    for df in (mixing.mix(docs, TARGETS), mixing.sample(docs, TARGETS)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "ExistingRDD[value" not in plan
+    given = mixing.wanted(docs.select(F.col("source"), F.lit(1).alias("tokens")), "source", {"source": {"src1": 0.5, "*": 0.5}})
+    assert "ExistingRDD" not in given._jdf.queryExecution().analyzed().toString()
+
+
 def test_mix_and_sample_agree_on_odd_rows(spark):
     rows = [(i, f"word {i} " * (i % 30), "en" if i % 3 else None, f"s{i % 4}", "x") for i in range(300)] + [(None, "no id", "en", "s1", "x"), (None, None, None, None, "x"), (7, "", "en", "s1", "x"), (8, rows_text := "again and again", "en", "s1", "x"), (8, rows_text, "en", "s1", "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, p string").repartition(3)

@@ -16,6 +16,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: The name of the digest by blocks, and how many rows or digests a block has.
+TREE, FANOUT, LEVELS = "tree-sha256/v1", 1024, 4
 # Names that enter the run key, and the largest five-digit field.
 EXACT, SQL = "cycle-shuffle/v1", "cycle-sha2/v1"
 FIVE_DIGITS = 99999
@@ -80,3 +82,16 @@ def plan_digest(rows: DataFrame, inputs: Iterable[object]) -> str:
     for r in rows.orderBy("plan_index").select("id", "coordinate", "n_turns").toLocalIterator():
         total.update(canonical_json([r["id"], [list(x) for x in r["coordinate"]], r["n_turns"]]).encode())
     return total.hexdigest()
+
+
+def tree_digest(rows: DataFrame, index: str, content: Column, head: str = "") -> DataFrame:
+    """One row, n and digest over rows numbered from 0 without a gap: blocks of 1024 are hashed in their tasks, then blocks of digests, four levels in all.
+
+    It is the same for any partitioning, and no task holds more than one block; 2**40 rows fit.
+    """
+    own = rows.select(F.col(index).cast("long").alias("_i"), F.sha2(content, 256).alias("_h"), F.lit(1).cast("long").alias("_n"))
+    for _ in range(LEVELS):
+        block = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_h"))), lambda x: x["_h"]), "")
+        own = own.groupBy(F.floor(F.col("_i") / FANOUT).cast("long").alias("_b")).agg(F.sha2(block, 256).alias("_h"), F.sum("_n").alias("_n")).select(F.col("_b").alias("_i"), "_h", "_n")
+    top = own.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("n"), F.coalesce(F.max("_h"), F.lit("")).alias("_h"))
+    return top.select("n", F.sha2(F.concat(F.lit(f"{TREE}\n{head}\n"), F.col("n").cast("string"), F.lit("\n"), F.col("_h")), 256).alias("digest"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridloom.operators.ordering import running
+
 # Failure classes and, of them, those that speak of an unstable server.
 EMPTY, TIMEOUT, TRANSPORT, UNEXPECTED = "empty_content", "timeout", "transport_error", "unexpected_error"
 UNSTABLE = (TIMEOUT, TRANSPORT)
@@ -32,6 +34,15 @@ def streaks(rows: DataFrame, key: str, order: list[str], success: Column, server
     return runs.groupBy(key).agg(F.sum(F.floor(F.col("n") / threshold)).cast("long").alias("cooldowns"), F.max_by(F.col("n") % threshold, "_island").cast("long").alias("streak"))
 
 
+def endpoint_streak(rows: DataFrame, order: list[str], success: Column, server: Column, threshold: int, carried: int = 0) -> DataFrame:
+    """One row, cooldowns and streak: the same for all rows as one endpoint's, in this order and over all tasks; `carried` failures came before them."""
+    marked = rows.select(*order, F.coalesce(success, F.lit(False)).cast("long").alias("_ok"), F.coalesce(server, F.lit(False)).cast("long").alias("_bad"))
+    island = running(marked, order, "_ok").withColumn("_island", F.col("before") + F.col("_ok"))
+    runs = island.groupBy("_island").agg(F.sum("_bad").alias("n")).unionAll(rows.sparkSession.range(1).select(F.lit(0).cast("long"), F.lit(carried).cast("long")))
+    whole = runs.groupBy("_island").agg(F.sum("n").alias("n"))
+    return whole.agg(F.sum(F.floor(F.col("n") / threshold)).cast("long").alias("cooldowns"), F.max_by(F.col("n") % threshold, "_island").cast("long").alias("streak"))
+
+
 def assembled(lines: DataFrame, key: str, seq: str, line: str) -> DataFrame:
     """key, content, reasoning, finish: streamed lines put together in order, up to the end mark; other and damaged lines do not count."""
     data = lines.where(F.col(line).startswith("data:")).withColumn("_d", F.trim(F.substring(line, 6, 1 << 30)))

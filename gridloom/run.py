@@ -24,8 +24,8 @@ from gridloom.functions import hashing
 from gridloom.operators import bank, images, readout, records
 from gridloom.plans import plan as plans
 from gridloom.plans import space as spaces
-from gridloom.sources import config
-from gridloom.streaming import generate
+from gridloom.sources import config, endpoint
+from gridloom.streaming import generate, rounds
 
 MANIFEST, PROGRESS, COVERAGE, BANK = "manifest.json", "progress.json", "coverage", "bank"
 RECORD = "id string, data_source string, messages array<struct<role:string,content:string>>, anchor_meta map<string,string>"
@@ -170,16 +170,26 @@ def read_bank(spark: SparkSession, out: str) -> DataFrame:
     return bank.whole(bank.read_lines(spark, f"{out}/{BANK}", RECORD))
 
 
+def bank_contents(spark: SparkSession, out: str) -> dict:
+    """Number and digest of all lines of the run's bank, damaged ones too."""
+    store, folder = fs.FileSystem.from_uri(out)
+    there = store.get_file_info(f"{folder}/{BANK}").type != fs.FileType.NotFound
+    lines = spark.read.text(f"{out}/{BANK}") if there else spark.createDataFrame([], "value string")
+    return bank.contents(lines).first().asDict()
+
+
 def _coordinates(own: DataFrame, axes: tuple[str, ...]) -> DataFrame:
     return own.select("id", *(F.col("anchor_meta")[a].alias(a) for a in axes))
 
 
-def execute(spark: SparkSession, context: Context, out: str, client: Callable[[], generate.Client], concurrency: int = 4, overwrite: bool = False, pictures: Pictures | None = None, smoke: bool = False) -> dict:
+def execute(spark: SparkSession, context: Context, out: str, client: Callable[[], generate.Client], concurrency: int = 4, overwrite: bool = False, pictures: Pictures | None = None, smoke: bool = False, in_flight: int = 1, most_failures: int = 0, cooldown: float = 60.0, settings: Mapping | None = None) -> dict:
     """Generates what the bank in `out` lacks, appends it, and returns the manifest.
 
     A bank of another plan, and a plan whose pictures are not there, are refused
     before anything is written. A run with nothing left to do keeps a finished
-    manifest of the same plan as it is. Every generated row passes the bank's
+    manifest of the same plan and the same bank, byte for byte, as it is. Turns
+    are asked for in rounds, `in_flight` requests at a time in each of
+    `concurrency` tasks, with a pause where the server fails. Every generated row passes the bank's
     gates or is counted by the one that refuses it. Pictures of the rows that
     are appended are copied to images/<domain>.
     """
@@ -191,11 +201,15 @@ def execute(spark: SparkSession, context: Context, out: str, client: Callable[[]
     todo, had = pending.count(), before.select("id").distinct().count()
     if not todo:
         done = read_json(out, MANIFEST)
-        if done and done.get("status") == "finished" and done.get("plan") == context.identity and done.get("records") == had:
+        if done and done.get("status") == "finished" and done.get("plan") == context.identity and done.get("records") == had and done.get("bank") == bank_contents(spark, out):
             return done
+    if settings is not None:
+        write_text(out, "config.toml", config.snapshot(settings))
     write_json(out, PROGRESS, {"plan": context.identity, "pending": todo, "counters_are_live": False})
-    specs = pending.select("id", "n_turns", F.lit(None).cast("string").alias("system"), F.to_json(F.map_from_entries("coordinate")).alias("ask"))
-    made = generate.generate(specs, client, concurrency).persist()
+    specs = pending.select("id", "n_turns", F.lit(None).cast("string").alias("system"), F.to_json(F.map_from_entries("coordinate")).alias("ask"), "picture")
+    cooling = rounds.Cooling(most_failures, cooldown)
+    made = rounds.converse(specs, client, concurrency, in_flight, cooling)
+    gated = None
     try:
         rows = made.where("reason IS NULL").join(pending.select("id", "coordinate", "picture", F.col(context.space.gated).alias("domain")), "id")
         files = rows.where("picture IS NOT NULL").select("domain", F.col("picture").alias("path")).distinct()
@@ -215,11 +229,11 @@ def execute(spark: SparkSession, context: Context, out: str, client: Callable[[]
         copy_placed(spark, gated.where((F.col("outcome") == records.APPENDED) & F.col("placed").isNotNull()).select("picture", "placed").distinct(), out)
         tally = lambda df, c: {r[c]: r["n"] for r in df.groupBy(c).agg(F.count(F.lit(1)).alias("n")).collect()}  # noqa: E731  a row for each class
         reasons, outcomes = tally(made.where("reason IS NOT NULL"), "reason"), tally(gated, "outcome")
-        gated.unpersist()
     finally:
-        made.unpersist()
+        if gated is not None:
+            gated.unpersist()
     after = read_bank(spark, out)
-    document = manifest(context, after, reasons) | {"outcomes": dict(sorted(outcomes.items()))} | ({"smoke": True} if smoke else {})
+    document = manifest(context, after, reasons) | {"outcomes": dict(sorted(outcomes.items())), "bank": bank_contents(spark, out)} | ({"cooldowns": cooling.cooldowns} if most_failures else {}) | ({"smoke": True} if smoke else {})
     if pictures is not None:
         document["pictures"] = picture_readout(context, after, pictures, skipped)
     pending.unpersist()
@@ -235,10 +249,10 @@ def execute(spark: SparkSession, context: Context, out: str, client: Callable[[]
 
 def manifest(context: Context, own: DataFrame, reasons: Mapping[str, int]) -> dict:
     """Tallies of the bank, the plan's identity, coverage and what was abandoned."""
-    flat = own.select("id", "data_source", *(F.col("anchor_meta")[a].alias(a) for a in context.axes)).cache()
-    dimensions = ["data_source", context.space.capability, "language" if "language" in context.axes else context.axes[0]]
+    parts = bank.breakdown(F.col("anchor_meta"), F.col("data_source"))
+    flat = own.select("id", *(c.alias(name) for name, c in parts.items())).cache()
     tallies: dict[str, dict[str, int]] = {}
-    for r in bank.tallies(flat, dimensions).orderBy("dimension", "value").collect():  # a row for each value of small axes
+    for r in bank.tallies(flat, list(parts)).orderBy("dimension", "value").collect():  # a row for each value of small axes
         tallies.setdefault(r["dimension"], {})[r["value"]] = r["n"]
     n = flat.select("id").distinct().count()
     flat.unpersist()
@@ -327,7 +341,10 @@ def copy_pictures(files: DataFrame, out: str) -> DataFrame:
     return same.select("path", "content", target.alias("placed")).mapInPandas(place, "path string, placed string")
 
 
-SETTINGS = {"plan": {"space": str, "count": int, "seed": int, "leaf": str}, "output": {"directory": str}, "images": {"directory": str, "skip_missing": bool}}
+SETTINGS = {"plan": {"space": str, "count": int, "seed": int, "leaf": str}, "output": {"directory": str}, "images": {"directory": str, "skip_missing": bool}, "run": {"concurrency": int, "in_flight": int, "most_failures": int, "cooldown_seconds": float, "overwrite": bool}}
+SETTINGS["endpoint"] = {"base": str, "model": str, "api_key": str, "temperature": float, "thinking": bool, "most_tokens": int, "connect_timeout": float, "first_token_timeout": float, "token_timeout": float, "retries": int, "retry_on_timeout": bool}
+#: Fields of an endpoint that go by another name in the configuration.
+NAMES = {"api_key": "key", "connect_timeout": "connect", "first_token_timeout": "first_token", "token_timeout": "token"}
 
 
 def override_of(base: Path, explicit: str | None) -> Path | None:
@@ -344,30 +361,38 @@ def override_of(base: Path, explicit: str | None) -> Path | None:
 
 
 def main(argv: list[str] | None = None) -> None:
-    """Prints the readout of a plan: python -m gridloom.run --config FILE [--override FILE] [--image-dir FOLDER] [--smoke]."""
-    parser = argparse.ArgumentParser(description="Plan a coordinate space and read it out.")
+    """Prints the readout of a plan, and makes its rows if that is wanted: python -m gridloom.run --config FILE [--override FILE] [--image-dir FOLDER] [--smoke] [--generate]."""
+    parser = argparse.ArgumentParser(description="Plan a coordinate space, read it out, and generate its rows.")
     parser.add_argument("--config", type=Path, required=True)
     parser.add_argument("--override")
     parser.add_argument("--image-dir")
     parser.add_argument("--smoke", action="store_true")
+    parser.add_argument("--generate", action="store_true")
     args = parser.parse_args(argv)
     over = override_of(args.config, args.override)
     settings = config.load(str(args.config), SETTINGS, str(over) if over else None)
-    own = settings["plan"]
+    own, asked = settings["plan"], settings["endpoint"]
+    where = endpoint.from_config({NAMES.get(k, k): v for k, v in asked.items()}, "endpoint") if args.generate else None  # refused before anything is planned
     spaces.load(own["space"])
     with open(own["space"], encoding="utf-8") as f:
         document = json.load(f)
     spark = SparkSession.builder.getOrCreate()
     context = build(spark, document, min(own["count"], 8) if args.smoke else own["count"], config.seed_of(own["seed"]), own["leaf"] or "knowledge")
     folder = args.image_dir or settings["images"]["directory"]
-    plan, _ = with_pictures(context, context.plan, Pictures.read(spark, folder, bool(settings["images"]["skip_missing"])) if folder else None)
+    pictures = Pictures.read(spark, folder, bool(settings["images"]["skip_missing"])) if folder else None
+    plan, _ = with_pictures(context, context.plan, pictures)
     row, rules = coverage(context, plan)
     print(readout.markdown(row, rules))
-    if settings["output"]["directory"]:
+    if settings["output"]["directory"] or args.generate:
         stamp = F.date_format(F.current_timestamp(), "yyyyMMdd_HHmmss")
-        out = spark.range(1).select(run_folder(F.lit(settings["output"]["directory"]), stamp, args.smoke).alias("f")).first()["f"]
-        write_text(out, "config.toml", config.snapshot(settings))
-        write_json(out, f"{COVERAGE}.json", {"readout": row, "rules": rules})
+        out = spark.range(1).select(run_folder(F.lit(settings["output"]["directory"] or ""), stamp, args.smoke).alias("f")).first()["f"]
+        out = out if "://" in out else Path(out).resolve().as_uri()
+        if where is None:
+            write_text(out, "config.toml", config.snapshot(settings))
+            write_json(out, f"{COVERAGE}.json", {"readout": row, "rules": rules})
+            return
+        how = {name: v for name, v in (("concurrency", settings["run"]["concurrency"]), ("in_flight", settings["run"]["in_flight"]), ("most_failures", settings["run"]["most_failures"]), ("cooldown", settings["run"]["cooldown_seconds"]), ("overwrite", settings["run"]["overwrite"])) if v is not None}
+        print(json.dumps(execute(spark, context, out, lambda: endpoint.Chat(where), pictures=pictures, smoke=args.smoke, settings=settings, **how), indent=2))
 
 
 if __name__ == "__main__":

@@ -7,6 +7,7 @@ closing the connection.
 
 from __future__ import annotations
 
+import base64
 import http.client
 import json
 import time
@@ -15,9 +16,11 @@ from dataclasses import dataclass
 from urllib.parse import urlsplit
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame
 
 from gridloom.operators.attempts import DONE
+from gridloom.operators.images import MEDIA
 from gridloom.sources.config import ConfigError
 from gridloom.streaming.generate import EmptyAnswer
 
@@ -113,14 +116,27 @@ def assembled(stream: Iterable[str]) -> tuple[str, str | None, str | None]:
     return "".join(content), "".join(thought).strip() or None, finish
 
 
+def picture_address(picture: str) -> str:
+    """What a request names a picture by: an address as it is, a file (path or URI, any file system) with its bytes inline."""
+    if picture.startswith(("data:", "http://", "https://")):
+        return picture
+    kind = MEDIA.get(picture.rpartition(".")[2].lower())
+    if kind is None:
+        raise ValueError(f"no media type for {picture}")
+    store, path = fs.FileSystem.from_uri(picture if "://" in picture or picture.startswith("/") else picture.replace(":/", ":///", 1))
+    with store.open_input_stream(path, compression=None) as f:
+        return f"data:{kind};base64,{base64.b64encode(f.read()).decode()}"
+
+
 class Chat:
     """A client for generation: `chat` gives the answer's text, `ask` its reasoning too."""
 
     def __init__(self, endpoint: Endpoint, send: Callable[[Endpoint, Mapping], Iterable[str]] = lines, sleep: Callable[[float], None] = time.sleep) -> None:
         self.endpoint, self.send, self.sleep = endpoint, send, sleep
 
-    def chat(self, system: str, user: str) -> str:
-        return self.ask(([{"role": "system", "content": system}] if system else []) + [{"role": "user", "content": user}])[0]
+    def chat(self, system: str, user: str, picture: str | None = None) -> str:
+        said = user if picture is None else [{"type": "image_url", "image_url": {"url": picture_address(picture)}}, {"type": "text", "text": user}]
+        return self.ask(([{"role": "system", "content": system}] if system else []) + [{"role": "user", "content": said}])[0]
 
     def ask(self, messages: list[dict], temperature: float | None = None) -> tuple[str, str | None]:
         """Content and reasoning. An empty answer is not asked for again, as the same request would end alike; neither is one after a stall, unless that is wanted."""

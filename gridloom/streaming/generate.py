@@ -26,7 +26,7 @@ class ShortAnswer(Exception):
 class Client(Protocol):
     """What generation needs of an endpoint: text for a prompt."""
 
-    def chat(self, system: str, user: str) -> str: ...
+    def chat(self, system: str, user: str, picture: str | None = None) -> str: ...
 
 
 def reason_of(error: Exception) -> str:

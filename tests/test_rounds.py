@@ -22,7 +22,7 @@ class Plain:
             raise ConnectionError
         if "brief" in user and system == "answer":
             return "no"
-        return f"{system} {len(user)} {picture}"
+        return f"{system} {len(user)} {picture}" + (" brief" if "brief" in user else "")
 
 
 def alone(client, n_turns, system, ask, picture):

@@ -36,19 +36,24 @@ def whole(bank: DataFrame) -> DataFrame:
     return bank.where(F.col(DAMAGED).isNull()).drop(DAMAGED)
 
 
+def _spread(key: str, arrival: Sequence[str]) -> Column:
+    """Deals rows with a null key out over tasks, as they don't meet anyway."""
+    return F.when(F.col(key).isNull(), F.xxhash64(*arrival))
+
+
 def first_wins(rows: DataFrame, key: str, arrival: Sequence[str]) -> DataFrame:
     """The first row of each key in order of arrival. Rows with a null key are each their own."""
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(*arrival))
+    rank = F.row_number().over(Window.partitionBy(key, _spread(key, arrival)).orderBy(*arrival))
     return rows.withColumn("_rank", F.when(F.col(key).isNull(), 1).otherwise(rank)).where("_rank = 1").drop("_rank")
 
 
 def append_outcomes(candidates: DataFrame, bank_ids: DataFrame, arrival: Sequence[str]) -> DataFrame:
     """candidates (id, shape_ok, source_ok, images_ok) with `outcome`; the first failing gate counts.
 
-    An id is a duplicate if the bank has it or an earlier candidate that passed every gate.
+    An id is a duplicate if the bank has it or an earlier candidate that passed every gate. Rows with a null id are each their own.
     """
     clean = F.col("shape_ok") & F.col("source_ok") & F.col("images_ok")
-    earlier = F.sum(clean.cast("int")).over(Window.partitionBy("id").orderBy(*arrival).rowsBetween(Window.unboundedPreceding, -1))
+    earlier = F.sum(F.when(F.col("id").isNotNull(), clean.cast("int"))).over(Window.partitionBy("id", _spread("id", arrival)).orderBy(*arrival).rowsBetween(Window.unboundedPreceding, -1))
     known = candidates.withColumn("_before", F.coalesce(earlier, F.lit(0))).join(bank_ids.select("id").distinct().withColumn("_in", F.lit(True)), "id", "left")
     outcome = records.append_outcome(F.col("shape_ok"), F.col("source_ok"), F.col("images_ok"), F.col("_in").isNotNull() | (F.col("_before") > 0))
     return known.withColumn("outcome", outcome).drop("_before", "_in")

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from gridloom import run as runs
 from gridloom.functions import hashing
-from gridloom.operators import bank, images, messages, records
+from gridloom.operators import attempts, bank, images, messages, records
+from gridloom.operators.ordering import running
 from gridloom.plans import space as spaces
 from gridloom.registry import Registry
 from gridloom.session import table
+from gridloom.streaming import rounds
 
 #: Pages as files: the host is the domain, pages whose address holds a digit 7 lie one folder deeper.
 _FILES = "WITH f AS (SELECT page_id, regexp_extract(url, '^https?://([^/]+)', 1) AS domain, regexp_extract(url, '^https?://([^/]+)', 1) || CASE WHEN contains(url, '7') THEN '/deep/' ELSE '/' END || regexp_replace(url, '^.*/', '') || '_' || page_id || '.jpg' AS path FROM pages)"
@@ -41,9 +43,43 @@ def plan(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return own, own.where(F.col("visual_domain").startswith("src1")).select("visual_domain").distinct()
 
 
+class Counting:
+    """A client that says how long its request was."""
+
+    def chat(self, system, user, picture=None):
+        return f"{system} of {len(user)} characters"
+
+
 def register(reg: Registry) -> None:
     q = reg.query
 
+    @q("turn_rounds", """WITH RECURSIVE c AS (SELECT conv_id, count(*) AS k, coalesce(min({'t': turn, 'x': coalesce(text, '')}) FILTER (role = 'user').x, '') AS ask, min({'t': turn, 'x': coalesce(text, '')}) FILTER (role = 'system').x AS system FROM conversations GROUP BY conv_id),
+      r AS (SELECT conv_id, 2 * (k % 3) + 1 AS n, 0 AS t, ask, system AS said FROM c UNION ALL SELECT conv_id, n, t + 1, ask, concat_ws(chr(10), said, CASE WHEN t % 2 = 0 THEN 'user' ELSE 'assistant' END || ' turn of ' || length(concat_ws(chr(10), ask, said)) || ' characters') FROM r WHERE t < n)
+      SELECT conv_id::VARCHAR AS id, said, 'answer of ' || length(said) || ' characters' AS answer FROM r WHERE t = n""")
+    def turn_rounds(spark, d):
+        """Conversations that open like those of the table, made in rounds of turns."""
+        first = lambda role: F.min(F.when(F.col("role") == role, F.struct("turn", F.coalesce("text", F.lit("")).alias("x"))))["x"]
+        specs = table(spark, d, "conversations").groupBy(F.col("conv_id").alias("id")).agg((2 * (F.count(F.lit(1)) % 3) + 1).alias("n_turns"), first("system").alias("system"), F.coalesce(first("user"), F.lit("")).alias("ask"))
+        made = rounds.converse(specs, Counting, spark.sparkContext.defaultParallelism, 2)
+        return made.select("id", F.array_join("contents", "\n").alias("said"), "answer")
+
+    @q("shared_backpressure", """WITH e AS (SELECT *, sum((event_type = 'purchase')::INT) OVER (ORDER BY ts, event_id) AS island FROM events), r AS (SELECT island, count(*) FILTER (event_type = 'error') AS n FROM e GROUP BY ALL)
+      SELECT sum(n // 3)::BIGINT AS cooldowns, arg_max(n % 3, island) AS streak FROM r""")
+    def shared(spark, d):
+        """One endpoint's streak over the outcomes of all its users."""
+        return attempts.endpoint_streak(table(spark, d, "events"), ["ts", "event_id"], F.col("event_type") == "purchase", F.col("event_type") == "error", 3)
+
+    @q("tree_digest", """WITH l0 AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS i, sha256(o_orderkey || '|' || o_custkey || '|' || o_orderstatus) AS h FROM orders),
+      """ + ", ".join(f"l{k} AS (SELECT i // 1024 AS i, sha256(string_agg(h, '' ORDER BY l{k - 1}.i)) AS h FROM l{k - 1} GROUP BY l{k - 1}.i // 1024)" for k in range(1, 5)) + """
+      SELECT (SELECT count(*) FROM orders) AS n, sha256('tree-sha256/v1' || chr(10) || 'orders' || chr(10) || (SELECT count(*) FROM orders) || chr(10) || (SELECT h FROM l4)) AS digest""")
+    def tree(spark, d):
+        rows = running(table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), ["o_orderkey"])
+        return hashing.tree_digest(rows, "before", F.concat_ws("|", "o_orderkey", "o_custkey", "o_orderstatus"), "orders")
+
+    @q("bank_contents", "SELECT count(*) AS records, concat_ws(':', 'sum-sha256/v1', " + ", ".join(f"coalesce(sum(('0x' || substr(sha256(text), {15 * i + 1}, 15))::BIGINT), 0)::VARCHAR" for i in range(4)) + ") AS digest FROM documents")
+    def contents(spark, d):
+        return bank.contents(table(spark, d, "documents"), "text")
+
     @q("multimodal_messages", _SAID + f" SELECT conv_id, turn, {_JSON} AS message FROM m WHERE role = 'user'")
     def multimodal(spark, d):
         return said(spark, d).where("role = 'user'").select("conv_id", "turn", messages.user_message(F.col("text"), F.col("picture")).alias("message"))

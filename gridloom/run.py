@@ -157,8 +157,8 @@ def build(spark: SparkSession, document: Mapping, count: int, seed: int, leaf: s
     key = F.lit(hashing.run_key(fp, seed, hashing.EXACT))
     rows = rows.withColumn("n_turns", turns).withColumn("id", hashing.row_id(key, F.col("cycle"), F.col("position"))).withColumn("coordinate", plans.coordinate(axes))
     rows = rows.cache()
-    digest = hashing.plan_digest(rows, [fp, seed, count, hashing.EXACT])
-    identity = {"space_sha256": fp, "seed": seed, "count": count, "algorithm": hashing.EXACT, "run_key": hashing.run_key(fp, seed), "plan_sha256": digest}
+    digest = hashing.tree_digest(rows, "plan_index", F.to_json(F.struct("id", "coordinate", "n_turns")), hashing.canonical_json([fp, seed, count, hashing.EXACT])).first()["digest"]
+    identity = {"space_sha256": fp, "seed": seed, "count": count, "algorithm": hashing.EXACT, "run_key": hashing.run_key(fp, seed), "plan_digest": f"{hashing.TREE}:{digest}"}
     return Context(rows, space, axes, size, count, identity)
 
 

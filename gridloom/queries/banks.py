@@ -78,15 +78,9 @@ def register(reg: Registry) -> None:
         return chats(spark, d).select("conv_id", code.alias("code"), records.shape_ok(code).alias("ok"))
 
     @q("shape_reasons", _CHATS + """
-      , r AS (SELECT *, length(code) - length(body) AS lead, CASE WHEN regexp_matches(body, 'uu|aa') THEN length(regexp_extract(body, '^(.*?)(?:uu|aa)', 1)) END AS spot FROM b)
-      SELECT conv_id, CASE WHEN code = '' THEN 'no messages'
-        WHEN contains(code, 'x') THEN 'message ' || (instr(code, 'x') - 1) || ' has unknown role ''' || roles[instr(code, 'x')] || ''''
-        WHEN length(code) - length(replace(code, 's', '')) > 1 THEN 'at most one ''system'' message is allowed'
-        WHEN contains(code, 's') AND NOT starts_with(code, 's') THEN 'a ''system'' message must be the first message'
-        WHEN body = '' THEN 'a ''system'' message must be followed by conversation messages'
-        WHEN NOT starts_with(body, 'u') THEN 'first message role must be ''user'', got ''' || roles[lead + 1] || ''''
-        WHEN NOT ends_with(body, 'u') THEN 'last message role must be ''user'', got ''' || roles[-1] || ''''
-        WHEN spot IS NOT NULL THEN 'messages ' || (lead + spot) || ' and ' || (lead + spot + 1) || ' share role ''' || roles[lead + spot + 1] || ''' (roles must alternate)' END AS reason FROM r""")
+      , r AS (SELECT conv_id, code, roles, length(regexp_extract(code, '^s?(ua)*u?', 0)) AS fits FROM c)
+      SELECT conv_id, CASE WHEN fits < length(code) THEN roles[fits + 1] || ' at ' || fits || ' in place of ' || CASE WHEN fits = 0 THEN 'system or user' WHEN substr(code, fits, 1) = 'u' THEN 'assistant' ELSE 'user' END
+        WHEN code = '' THEN 'empty' WHEN NOT ends_with(code, 'u') THEN 'ends on ' || roles[-1] END AS reason FROM r""")
     def shape_reasons(spark, d):
         return chats(spark, d).select("conv_id", records.shape_reason(F.col("roles")).alias("reason"))
 

@@ -13,14 +13,14 @@ from gridloom.streaming import generate
 
 NAMES = {"u": "user", "a": "assistant", "s": "system", "x": "robot"}
 GOOD = ("u", "uau", "uauau", "su", "suau", "suauau")
-BAD = {"uaua": "last message", "uauu": "messages 2 and 3", "": "no messages", "a": "first message", "us": "must be the first", "uasu": "must be the first", "ssu": "at most one", "s": "followed by", "suu": "messages 1 and 2", "ux": "message 1 has unknown role 'robot'"}
+BAD = {"uaua": "ends on assistant", "uauu": "user at 3 in place of assistant", "": "empty", "a": "assistant at 0 in place of system or user", "us": "system at 1 in place of assistant", "uasu": "system at 2 in place of user", "ssu": "system at 1 in place of user", "s": "ends on system", "sa": "assistant at 1 in place of user", "suu": "user at 2 in place of assistant", "ux": "robot at 1 in place of assistant", "x": "robot at 0 in place of system or user"}
 
 
 def test_shapes(spark):
     df = spark.createDataFrame([(c, [NAMES[x] for x in c]) for c in (*GOOD, *BAD)], "c string, roles array<string>")
     for r in df.select("c", records.shape_ok(records.shape_code(F.col("roles"))).alias("ok"), records.shape_reason(F.col("roles")).alias("why")).collect():
         assert r.ok == (r.c in GOOD) == (r.why is None)
-        assert r.c in GOOD or BAD[r.c] in r.why
+        assert r.c in GOOD or BAD[r.c] == r.why
 
 
 def test_append_order_and_rewrite(spark, tmp_path):

@@ -23,12 +23,25 @@ def read_lines(spark: SparkSession, path: str, schema: str | T.StructType) -> Da
     return parse_lines(spark.read.text(path), schema)
 
 
+def one_object(line: Column) -> Column:
+    """Whether a line is one JSON object with nothing behind it; never null.
+
+    Spark's JSON functions stop behind the first value, so two records that a
+    crash has put on one line would pass for the first. In an array such a line
+    is no single element, in an object no single member. NaN is no JSON.
+    """
+    within = lambda a, b: F.concat(F.lit(a), line, F.lit(b))
+    single = (F.json_array_length(within("[", "]")) == 1) & F.try_parse_json(within('{"v":', "}")).isNotNull()
+    return F.coalesce(F.ltrim(line).startswith("{") & single, F.lit(False))
+
+
 def parse_lines(lines: DataFrame, schema: str | T.StructType, column: str = "value") -> DataFrame:
+    """Records of a column of JSON lines, whatever is no single object in _damaged."""
     kind = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     wide = T.StructType([*kind.fields, T.StructField(DAMAGED, T.StringType())])
     parsed = F.from_json(column, wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": DAMAGED})
     rest = [c for c in lines.columns if c != column]
-    odd = ~F.ltrim(column).startswith("{")  # another JSON value than an object is damage too
+    odd = ~one_object(F.col(column))  # another JSON value than an object is damage too
     return lines.where(F.trim(column) != "").select(*rest, F.when(odd, F.lit(None)).otherwise(parsed).alias("r"), F.when(odd, F.col(column)).alias("odd")).select(*rest, *(F.col(f"r.{f.name}") for f in kind.fields), F.coalesce("odd", f"r.{DAMAGED}").alias(DAMAGED))
 
 
@@ -145,10 +158,15 @@ def breakdown(meta: Column, source: Column, unknown: str = "unknown") -> dict[st
     return {"domain": first("knowledge_domain", "visual_domain"), "language": first("language"), "capability": first("capability", "question_type"), "system_prompt_mode": first("system_prompt_mode"), "data_source": F.coalesce(source, F.lit(unknown))}
 
 
+def string_id(line: Column) -> Column:
+    """The id of a JSON line that is an object, null where it is no string."""
+    value = F.try_parse_json(line)
+    return F.when(one_object(line) & (F.schema_of_variant(F.try_variant_get(value, "$.id", "variant")) == "STRING"), F.try_variant_get(value, "$.id", "string"))
+
+
 def unique_ids(lines: DataFrame, column: str = "value") -> DataFrame:
     """records, unique_ids: objects among JSON lines, and distinct ids among them that are strings."""
-    value = F.try_parse_json(column)
-    own = lines.where(F.ltrim(column).startswith("{") & value.isNotNull()).select(F.when(F.schema_of_variant(F.try_variant_get(value, "$.id", "variant")) == "STRING", F.try_variant_get(value, "$.id", "string")).alias("id"))
+    own = lines.where(one_object(F.col(column))).select(string_id(F.col(column)).alias("id"))
     return own.agg(F.count(F.lit(1)).alias("records"), F.count_distinct("id").alias("unique_ids"))
 
 

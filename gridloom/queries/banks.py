@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -9,8 +11,9 @@ from gridloom.functions import wording
 from gridloom.operators import attempts, bank, images, records
 from gridloom.plans import plan as plans
 from gridloom.registry import Registry
-from gridloom.session import table
+from gridloom.session import shared_folder, table
 from gridloom.sources import config
+from gridloom.sources import lines as sources
 from gridloom.streaming import generate
 
 #: Wording of our own for two axes.
@@ -134,6 +137,29 @@ def register(reg: Registry) -> None:
     def line_count(spark, d):
         return bank.whole(bank.parse_lines(lines(spark, d), "x string")).agg(F.count(F.lit(1)).alias("whole"))
 
+    @q("bank_line_numbers", lines_sql + """, n AS (SELECT row_number() OVER (ORDER BY event_id) - 1 AS number, CASE WHEN event_id % 37 = 0 THEN props || props ELSE line END AS line FROM l JOIN events USING (event_id))
+      SELECT number, length(line) AS length, line FROM n WHERE trim(line) != '' AND (NOT json_valid(line) OR NOT starts_with(line, '{'))""")
+    def line_numbers(spark, d):
+        """Damage in files written by the query, each line's number being its place over all files."""
+        folder = f"{shared_folder(spark)}/bank-{uuid.uuid4().hex}"
+        e = table(spark, d, "events").select("event_id", F.concat("props", "props").alias("glued"))
+        own = lines(spark, d).join(e, "event_id").select("event_id", F.when(F.col("event_id") % 37 == 0, F.col("glued")).otherwise(F.col("value")).alias("value"))
+        own.repartitionByRange("event_id").sortWithinPartitions("event_id").select("value").write.text(folder)
+        found = sources.numbered(spark, folder).select("path", F.col("line").alias("number"), "value")
+        return bank.numbered_damage(found).select("number", F.col("length").cast("long").alias("length"), "line")
+
+    @q("bank_ids_read_on", "SELECT 'e' || event_id AS id FROM events WHERE event_id % 17 != 0")
+    def ids_read_on(spark, d):
+        """Ids of a bank that grows between two scans, lines cut short among them; the second reads new files only."""
+        folder = f"{shared_folder(spark)}/bank-{uuid.uuid4().hex}"
+        line = F.to_json(F.struct(F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("id"), "event_type"))
+        e = table(spark, d, "events").withColumn("value", F.when(F.col("event_id") % 17 == 0, F.expr("substr(props, 1, length(props) - 1)")).otherwise(line))
+        first = F.col("event_type").eqNullSafe("purchase")
+        for part in (first, ~first):
+            e.where(part).select("value").write.mode("append").text(f"{folder}/lines")
+            known = sources.known_ids(spark, f"{folder}/lines", f"{folder}/state")
+        return known
+
     @q("bank_count_vs_unique", "SELECT count(*) AS records, count(DISTINCT l_orderkey) AS unique_ids FROM lineitem")
     def count_unique(spark, d):
         return table(spark, d, "lineitem").agg(F.count(F.lit(1)).alias("records"), F.count_distinct("l_orderkey").alias("unique_ids"))

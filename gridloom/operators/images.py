@@ -52,6 +52,20 @@ def picks(domains: DataFrame, own: DataFrame, pool: DataFrame, cycles: int, offs
     return both.select("domain", "cycle", F.when(F.col("own_n").isNotNull(), F.col("own_picture")).otherwise(F.col("pool_picture")).alias("picture"), back.alias("fallback"))
 
 
+def round_readout(picked: DataFrame, used: DataFrame, own: DataFrame, pool: DataFrame) -> DataFrame:
+    """cycle, domain, records, candidates, fallback, served of each round and domain of `picks`.
+
+    used: cycle, domain of each record with a picture. own: domain of each file
+    that a domain has. candidates are the files to pick from: a domain's own, or
+    all of the pool where it falls back. A round and domain outside the picks is left out.
+    """
+    at = used.groupBy("cycle", "domain").agg(F.count(F.lit(1)).alias("records"))
+    mine = own.groupBy("domain").agg(F.count(F.lit(1)).alias("own"))
+    everything = pool.agg(F.count(F.lit(1)).alias("all"))
+    both = picked.join(at, ["cycle", "domain"], "left").join(mine, "domain", "left").crossJoin(everything)  # one row
+    return both.select("cycle", "domain", F.coalesce("records", F.lit(0)).alias("records"), F.when(F.col("fallback"), F.col("all")).otherwise(F.coalesce("own", F.lit(0))).alias("candidates"), "fallback", F.col("picture").isNotNull().alias("served"))
+
+
 def allocate(turns: DataFrame, pool: DataFrame, most: int) -> DataFrame:
     """spec, turn, picture: earliest user turns get pictures, single-turn specs first, the pool over and over, `most` for a spec.
 

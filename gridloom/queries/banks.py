@@ -261,6 +261,14 @@ def register(reg: Registry) -> None:
     def image_readout(spark, d):
         return picked(spark, d).groupBy("cycle").agg(F.count(F.lit(1)).alias("domains"), F.count("picture").alias("served"), F.sum(F.col("fallback").cast("long")).alias("fallbacks"))
 
+    @q("image_rounds", picks_sql + """, r AS (SELECT page_id % 4 AS cycle, domain, count(*) AS records FROM p GROUP BY ALL), f AS (SELECT domain, count(*) AS n FROM own GROUP BY ALL)
+      SELECT cycle, domain, coalesce(records, 0) AS records, CASE WHEN fallback THEN (SELECT count(*) FROM pool) ELSE coalesce(n, 0) END AS candidates, fallback, picture IS NOT NULL AS served
+      FROM picks LEFT JOIN r USING (cycle, domain) LEFT JOIN f USING (domain)""")
+    def image_rounds(spark, d):
+        """Every page is a record of the round that its id says."""
+        rows = pictures(spark, d)
+        return images.round_readout(picked(spark, d), rows.select((F.col("page_id") % 4).alias("cycle"), "domain"), rows.where("own"), rows)
+
     @q("prune_candidates", picks_sql + " SELECT url AS path FROM p WHERE url NOT IN (SELECT picture FROM picks WHERE picture IS NOT NULL)")
     def prune(spark, d):
         return images.prunable(pictures(spark, d).select(F.col("picture").alias("path")), picked(spark, d).where("picture IS NOT NULL").select(F.col("picture").alias("path")))

@@ -27,7 +27,7 @@ from gridloom.plans import space as spaces
 from gridloom.sources import config, endpoint
 from gridloom.streaming import generate, rounds
 
-MANIFEST, PROGRESS, COVERAGE, BANK = "manifest.json", "progress.json", "coverage", "bank"
+MANIFEST, PROGRESS, COVERAGE, BANK, ROUNDS = "manifest.json", "progress.json", "coverage", "bank", "picture_rounds"
 RECORD = "id string, data_source string, messages array<struct<role:string,content:string>>, anchor_meta map<string,string>"
 
 
@@ -236,6 +236,7 @@ def execute(spark: SparkSession, context: Context, out: str, client: Callable[[]
     document = manifest(context, after, reasons) | {"outcomes": dict(sorted(outcomes.items())), "bank": bank_contents(spark, out)} | ({"cooldowns": cooling.cooldowns} if most_failures else {}) | ({"smoke": True} if smoke else {})
     if pictures is not None:
         document["pictures"] = picture_readout(context, after, pictures, skipped)
+        picture_rounds(context, after, pictures).write.mode("overwrite").json(f"{out}/{ROUNDS}")  # a row for each round and domain
     pending.unpersist()
     if document["missing"]:
         warnings.warn(f"{document['missing']} of {context.count} planned rows are not in the bank: {reasons or 'nothing was abandoned'}", stacklevel=2)
@@ -281,6 +282,12 @@ def picture_readout(context: Context, own: DataFrame, pictures: Pictures, skippe
     return out
 
 
+def picture_rounds(context: Context, own: DataFrame, pictures: Pictures) -> DataFrame:
+    """What each round and domain of the plan had to pick from, and how many records of the bank it gave a picture."""
+    used = own.where(F.col("anchor_meta")["has_image"] == "true").select("id").join(context.plan.select("id", "cycle", F.col(context.space.gated).alias("domain")), "id")
+    return images.round_readout(resolved(context, pictures), used.select("cycle", "domain"), pictures.files, pictures.files)
+
+
 def referenced(own: DataFrame) -> DataFrame:
     """path of every picture that the bank's messages name, from images/ on."""
     named = F.flatten(F.transform("messages", lambda m: F.regexp_extract_all(m["content"], F.lit(r'"image":"([^"]*)"'), F.lit(1))))

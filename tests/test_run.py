@@ -76,6 +76,9 @@ def test_rows_with_pictures(spark, tmp_path):
     images = context.plan.where("modality = 'image'").count()
     assert made["outcomes"] == {"appended": 20} and made["pictures"]["rows"] == images > 0 and made["pictures"]["candidates"] == 2
     assert made["pictures"]["fallback_domains"] == sorted(domains[1:]) and made["tallies"]["data_source"] == {"multi": images, "text": 20 - images}
+    by_round = spark.read.json(f"{out}/{run.ROUNDS}").collect()
+    assert {(r.cycle, r.domain) for r in by_round} == {(c, d) for c in range(-(-20 // context.size)) for d in {x[0] for x in context.plan.where("modality = 'image'").select(context.space.gated).collect()}}
+    assert sum(r.records for r in by_round) == images and all(r.candidates == 2 and r.served and r.fallback == (r.domain != domains[0]) for r in by_round)
     seen = set()
     for r in run.read_bank(spark, out).collect():
         meta = r.anchor_meta

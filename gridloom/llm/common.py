@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import ctypes
+import functools
+import inspect
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -68,6 +70,31 @@ def release() -> None:
         trim(0)
 
 
+def tidy(run: Callable) -> Callable:
+    """run, over batches or a group, with release() before and after it: an idle worker holds nothing while others of its executor work."""
+    if inspect.isgeneratorfunction(run):
+
+        def own(*args):
+            release()
+            try:
+                yield from run(*args)
+            finally:
+                release()
+
+    else:
+
+        def own(*args):
+            release()
+            try:
+                return run(*args)
+            finally:
+                release()
+
+    own = functools.wraps(run)(own)
+    own.__signature__ = inspect.signature(run)  # Spark tells by it whether to give the key
+    return own
+
+
 def text_bytes(df: DataFrame, column: str = "text") -> int:
     """Bytes of text in all rows: sizes groups so that each fits a task."""
     return df.agg(F.coalesce(F.sum(F.octet_length(column)), F.lit(0)).alias("n")).first()["n"]
@@ -105,8 +132,8 @@ def batches_of(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         i = j
 
 
-#: Bytes of a table that is sent to all executors.
-SMALL_BYTES = 64 << 20
+#: Bytes of a table that is sent to all executors, where it takes several times as many of the heap.
+SMALL_BYTES = 16 << 20
 
 
 def table_bytes(df: DataFrame) -> int:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.llm import blobs, hashing
-from gridloom.llm.common import bounded_batches, buffers, checkpointed, release, small, text_bytes
+from gridloom.llm.common import batches_of, bounded_batches, buffers, checkpointed, small, text_bytes, tidy
 
 ORDER = 5
 #: Stands before each document, so that its first letters have contexts.
@@ -36,7 +36,9 @@ START = 2
 #: Code points that are numbered at once; text bytes of a group.
 WINDOW, GROUP_BYTES = 1 << 19, 8 << 20
 #: Bytes of the model in a shard, shards at most that are made for the sake of parallel work, bytes of questions that a task answers.
-SHARD_BYTES, SHARDS, ASKED_BYTES = 32 << 20, 64, 64 << 20
+SHARD_BYTES, SHARDS, ASKED_BYTES = 16 << 20, 64, 16 << 20
+#: Names of n-grams that are gathered before they are made distinct.
+MERGED = 1 << 20
 #: Trusted documents that the model is made of, and those held out.
 LEARNED, HELD = 1, 2
 #: Of answers: the n-gram is known, and it is known as a context.
@@ -148,11 +150,10 @@ def _by_language(column: pa.Array) -> Iterator[tuple[str, np.ndarray]]:
 def counts(rows: DataFrame) -> DataFrame:
     """lang, gram (ORDER code points), c over all rows with columns lang and text, none of them null."""
 
+    @tidy
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for part in parts:
-            for name, own in _by_language(part.column(0)):
-                units, _, real = led(*points(part.column(1).take(pa.array(own)).to_pylist()))
+            for name, _, units, _, real in _streams(part.column(0), part.column(1).to_pylist()):
                 for at, g in windows(units):
                     c = np.bincount(g.number[real[at : at + WINDOW]], minlength=len(g.first[-1]))
                     seen = pa.array(c > 0)
@@ -230,8 +231,8 @@ def _groups(rows: DataFrame) -> dict[str, tuple[int, int]]:
 def _packed(groups):
     """Documents as one blob for each group and batch: id, state (1: has an id; 2 times the part), language, text."""
 
+    @tidy
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for part in parts:
             data, off, _ = buffers(part.column(3))
             names, noff, _ = buffers(part.column(1))
@@ -257,7 +258,7 @@ def _packed(groups):
     return run
 
 
-def _unpacked(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[str], list[str]]:
+def _unpacked(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray, pa.Array, list[str]]:
     ids, state, langs, texts = [], [], [], []
     for blob in packed:
         n = int.from_bytes(blob[:4], "little")
@@ -269,30 +270,41 @@ def _unpacked(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[str], l
         for a, k, b in zip([0, *ends[:-1]], lead, ends, strict=True):
             langs.append(bytes(data[a : a + k]).decode("utf-8", "replace"))
             texts.append(bytes(data[a + k : b]).decode("utf-8", "replace"))
-    return np.concatenate(ids), np.concatenate(state), langs, texts
+    return np.concatenate(ids), np.concatenate(state), pa.array(langs, pa.string()), texts
+
+
+def _streams(langs: pa.Array, texts: list[str]) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of texts of one language, a window of them at a time or one that is longer: its name, rows, units led by marks, offsets there and which units are text."""
+    for name, own in _by_language(langs):
+        ends = np.cumsum([0, *(len(texts[r]) + ORDER - 1 for r in own.tolist())])
+        for a, b in batches_of(ends, WINDOW):
+            yield name, own[a:b], *led(*points([texts[r] for r in own[a:b].tolist()]))
 
 
-def _streams(langs: list[str], texts: list[str]) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Of each language: its name, rows, units led by marks, offsets there and which units are text."""
-    for name, own in _by_language(pa.array(langs, pa.string())):
-        yield name, own, *led(*points([texts[r] for r in own.tolist()]))
+def distinct(parts: Iterator[np.ndarray]) -> np.ndarray:
+    """The distinct values of all parts, sorted; no more than about MERGED and twice as many are held."""
+    known, more = np.zeros(0, np.uint64), []
+    for part in parts:
+        more.append(part)
+        if sum(map(len, more)) > max(MERGED, len(known)):
+            known, more = np.unique(np.concatenate([known, *more])), []
+    return np.unique(np.concatenate([known, *more]))
 
 
-def _asked(found: list[list[np.ndarray]], shards: int) -> tuple[np.ndarray, list[tuple[int, int]], np.ndarray]:
+def _asked(langs: pa.Array, texts: list[str], shards: int) -> tuple[np.ndarray, list[tuple[int, int]], np.ndarray]:
     """All names that a group asks for, by shard and in order; where each shard's begin and end; their shards."""
-    names = np.unique(np.concatenate([h for hashes in found for h in hashes])) if found else np.zeros(0, np.uint64)
+    names = distinct(h for name, _, units, _, _ in _streams(langs, texts) for _, g in windows(units) for h in g.hashes(salt_of(name)))
     slot = shard_of(names, shards)
-    order = np.lexsort((names, slot))
+    order = np.argsort(slot, kind="stable")
     return names[order], _cuts(slot[order]), slot[order]
 
 
 def _questions(shards: int, salts: int):
+    @tidy
     def run(key: tuple, rows: pa.Table) -> pa.Table:
-        release()
         group = key[0].as_py()
         _, _, langs, texts = _unpacked(rows.column("blob").to_pylist())
-        found = [g.hashes(salt_of(name)) for name, _, units, _, _ in _streams(langs, texts) for _, g in windows(units)]
-        names, cuts, slot = _asked(found, shards)
+        names, cuts, slot = _asked(langs, texts, shards)
         out = [(int(slot[a]) * salts + group % salts, group.to_bytes(8, "little") + blobs.pack([np.diff(names[a:b], prepend=np.uint64(0))])) for a, b in cuts]
         return pa.Table.from_batches([_pairs(out)])
 
@@ -302,8 +314,8 @@ def _questions(shards: int, salts: int):
 def _dealt_model(shards: int, salts: int):
     """The model's rows packed for each shard, and for each share of the groups that ask it."""
 
+    @tidy
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for part in parts:
             names = np.zeros(part.num_rows, np.uint64)
             order = part.column(1).to_numpy(zero_copy_only=False)
@@ -329,6 +341,7 @@ def _dealt_model(shards: int, salts: int):
     return run
 
 
+@tidy
 def _answered(key: tuple, asked: pa.Table, model: pa.Table) -> pa.Table:
     names, context, value = blobs.unpack_all(model.column("blob").to_pylist(), ["<u8", "u1", "<u2"])
     sides = []
@@ -337,7 +350,8 @@ def _answered(key: tuple, asked: pa.Table, model: pa.Table) -> pa.Table:
         own = own[np.argsort(names[own], kind="stable")]
         sides.append((names[own], value[own]))
     out = []
-    for blob in asked.column("blob").to_pylist():
+    for each in asked.column("blob"):
+        blob = each.as_py()
         wanted = np.cumsum(blobs.unpack(blob[8:], ["<u8"])[0], dtype=np.uint64)
         flags, values = np.zeros(len(wanted), "u1"), []
         for bit, (have, of) in zip((KNOWN, CONTEXT), sides, strict=True):
@@ -353,19 +367,13 @@ _SCORED = pa.schema([("id", pa.int64()), ("lang", pa.string()), ("part", pa.int3
 
 
 def _scored(shards: int, salts: int):
+    @tidy
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        release()
         if not left.num_rows:
             return _SCORED.empty_table()
         ids, state, langs, texts = _unpacked(left.column("blob").to_pylist())
         told = {int.from_bytes(b[:8], "little") // salts: b[8:] for b in right.column("blob").to_pylist()}
-        streams, found, work = [], [], []
-        for name, own, units, offsets, real in _streams(langs, texts):
-            streams.append((own, offsets, real))
-            for at, g in windows(units):
-                found.append(g.hashes(salt_of(name)))
-                work.append((len(streams) - 1, at, g.number, g.suffix, g.context))
-        names, cuts, slot = _asked(found, shards)
+        names, cuts, slot = _asked(langs, texts, shards)
         flags, known, back = np.zeros(len(names), "u1"), np.zeros(len(names), "f4"), np.zeros(len(names), "f4")
         for a, b in cuts:
             if int(slot[a]) in told:
@@ -374,22 +382,22 @@ def _scored(shards: int, salts: int):
         by_name = np.argsort(names)
         names, flags, known, back = names[by_name], flags[by_name], known[by_name], back[by_name]
         n, nll = np.zeros(len(ids), np.int64), np.zeros(len(ids))
-        for (stream, at, number, suffix, context), hashes in zip(work, found, strict=True):
-            own, offsets, real = streams[stream]
-            score = weight = None
-            for k, h in enumerate(hashes):
-                i = np.searchsorted(names, h)
-                if k:
-                    score = np.where(flags[i] & KNOWN > 0, known[i], weight[context[k - 1]] + score[suffix[k - 1]])
-                else:
-                    score = known[i]
-                weight = np.where(flags[i] & CONTEXT > 0, back[i], np.float32(0))
-            here = real[at : at + WINDOW]
-            sums = np.concatenate([[0.0], np.cumsum(np.where(here, score[number], 0.0))])
-            edge = np.clip(offsets - at, 0, len(here))
-            nll[own] -= np.diff(sums[edge])
-            n[own] += np.diff(np.concatenate([[0], np.cumsum(here)])[edge])
-        return pa.table([pa.array(ids, mask=state & 1 == 0), pa.array(langs, pa.string()), pa.array((state >> 1).astype("i4")), pa.array(n), pa.array(nll)], schema=_SCORED)
+        for name, own, units, offsets, real in _streams(langs, texts):  # made again, as the n-grams of all windows take several times the text
+            for at, g in windows(units):
+                score = weight = None
+                for k, h in enumerate(g.hashes(salt_of(name))):
+                    i = np.searchsorted(names, h)
+                    if k:
+                        score = np.where(flags[i] & KNOWN > 0, known[i], weight[g.context[k - 1]] + score[g.suffix[k - 1]])
+                    else:
+                        score = known[i]
+                    weight = np.where(flags[i] & CONTEXT > 0, back[i], np.float32(0))
+                here = real[at : at + WINDOW]
+                sums = np.concatenate([[0.0], np.cumsum(np.where(here, score[g.number], 0.0), dtype=np.float64)])
+                edge = np.clip(offsets - at, 0, len(here))
+                nll[own] -= np.diff(sums[edge])
+                n[own] += np.diff(np.concatenate([[0], np.cumsum(here)])[edge])
+        return pa.table([pa.array(ids, mask=state & 1 == 0), langs, pa.array((state >> 1).astype("i4")), pa.array(n), pa.array(nll)], schema=_SCORED)
 
     return run
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.llm import blobs, hashing
-from gridloom.llm.common import batches_of, bounded_batches, buffers, parts_for, release, text_bytes
+from gridloom.llm.common import batches_of, bounded_batches, buffers, parts_for, text_bytes, tidy
 
 #: Units in a chunk; a longer document is its own chunk, up to CUT, and is cut with overlap beyond.
 CHUNK, CUT = 1 << 18, 1 << 20
@@ -256,8 +256,8 @@ def _reduced(plan: Plan, level: int) -> Callable:
     """Of a bucket: tells each group which of its runs are repeated and which stay open."""
     last = plan.levels[level] == plan.n
 
+    @tidy
     def run(slot: tuple, rows: pa.Table) -> pa.Table:
-        release()
         number = slot[0].as_py()
         packed = rows.column("blob").to_pylist()
         if number >= plan.buckets:  # settled before: on to its group
@@ -363,8 +363,8 @@ def _again(chunk: Chunk, n: int, k: np.ndarray, lo: np.ndarray, wide: np.ndarray
 def _next_level(plan: Plan, level: int, names: Callable | None) -> Callable:
     """Of a group: takes the answers of the level before, sends the open windows' runs at this level."""
 
+    @tidy
     def run(slot: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        release()
         number = slot[0].as_py()
         group = Group(left.column("blob").to_pylist())
         doc, lo, tag, wide, flags = _taken(right.column("blob").to_pylist(), _ANSWER)
@@ -410,8 +410,8 @@ def _next_level(plan: Plan, level: int, names: Callable | None) -> Callable:
 
 
 def _first_level(plan: Plan, names: Callable | None) -> Callable:
+    @tidy
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for part in parts:
             data, offsets, _ = buffers(part.column(1))
             has_id = part.column(0).is_valid().to_numpy(zero_copy_only=False)
@@ -447,8 +447,8 @@ def _kept_words(data: np.ndarray, offsets: np.ndarray, gone: np.ndarray, starts:
 
 
 def _result(plan: Plan) -> Callable:
+    @tidy
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        release()
         group = Group(left.column("blob").to_pylist(), left.column("extra").to_pylist() if "extra" in left.column_names else ())
         doc, lo, tag, wide, flags = _taken(right.column("blob").to_pylist(), _ANSWER)
         gone = flags & REMOVED > 0
@@ -555,8 +555,8 @@ def remove_repeats(docs: DataFrame, key: str, text: str, kind: str, n: int, leve
     plan = Plan(kind, n, tuple(levels), parts_for(spark, total, GROUP_BYTES), parts_for(spark, total, BUCKET_BYTES), whole)
     schema = "slot bigint, blob binary"
 
+    @tidy
     def packed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for part in parts:
             found = list(_packed_text(plan, part))
             columns = [pa.array([x[k] for x in found], t) for k, t in ((0, pa.int64()), (1, pa.binary()), (2, pa.binary()))]

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm import blobs, hashing
-from gridloom.llm.common import bounded_batches, buffers, checkpointed, parts_for, release
+from gridloom.llm.common import bounded_batches, buffers, checkpointed, parts_for, tidy
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: Buckets of up to so many fingerprints are compared pair by pair.
@@ -62,8 +62,8 @@ def simhash(hashes: np.ndarray) -> int:
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 4) -> DataFrame:
     """id, fp (the 64 bits as a signed number) of each row; no words give zero."""
 
+    @tidy
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for part in parts:
             data, off, _ = buffers(part.column(1))
             view = data.tobytes()
@@ -201,6 +201,7 @@ def links(nodes: DataFrame, k: int = 4) -> DataFrame:
     # a fingerprint has k + 33 keys or so, of 17 bytes each
     slots = -(-parts_for(nodes.sparkSession, 17 * (k + 33) * nodes.count(), BUCKET_BYTES) // (k + 1))
 
+    @tidy
     def deal(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             fps = part.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
@@ -214,6 +215,7 @@ def links(nodes: DataFrame, k: int = 4) -> DataFrame:
                     rows.append((int(slot[o[0]]) * (k + 1) + s, blobs.pack([key[o], fps[row[o]], own[o].astype("u1")])))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["slot", "blob"])
 
+    @tidy
     def link(slot: tuple, rows: pa.Table) -> pa.Table:
         key, fp, own = blobs.unpack_all(rows.column("blob").to_pylist(), ["<u8", "<u8", "u1"])
         a, b = bucket_links(key, fp, own > 0, slot[0].as_py() % (k + 1), k)

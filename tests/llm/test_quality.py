@@ -3,13 +3,15 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.llm import quality
+from gridloom.llm import blobs, quality
 from gridloom.llm.queries import REGISTRY
 
 N = quality.ORDER
@@ -135,3 +137,52 @@ def test_query_against_plain_models_and_labels(spark):
     assert len(got) == len(docs)
     good, bad = [got[i].keep for i, (q, t) in labels.items() if q == 1 and t == 0], [got[i].keep for i, (q, _) in labels.items() if q == 0]
     assert sum(good) / len(good) >= 0.95 and sum(bad) / len(bad) <= 0.2
+
+
+def packed_group(texts):
+    """Texts as the blob of one group."""
+
+    class Groups:
+        value = {"en": (0, 1)}
+
+    batch = pa.record_batch([pa.array(range(len(texts)), pa.int64()), pa.array(["en"] * len(texts)), pa.array([1] * len(texts), pa.int32()), pa.array(texts)], ["id", "lang", "part", "text"])
+    return pa.concat_tables([pa.Table.from_batches([p]) for p in quality._packed(Groups)(iter([batch]))])
+
+
+def answers(asked):
+    """Answers of a made-up model to a group's questions."""
+    out = []
+    for slot, blob in zip(asked.column("slot").to_pylist(), asked.column("blob").to_pylist(), strict=True):
+        name = np.cumsum(blobs.unpack(blob[8:], ["<u8"])[0], dtype=np.uint64)
+        out.append((slot, slot.to_bytes(8, "little") + blobs.pack([np.full(len(name), quality.KNOWN, "u1"), (name % np.uint64(20000)).astype("<u2"), np.zeros(len(name), "<u2")])))
+    return pa.Table.from_batches([quality._pairs(out)])
+
+
+def test_a_group_holds_the_ngrams_of_one_window_only():
+    """What a task takes besides texts and distinct names doesn't grow with the number of windows."""
+    rng = np.random.default_rng(4)
+    texts = ["".join(map(chr, rng.integers(97, 107, 4000))) for _ in range(1000)]
+    key, docs = (pa.scalar(0, pa.int64()),), packed_group(texts)
+    asked = quality._questions(8, 1)(key, docs)
+    told = answers(asked)
+    for run in (lambda: quality._questions(8, 1)(key, docs), lambda: quality._scored(8, 1)(docs, told)):
+        tracemalloc.start()
+        run()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 50e6, peak
+
+
+def test_a_text_scores_the_same_among_any_others():
+    """Sums over a window don't round away what a short text has."""
+    rng = np.random.default_rng(5)
+    short = ["".join(map(chr, rng.integers(97, 123, 5))) for _ in range(20)]
+    many = ["".join(map(chr, rng.integers(97, 123, 4000))) for _ in range(120)]
+
+    def nll(texts):
+        docs = packed_group(texts)
+        found = quality._scored(8, 1)(docs, answers(quality._questions(8, 1)((pa.scalar(0, pa.int64()),), docs)))
+        return {r["id"]: r["nll"] for r in found.to_pylist()}
+
+    alone, among = nll(short), nll(many + short)
+    assert all(among[len(many) + i] == pytest.approx(x, rel=1e-6) for i, x in alone.items())

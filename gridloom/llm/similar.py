@@ -28,14 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm import blobs, hashing, simhash
-from gridloom.llm.common import bounded_batches, buffers, checkpointed, parts_for, release, small
+from gridloom.llm.common import batches_of, bounded_batches, buffers, checkpointed, parts_for, small, tidy
 
 #: Two sets are similar if 5 times their common elements are at least 4 times all of theirs.
 PART, WHOLE = 4, 5
 #: Bits of a set's parities at least, and bytes of them that are kept at most.
 BITS, WIDE = 256, 1024
-#: Bytes that one bucket gathers, and the largest group whose pairs are taken step by step.
-BUCKET, SMALL = 8 << 20, 32
+#: Bytes that one bucket gathers, the largest group whose pairs are taken step by step, and bytes of parities that are dealt out at once.
+BUCKET, SMALL, DEALT = 8 << 20, 32, 8 << 20
 #: An element is common if in some batch so many of its rows have it, and this share of them. So many of them are known at most: they only change the order.
 COMMON_ROWS, COMMON_SHARE, COMMON_KEPT = 8, 1 / 64, 1 << 20
 #: The very first elements.
@@ -103,8 +103,8 @@ def ordered(hashes: np.ndarray, common: np.ndarray) -> np.ndarray:
 def common_elements(docs: DataFrame, text: str, size: int) -> np.ndarray:
     """Elements that many sets have, sorted: at most COMMON_KEPT, those with most sets."""
 
+    @tidy
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for part in parts:
             data, off, _ = buffers(part.column(0))
             found, before = shingles(data, off, size)
@@ -129,8 +129,8 @@ def sets(docs: DataFrame, common, text: str, size: int) -> DataFrame:
     """Other columns of docs, and sig (a hash of the set), fp (SimHash), n, wide (parities), tokens (the first fifth, sorted) of each row's shingles."""
     others = [c for c in docs.columns if c != text]
 
+    @tidy
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for part in parts:
             data, off, _ = buffers(part.column(len(others)))
             found, before = shingles(data, off, size)
@@ -165,8 +165,8 @@ def shared(rows: DataFrame) -> DataFrame:
     total = rows.agg(F.coalesce(F.sum(F.octet_length("tokens")), F.lit(0)).alias("n")).first()["n"]
     slots = parts_for(rows.sparkSession, 2 * int(total), BUCKET)
 
+    @tidy
     def deal(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for part in parts:
             sig = part.column(0).to_numpy(zero_copy_only=False)
             data, off, _ = buffers(part.column(1))
@@ -177,8 +177,8 @@ def shared(rows: DataFrame) -> DataFrame:
             rank = np.minimum(np.arange(len(token)) - np.repeat(np.cumsum(counts) - counts, counts), 255).astype("u1")
             yield _dealt(token, slots, [token, rank, np.repeat(sig[each], counts)])
 
+    @tidy
     def meet(slot: tuple, found: pa.Table) -> pa.Table:
-        release()
         token, rank, sig = blobs.unpack_all(found.column("blob").to_pylist(), ["<u8", "u1", "<i8"])
         order = np.lexsort((sig, token))
         token, rank, sig = token[order], rank[order], sig[order]
@@ -239,33 +239,41 @@ def between(tokens: DataFrame, roots: DataFrame) -> DataFrame:
     return checkpointed(own.join(mixed, "token", "left_semi"))
 
 
-def candidates(tokens: DataFrame, nodes: DataFrame, every: bool) -> DataFrame:
-    """a, b: pairs of sets that may be similar, of different labels, of tokens (token, sig, label) and nodes (sig, n, wide); all, or a forest for each token.
-
-    A set's parities go to a slot once for each batch.
-    """
-    slots = parts_for(tokens.sparkSession, (40 + BITS // 8) * tokens.count(), BUCKET)
+def _dealt_sets(slots: int):
+    """Sets (sig, n, label, wide, tokens) to the slots of their tokens: a set's parities go to a slot once. No more than about DEALT bytes are made at once, however many slots there are."""
 
-    def deal(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
+    @tidy
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             sig, n, label = (part.column(c).to_numpy(zero_copy_only=False) for c in range(3))
             data, off, _ = buffers(part.column(3))
             wide = [data[off[r] : off[r + 1]] for r in range(part.num_rows)]
-            token = part.column(4).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            row = np.repeat(np.arange(part.num_rows), part.column(4).value_lengths().to_numpy(zero_copy_only=False))
-            slot = (hashing.mix(token, 3) % np.uint64(slots)).astype(np.int64)
-            order = np.argsort(slot, kind="stable")
-            cut = np.flatnonzero(np.append(True, slot[order][1:] != slot[order][:-1])).tolist() if len(order) else []
-            out = []
-            for x, y in zip(cut, [*cut[1:], len(order)], strict=True) if cut else ():
-                own, place = np.unique(row[order[x:y]], return_inverse=True)
-                sizes = np.array([len(wide[r]) for r in own.tolist()], np.int64)
-                out.append((int(slot[order[x]]), blobs.pack([token[order[x:y]], place.astype("<i8")]), blobs.pack([sig[own], n[own], label[own], sizes]), blobs.pack([np.concatenate([wide[r] for r in own.tolist()])])))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), *(pa.array([r[c] for r in out], pa.binary()) for c in (1, 2, 3))], ["slot", "tokens", "sets", "wide"])
+            tokens, counts = part.column(4).flatten().to_numpy(zero_copy_only=False).view(np.uint64), part.column(4).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = np.append(0, np.cumsum(counts))
+            for first, last in batches_of(np.append(0, np.cumsum(counts * (40 + np.diff(off)))), DEALT):
+                token = tokens[ends[first] : ends[last]]
+                row = np.repeat(np.arange(first, last), counts[first:last])
+                slot = (hashing.mix(token, 3) % np.uint64(slots)).astype(np.int64)
+                order = np.argsort(slot, kind="stable")
+                cut = np.flatnonzero(np.append(True, slot[order][1:] != slot[order][:-1])).tolist() if len(order) else []
+                out = []
+                for x, y in zip(cut, [*cut[1:], len(order)], strict=True) if cut else ():
+                    own, place = np.unique(row[order[x:y]], return_inverse=True)
+                    sizes = np.array([len(wide[r]) for r in own.tolist()], np.int64)
+                    out.append((int(slot[order[x]]), blobs.pack([token[order[x:y]], place.astype("<i8")]), blobs.pack([sig[own], n[own], label[own], sizes]), blobs.pack([np.concatenate([wide[r] for r in own.tolist()])])))
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), *(pa.array([r[c] for r in out], pa.binary()) for c in (1, 2, 3))], ["slot", "tokens", "sets", "wide"])
+
+    return run
+
+
+def candidates(tokens: DataFrame, nodes: DataFrame, every: bool) -> DataFrame:
+    """a, b: pairs of sets that may be similar, of different labels, of tokens (token, sig, label) and nodes (sig, n, wide); all, or a forest for each token."""
+    held = tokens.groupBy("sig").count().join(nodes.select("sig", F.octet_length("wide").alias("size")), "sig")
+    of = held.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.col("count") * (40 + F.col("size"))), F.lit(0)).alias("whole")).first()
+    slots = max(parts_for(tokens.sparkSession, (40 + BITS // 8) * of["n"], BUCKET), parts_for(tokens.sparkSession, of["whole"], 3 * BUCKET))
 
+    @tidy
     def meet(slot: tuple, found: pa.Table) -> pa.Table:
-        release()
         sets_of = [blobs.unpack(x, ["<i8"] * 4) for x in found.column("sets").to_pylist()]
         before = np.cumsum([0, *(len(x[0]) for x in sets_of)])
         met = [blobs.unpack(x, ["<u8", "<i8"]) for x in found.column("tokens").to_pylist()]
@@ -292,22 +300,22 @@ def candidates(tokens: DataFrame, nodes: DataFrame, every: bool) -> DataFrame:
         return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
 
     rows = tokens.groupBy("sig", "label").agg(F.collect_list("token").alias("tokens")).join(nodes.select("sig", "n", "wide"), "sig")
-    return rows.select("sig", "n", "label", "wide", "tokens").mapInArrow(deal, "slot bigint, tokens binary, sets binary, wide binary").groupBy("slot").applyInArrow(meet, "a bigint, b bigint").distinct()
+    return rows.select("sig", "n", "label", "wide", "tokens").mapInArrow(_dealt_sets(slots), "slot bigint, tokens binary, sets binary, wide binary").groupBy("slot").applyInArrow(meet, "a bigint, b bigint").distinct()
 
 
 def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar. Only sets of pairs are made again, each from one of its rows in docs (id, tag, text)."""
 
+    @tidy
     def again(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for part in parts:
             data, off, _ = buffers(part.column(1))
             found, before = shingles(data, off, size)
             own = [np.unique(found[before[k] : before[k + 1]] >> np.uint64(1)).tobytes() for k in range(part.num_rows)]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own, pa.binary())], ["sig", "hashes"])
 
+    @tidy
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for part in parts:
             (x, xo, _), (y, yo, _) = buffers(part.column(2)), buffers(part.column(3))
             ok = [jaccard(x[xo[k] : xo[k + 1]].view("<u8"), y[yo[k] : yo[k + 1]].view("<u8")) for k in range(part.num_rows)]

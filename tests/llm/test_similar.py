@@ -3,9 +3,10 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 import corpus_pipeline as cp
-from gridloom.llm import similar
+from gridloom.llm import blobs, similar
 from tests.llm.test_simhash import plain_components, plain_fingerprint
 
 
@@ -89,3 +90,22 @@ def test_filters_lose_no_similar_pair():
                 assert similar.may_be(len(x), wide[0], len(y), wide[1])
                 bits = np.stack([similar.folded(w, similar.BITS // 8) for w in wide]).view("<u8")
                 assert len(similar.close(np.zeros(2, np.uint64), np.array([len(x), len(y)]), np.arange(2), bits, np.arange(2))[0]) == 1
+
+
+def test_dealt_sets_are_made_a_bounded_part_at_a_time():
+    """However many slots there are: each set goes once to each slot of its tokens, and no batch holds the parities of all."""
+    rng = np.random.default_rng(1)
+    n, each, size = 400, 120, 1024
+    tokens = rng.integers(0, 1 << 62, (n, each))
+    wide = [rng.bytes(size) for _ in range(n)]
+    batch = pa.record_batch([pa.array(range(n), pa.int64()), pa.array([each * 5] * n, pa.int64()), pa.array(range(n), pa.int64()), pa.array(wide), pa.array(tokens.tolist(), pa.list_(pa.int64()))], ["sig", "n", "label", "wide", "tokens"])
+    made = list(similar._dealt_sets(100_000)(iter([batch])))
+    assert max(b.nbytes for b in made) < 2 * similar.DEALT
+    got = set()
+    for r in pa.Table.from_batches(made).to_pylist():
+        token, place = blobs.unpack(r["tokens"], ["<u8", "<i8"])
+        sig, _, _, sizes = blobs.unpack(r["sets"], ["<i8"] * 4)
+        data, ends = blobs.unpack(r["wide"], ["u1"])[0].tobytes(), np.cumsum(sizes)
+        got |= {(int(t), int(sig[p])) for t, p in zip(token, place, strict=True)}
+        assert all(data[e - z : e] == wide[s] for s, z, e in zip(sig.tolist(), sizes.tolist(), ends.tolist(), strict=True))
+    assert got == {(int(t), k) for k in range(n) for t in tokens[k]}

@@ -145,10 +145,20 @@ def table_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0)).alias("n")).first()["n"]
 
 
+#: Bytes of a small table that one task reads.
+PART_BYTES = 1 << 20
+
+
+def few(df: DataFrame, total: int) -> DataFrame:
+    """A table of `total` bytes in as many partitions as they need, one for each core at least: small tables cost few tasks and files, whatever the number of shuffle partitions."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-total // PART_BYTES)))
+
+
 def small(df: DataFrame) -> DataFrame:
     """The table, marked for broadcast if its rows are found to take few bytes; else Spark shuffles it."""
     df = checkpointed(df)
-    return F.broadcast(df) if table_bytes(df) <= SMALL_BYTES else df
+    total = table_bytes(df)
+    return F.broadcast(few(df, total)) if total <= SMALL_BYTES else df
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

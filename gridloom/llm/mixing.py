@@ -17,12 +17,13 @@ and the seed.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import WORD, checkpointed, columns, fresh, small
+from gridloom.llm.common import SMALL_BYTES, WORD, checkpointed, columns, few, fresh, small, table_bytes
 
 DIMENSIONS = ("source", "lang", "topic")
 #: In place of a value: all values without a share of their own.
@@ -86,19 +87,27 @@ def fitted(cells: DataFrame, targets: Targets = TARGETS, rounds: int = ROUNDS, t
     """
     cells = cells.where("tokens > 0").groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens"))
     cells = checkpointed(cells)
+    light = _light(cells)
+    cells = light(cells)
     for d in DIMENSIONS:
         cells = cells.join(wanted(cells, d, targets), d)
-    cells = checkpointed(cells.withColumn("w", F.col("tokens").cast("double")))
+    cells = checkpointed(light(cells.withColumn("w", F.col("tokens").cast("double"))))
     for done in range(0, rounds, LOOK):
         for _ in range(min(LOOK, rounds - done)):
             for d in DIMENSIONS:
-                cells = cells.withColumn("w", F.coalesce(F.try_divide(F.col("w") * F.col(f"t_{d}"), F.sum("w").over(Window.partitionBy(d))), F.lit(0.0)))
+                cells = light(cells.withColumn("w", F.coalesce(F.try_divide(F.col("w") * F.col(f"t_{d}"), F.sum("w").over(Window.partitionBy(d))), F.lit(0.0))))
         cells = checkpointed(cells)
         if _off(cells) <= tolerance:
             break
     return cells
 
 
+def _light(cells: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """What keeps a table of as many cells in few tasks, if they take few bytes."""
+    total = table_bytes(cells)
+    return (lambda df: few(df, total)) if total <= SMALL_BYTES else (lambda df: df)
+
+
 def _off(cells: DataFrame) -> float:
     """The most that a raked share is off."""
     each = (cells.groupBy(d).agg(F.abs(F.sum("w") - F.first(f"t_{d}")).alias("off")) for d in DIMENSIONS)
@@ -107,12 +116,13 @@ def _off(cells: DataFrame) -> float:
 
 def bounded(cells: DataFrame, amount: float, rounds: int = BOUND_ROUNDS) -> DataFrame:
     """fitted() cells with w in tokens, `amount` together as far as may be: raked on while no cell exceeds the tokens it has."""
-    cells = cells.withColumn("w", F.least(F.col("w") * amount, F.col("tokens").cast("double")))
+    light = _light(cells)
+    cells = light(cells.withColumn("w", F.least(F.col("w") * amount, F.col("tokens").cast("double"))))
     for done in range(0, rounds, LOOK):
         for _ in range(min(LOOK, rounds - done)):
             for d in DIMENSIONS:
                 grown = F.try_divide(F.col("w") * F.col(f"t_{d}") * amount, F.sum("w").over(Window.partitionBy(d)))
-                cells = cells.withColumn("w", F.least(F.coalesce(grown, F.lit(0.0)), F.col("tokens").cast("double")))
+                cells = light(cells.withColumn("w", F.least(F.coalesce(grown, F.lit(0.0)), F.col("tokens").cast("double"))))
         cells = checkpointed(cells)
     return cells
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm import blobs, hashing
-from gridloom.llm.common import bounded_batches, buffers, checkpointed, parts_for, tidy
+from gridloom.llm.common import SMALL_BYTES, bounded_batches, buffers, checkpointed, few, parts_for, tidy
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: Buckets of up to so many fingerprints are compared pair by pair.
@@ -228,6 +228,7 @@ def components(edges: DataFrame, limit: int = 60) -> DataFrame:
     """node, root: the smallest node that links lead to, for each node of a link (a, b), by alternating stars.
 
     Each round ends in a checkpoint; rounds go on until the links are the same.
+    Few links go through few tasks, and their least neighbours are broadcast.
     """
     edges = checkpointed(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     seen = None
@@ -235,13 +236,17 @@ def components(edges: DataFrame, limit: int = 60) -> DataFrame:
         mark = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if mark["n"] == 0 or mark == seen:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        seen = mark
+        seen, total = mark, 64 * mark["n"]  # both directions, 32 bytes each
+        light = total <= SMALL_BYTES
+        part = (lambda df, total=total: few(df, total)) if light else (lambda df: df)
+        sent = F.broadcast if light else (lambda df: df)
+        edges = part(edges)
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
-        edges = checkpointed(small.distinct())
+        least = part(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
+        large = part(both.join(sent(least), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
+        least = part(large.groupBy("a").agg(F.min("b").alias("m")))
+        small = large.join(sent(least), "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
+        edges = checkpointed(part(small.distinct()))
     raise RuntimeError("components did not settle")
 
 

@@ -330,6 +330,11 @@ def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, size: int) -> D
     return checkpointed(both.mapInArrow(run, "a bigint, b bigint"))
 
 
+def _links(roots: DataFrame) -> DataFrame:
+    """The components found so far as links: each node and its root."""
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, k: int = 6, tag: F.Column | None = None) -> DataFrame:
     """id, tag, component (the smallest id reachable over pairs of similar texts, itself included), first of each row.
 
@@ -352,19 +357,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     far = simhash.links(first, k)
     far = far.join(first.select(F.col("fp").alias("a"), F.col("rep").alias("x")), "a").join(first.select(F.col("fp").alias("b"), F.col("rep").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     alike = nodes.join(first, "fp").where("sig <> rep").select(F.col("sig").alias("a"), F.col("rep").alias("b"))
-    edges = verified(checkpointed(far.unionByName(alike)), rows, docs, size)
-    roots = simhash.components(edges)
+    roots = simhash.components(verified(checkpointed(far.unionByName(alike)), rows, docs, size))
     for own in (tokens.where(F.col("rank") < FIRST), tokens):
         pairs = checkpointed(candidates(between(own, roots), nodes, every=False))
         found = verified(pairs, rows, docs, size)
-        edges = edges.unionByName(found)
-        roots = simhash.components(edges)
+        roots = simhash.components(_links(roots).unionByName(found))
     failed = checkpointed(pairs.join(found, ["a", "b"], "left_anti"))
     if not failed.isEmpty():
         ends = small(failed.select(F.col("a").alias("sig")).union(failed.select("b")).distinct())
         theirs = tokens.join(ends, "sig", "left_semi").select("token").distinct()
         more = candidates(between(tokens.join(theirs, "token", "left_semi"), roots), nodes, every=True).join(failed, ["a", "b"], "left_anti")
-        roots = simhash.components(edges.unionByName(verified(checkpointed(more), rows, docs, size)))
+        roots = simhash.components(_links(roots).unionByName(verified(checkpointed(more), rows, docs, size)))
     own = F.struct(F.col("id").isNull().alias("none"), "id", "tag")
     least = rows.groupBy("sig").agg(F.min("id").alias("least"), F.min(own).alias("head"))
     rooted = checkpointed(least.join(roots, least["sig"] == roots["node"], "left").select("sig", "least", "head", F.coalesce("root", "sig").alias("root")))

@@ -89,3 +89,31 @@ def test_query_on_driver_table(spark):
     rows = [(r.doc_id, plain_fingerprint(r.text)) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     got = sorted((r.doc_id, r.fingerprint, r.component_id) for r in REGISTRY.queries["op4_simhash"](spark, sf).collect())
     assert got == sorted((i, f"{f:016x}", c) for i, f, c in plain_components(rows, 4))
+
+
+def test_few_links_take_few_tasks(spark):
+    """However many shuffle partitions there are; and links that are not few still go the shuffled way to the same components."""
+    links = [(i, i + 1) for i in range(1, 40) if i % 10] + [(90, 7), (90, 33)]
+    own = {"spark.sql.shuffle.partitions": "61", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in own}
+    want = {i: 1 if i <= 10 or 31 <= i <= 40 or i == 90 else i - (i - 1) % 10 for i in [*range(1, 41), 90]}
+    want = {i: r for i, r in want.items() if i != r}
+    try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setJobGroup("few links", "few links")
+        found = simhash.components(spark.createDataFrame(links, "a long, b long"))
+        assert {r.node: r.root for r in found.collect()} == want
+        tracker = spark.sparkContext.statusTracker()
+        stages = {s for j in tracker.getJobIdsForGroup("few links") for s in tracker.getJobInfo(j).stageIds}
+        wide = [s for s in stages if (i := tracker.getStageInfo(s)) and i.numTasks >= 61]
+        assert found.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism and len(wide) <= 3  # only the links as they come: dealt, written, summed
+        most, simhash.SMALL_BYTES = simhash.SMALL_BYTES, 0
+        try:
+            assert {r.node: r.root for r in simhash.components(spark.createDataFrame(links, "a long, b long")).collect()} == want
+        finally:
+            simhash.SMALL_BYTES = most
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

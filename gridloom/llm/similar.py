@@ -13,8 +13,9 @@ the texts. Only what can join two components is looked at:
 1. Sets whose SimHash is within a few bits, found by pigeonring filtering.
 2. Sets that meet at one of their very first elements, and then at any. A group
    of sets that meet gives a forest of its likely pairs, not all of them.
-3. Where a likely pair turns out not to be similar, the groups it was in again,
-   now with all their pairs between different components.
+3. Where a likely pair turns out not to be similar, all that likely pairs lead
+   to, as one cluster: there the sets themselves are compared, and only a forest
+   of pairs found similar comes out, however many look alike and are not.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ PART, WHOLE = 4, 5
 BITS, WIDE = 256, 1024
 #: Bytes that one bucket gathers, the largest group whose pairs are taken step by step, and bytes of parities that are dealt out at once.
 BUCKET, SMALL, DEALT = 8 << 20, 32, 8 << 20
+#: Bytes that a set of a cluster takes beside its hashes, and sets that one is compared with at once.
+BESIDE, AT_ONCE = 512, 256
 #: An element is common if in some batch so many of its rows have it, and this share of them. So many of them are known at most: they only change the order.
 COMMON_ROWS, COMMON_SHARE, COMMON_KEPT = 8, 1 / 64, 1 << 20
 #: The very first elements.
@@ -191,10 +194,10 @@ def shared(rows: DataFrame) -> DataFrame:
     return rows.select("sig", "tokens").mapInArrow(deal, "slot bigint, blob binary").groupBy("slot").applyInArrow(meet, "token bigint, rank int, sig bigint")
 
 
-def close(token: np.ndarray, n: np.ndarray, label: np.ndarray, bits: np.ndarray, row: np.ndarray, joins: Callable[[int, int], bool] | None = None) -> tuple[np.ndarray, np.ndarray]:
+def close(token: np.ndarray, n: np.ndarray, label: np.ndarray, bits: np.ndarray, row: np.ndarray, joins: Callable[[int, np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Places of pairs of one token and two labels whose sizes and parities (bits, by row) may be those of similar sets; token and n are sorted.
 
-    All such pairs; or with `joins`, which tells of two rows whether they will
+    All such pairs; or with `joins`, which tells of a row and others which will
     do, of each large group only so many that the others would join no more labels.
     """
 
@@ -220,11 +223,14 @@ def close(token: np.ndarray, n: np.ndarray, label: np.ndarray, bits: np.ndarray,
             j = j[root[j - a] != root[x - a]]
             j = j[fits(np.full(len(j), x), j)]
             if joins is not None:
-                found = []
-                for y in j.tolist():
-                    if root[y - a] != root[x - a] and joins(int(row[x]), int(row[y])):
-                        found.append(y)
-                        root[root == root[y - a]] = root[x - a]
+                found, step = [], 1
+                while len(j):
+                    now, j, step = j[:step], j[step:], min(2 * step, AT_ONCE)
+                    for y in now[joins(int(row[x]), row[now])].tolist():
+                        if root[y - a] != root[x - a]:
+                            found.append(y)
+                            root[root == root[y - a]] = root[x - a]
+                    j = j[root[j - a] != root[x - a]]
                 j = np.array(found, np.int64)
             left.append(np.full(len(j), x))
             right.append(j)
@@ -266,8 +272,8 @@ def _dealt_sets(slots: int):
     return run
 
 
-def candidates(tokens: DataFrame, nodes: DataFrame, every: bool) -> DataFrame:
-    """a, b: pairs of sets that may be similar, of different labels, of tokens (token, sig, label) and nodes (sig, n, wide); all, or a forest for each token."""
+def candidates(tokens: DataFrame, nodes: DataFrame) -> DataFrame:
+    """a, b: pairs of sets that may be similar, of different labels, of tokens (token, sig, label) and nodes (sig, n, wide): a forest for each token."""
     held = tokens.groupBy("sig").count().join(nodes.select("sig", F.octet_length("wide").alias("size")), "sig")
     of = held.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.col("count") * (40 + F.col("size"))), F.lit(0)).alias("whole")).first()
     slots = max(parts_for(tokens.sparkSession, (40 + BITS // 8) * of["n"], BUCKET), parts_for(tokens.sparkSession, of["whole"], 3 * BUCKET))
@@ -293,7 +299,7 @@ def candidates(tokens: DataFrame, nodes: DataFrame, every: bool) -> DataFrame:
                 known[pair] = may_be(n[x], wide[x], n[y], wide[y])
             return known[pair]
 
-        i, j = close(token[order], n[row], label[row], bits, row, None if every else joins)
+        i, j = close(token[order], n[row], label[row], bits, row, lambda x, ys: np.array([joins(x, y) for y in ys.tolist()], bool))
         pairs = np.unique(np.sort(np.stack([row[i], row[j]], axis=1), axis=1), axis=0).tolist()
         ok = np.array([p for p in pairs if joins(*p)], np.int64).reshape(-1, 2)
         a, b = sig[ok[:, 0]], sig[ok[:, 1]]
@@ -303,8 +309,8 @@ def candidates(tokens: DataFrame, nodes: DataFrame, every: bool) -> DataFrame:
     return rows.select("sig", "n", "label", "wide", "tokens").mapInArrow(_dealt_sets(slots), "slot bigint, tokens binary, sets binary, wide binary").groupBy("slot").applyInArrow(meet, "a bigint, b bigint").distinct()
 
 
-def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar. Only sets of pairs are made again, each from one of its rows in docs (id, tag, text)."""
+def remade(sigs: DataFrame, rows: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """sig, hashes of the sets that sigs (sig) name, each made again from one of its rows in docs (id, tag, text)."""
 
     @tidy
     def again(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,6 +320,15 @@ def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, size: int) -> D
             own = [np.unique(found[before[k] : before[k + 1]] >> np.uint64(1)).tobytes() for k in range(part.num_rows)]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own, pa.binary())], ["sig", "hashes"])
 
+    needed = small(sigs.distinct())
+    one = small(rows.select("sig", "id", "tag").join(needed, "sig", "left_semi").groupBy("sig").agg(F.min(F.struct("id", "tag")).alias("r")).select("sig", F.col("r.id").alias("i"), F.col("r.tag").alias("t")))
+    own = docs.join(one, docs["id"].eqNullSafe(F.col("i")) & (docs["tag"] == F.col("t"))).select("sig", "text")
+    return own.mapInArrow(again, "sig bigint, hashes binary").dropDuplicates(["sig"])
+
+
+def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar. Only sets of pairs are made again."""
+
     @tidy
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -321,15 +336,82 @@ def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, size: int) -> D
             ok = [jaccard(x[xo[k] : xo[k + 1]].view("<u8"), y[yo[k] : yo[k + 1]].view("<u8")) for k in range(part.num_rows)]
             yield part.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    needed = small(pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct())
-    one = small(rows.select("sig", "id", "tag").join(needed, "sig", "left_semi").groupBy("sig").agg(F.min(F.struct("id", "tag")).alias("r")).select("sig", F.col("r.id").alias("i"), F.col("r.tag").alias("t")))
-    own = docs.join(one, docs["id"].eqNullSafe(F.col("i")) & (docs["tag"] == F.col("t"))).select("sig", "text")
-    own = own.mapInArrow(again, "sig bigint, hashes binary").dropDuplicates(["sig"])
+    own = remade(pairs.select(F.col("a").alias("sig")).union(pairs.select("b")), rows, docs, size)
     side = lambda a, x: own.select(F.col("sig").alias(a), F.col("hashes").alias(x))
     both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y")
     return checkpointed(both.mapInArrow(run, "a bigint, b bigint"))
 
 
+def forest(cluster: np.ndarray, label: np.ndarray, hashes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Places of pairs of similar sets of one cluster and two labels, which join all labels that such pairs join."""
+    n, wide = np.array([len(x) for x in hashes], np.int64), [parities(x) for x in hashes]
+    bits = np.stack([folded(w, BITS // 8) for w in wide]).view("<u8")
+
+    def joins(x: int, ys: np.ndarray) -> np.ndarray:
+        theirs = np.concatenate([hashes[y] for y in ys.tolist()])
+        at = np.minimum(np.searchsorted(hashes[x], theirs), n[x] - 1)
+        both = np.add.reduceat((hashes[x][at] == theirs).astype(np.int64), np.cumsum(n[ys]) - n[ys])
+        return WHOLE * both >= PART * (n[x] + n[ys] - both)
+
+    row = np.lexsort((n, cluster))
+    i, j = close(cluster[row], n[row], label[row], bits, row, joins)
+    i, j = row[i], row[j]
+    ok = np.array([may_be(n[x], wide[x], n[y], wide[y]) and jaccard(hashes[x], hashes[y]) for x, y in zip(i.tolist(), j.tolist(), strict=True)], bool)
+    return i[ok], j[ok]
+
+
+def clusters(failed: DataFrame, roots: DataFrame, nodes: DataFrame) -> DataFrame:
+    """slot, sig, cluster, label: the sets that may still be similar to one of another component, dealt out so that any two of a cluster and two labels meet in a slot.
+
+    A cluster is what components (roots: node, root) and likely pairs that failed
+    lead to. It goes to one slot, with others, unless it takes more than BUCKET:
+    then its blocks of about that size meet two by two. A component of several
+    blocks has blocks of its own, which do not meet each other.
+    """
+
+    def named(found: DataFrame, to: str) -> DataFrame:
+        return small(found.select(F.col("node").alias("sig"), F.col("root").alias(to)))
+
+    likely = simhash.components(_links(roots).unionByName(failed))
+    own = nodes.select("sig", (BESIDE + 8 * F.col("n")).alias("size")).join(named(likely, "cluster"), "sig", "left").join(named(roots, "label"), "sig", "left")
+    own = checkpointed(own.select("sig", "size", F.coalesce("cluster", "sig").alias("cluster"), F.coalesce("label", "sig").alias("label")))
+    mixed = own.groupBy("cluster").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("cluster")
+    own = checkpointed(own.join(small(mixed), "cluster", "left_semi"))
+
+    pure = F.col("size") > BUCKET
+    labels = checkpointed(own.groupBy("cluster", "label").agg(F.sum("size").alias("size")).withColumn("pure", pure))
+    loose = labels.where("NOT pure").groupBy("cluster").agg(F.sum("size").alias("loose"))
+    parts = F.ceil(F.when(F.col("pure"), F.col("size")).otherwise(F.col("loose")) / BUCKET)
+    labels = labels.join(loose, "cluster", "left").select("cluster", "label", "pure", parts.alias("parts"))
+    part = F.pmod(F.when(F.col("pure"), F.xxhash64("sig")).otherwise(F.xxhash64("label")), "parts")
+    block = F.struct("pure", F.when(F.col("pure"), F.col("label")).otherwise(F.lit(0)).alias("of"), part.alias("part"))
+    own = checkpointed(own.join(small(labels), ["cluster", "label"]).select("sig", "size", "cluster", "label", block.alias("block")))
+
+    blocks = checkpointed(own.select("cluster", "block").distinct())
+    slots = parts_for(own.sparkSession, int(own.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first()["n"]), BUCKET)
+    alone = blocks.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.first("block").alias("block")).where("n = 1")
+    alone = alone.select("cluster", "block", F.pmod(F.xxhash64("cluster"), F.lit(slots)).cast("long").alias("slot"))
+    both = blocks.withColumnRenamed("block", "x").join(blocks.withColumnRenamed("block", "y"), "cluster").where("x < y AND NOT (x.pure AND y.pure AND x.of = y.of)")
+    slot = -1 - F.pmod(F.xxhash64("cluster", "x", "y"), F.lit(1 << 62))
+    both = both.select("cluster", F.explode(F.array("x", "y")).alias("block"), slot.alias("slot"))
+    return own.join(small(alone.unionByName(both)), ["cluster", "block"]).select("slot", "sig", "cluster", "label")
+
+
+def settled(failed: DataFrame, roots: DataFrame, nodes: DataFrame, rows: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """a, b: similar pairs that join what is still apart where likely pairs failed; a forest for each cluster or two blocks of it."""
+
+    @tidy
+    def meet(slot: tuple, found: pa.Table) -> pa.Table:
+        sig, cluster, label = (found.column(c).to_numpy() for c in ("sig", "cluster", "label"))
+        data, off, _ = buffers(found.column("hashes"))
+        i, j = forest(cluster, label, [data[off[r] : off[r + 1]].view("<u8") for r in range(len(sig))])
+        return pa.table({"a": pa.array(np.minimum(sig[i], sig[j])), "b": pa.array(np.maximum(sig[i], sig[j]))})
+
+    dealt = checkpointed(clusters(failed, roots, nodes))
+    own = dealt.join(remade(dealt.select("sig"), rows, docs, size), "sig")
+    return checkpointed(own.groupBy("slot").applyInArrow(meet, "a bigint, b bigint").distinct())
+
+
 def _links(roots: DataFrame) -> DataFrame:
     """The components found so far as links: each node and its root."""
     return roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
@@ -359,15 +441,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     alike = nodes.join(first, "fp").where("sig <> rep").select(F.col("sig").alias("a"), F.col("rep").alias("b"))
     roots = simhash.components(verified(checkpointed(far.unionByName(alike)), rows, docs, size))
     for own in (tokens.where(F.col("rank") < FIRST), tokens):
-        pairs = checkpointed(candidates(between(own, roots), nodes, every=False))
+        pairs = checkpointed(candidates(between(own, roots), nodes))
         found = verified(pairs, rows, docs, size)
         roots = simhash.components(_links(roots).unionByName(found))
     failed = checkpointed(pairs.join(found, ["a", "b"], "left_anti"))
     if not failed.isEmpty():
-        ends = small(failed.select(F.col("a").alias("sig")).union(failed.select("b")).distinct())
-        theirs = tokens.join(ends, "sig", "left_semi").select("token").distinct()
-        more = candidates(between(tokens.join(theirs, "token", "left_semi"), roots), nodes, every=True).join(failed, ["a", "b"], "left_anti")
-        roots = simhash.components(_links(roots).unionByName(verified(checkpointed(more), rows, docs, size)))
+        roots = simhash.components(_links(roots).unionByName(settled(failed, roots, nodes, rows, docs, size)))
     own = F.struct(F.col("id").isNull().alias("none"), "id", "tag")
     least = rows.groupBy("sig").agg(F.min("id").alias("least"), F.min(own).alias("head"))
     rooted = checkpointed(least.join(roots, least["sig"] == roots["node"], "left").select("sig", "least", "head", F.coalesce("root", "sig").alias("root")))

@@ -109,3 +109,85 @@ def test_dealt_sets_are_made_a_bounded_part_at_a_time():
         got |= {(int(t), int(sig[p])) for t, p in zip(token, place, strict=True)}
         assert all(data[e - z : e] == wide[s] for s, z, e in zip(sig.tolist(), sizes.tolist(), ends.tolist(), strict=True))
     assert got == {(int(t), k) for k in range(n) for t in tokens[k]}
+
+
+def near_miss(each=90, seed=4):
+    """Copies of one text with two words changed at one of three places: similar at one place, just not so at two, but for one pair that joins two places."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(5000)}" for _ in range(100)]
+    texts = []
+    for place, wide in [(10, 2), (40, 2), (70, 2)] * each + [(40, 1), (70, 1)]:
+        copy = list(base)
+        copy[place : place + wide] = [f"x{rng.randrange(10**6)}" for _ in range(wide)]
+        texts.append(" ".join(copy))
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+def test_pairs_that_only_look_alike_do_not_come_out_one_by_one(spark, monkeypatch):
+    """Rows grow with a group's size, not with its square, and what is removed stays right, also where a cluster is cut into blocks."""
+    docs = near_miss()
+    want = plain_removed(docs)
+    assert len(want) == len(docs) - 2
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    verified, made = similar.verified, []
+
+    def counted(pairs, *rest):
+        made.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(similar, "verified", counted)
+    for bucket in (similar.BUCKET, 20_000):
+        monkeypatch.setattr(similar, "BUCKET", bucket)
+        made.clear()
+        found = similar.near_duplicates(frame).collect()
+        assert {r.id for r in found if r.id != r.component} == want
+        assert max(made[1:]) <= len(docs), made  # the first are links of SimHash; pairs that look alike are about 2800
+
+
+def test_sets_of_a_cluster_meet_in_bounded_slots(spark, monkeypatch):
+    """Any two of different components, whether the cluster is cut or not; clusters of one component are left out."""
+    monkeypatch.setattr(similar, "BUCKET", 60 * 1024)
+    size = 64  # 1024 bytes a set
+    sets = range(1000)
+    roots = [(s, 0) for s in range(1, 300)] + [(s, 300) for s in range(301, 330)] + [(s, 900) for s in range(901, 1000)]
+    failed = [(s, 0) for s in range(300, 450)] + [(s, 600) for s in range(601, 620)]
+    frames = [spark.createDataFrame(rows, schema) for rows, schema in ((failed, "a long, b long"), (roots, "node long, root long"), ([(s, size) for s in sets], "sig long, n long"))]
+    label, slots, of = dict(roots), {}, {}
+    for r in similar.clusters(*frames).collect():
+        assert r.label == label.get(r.sig, r.sig)
+        slots.setdefault(r.slot, set()).add(r.sig)
+        of.setdefault(r.sig, set()).add(r.slot)
+    assert set(of) == {*range(450), *range(600, 620)}
+    for group in (range(450), range(600, 620)):
+        assert all(of[a] & of[b] for a in group for b in group if label.get(a, a) != label.get(b, b))
+    assert max(map(len, slots.values())) <= 200 and len(slots) > 10  # two blocks of 60 or so
+    assert sum(map(len, slots.values())) < 450 * 8
+
+
+def test_forest_joins_what_all_similar_pairs_join():
+    """Of small and large clusters, with labels that join some sets before."""
+    rng = np.random.default_rng(8)
+    hashes, cluster, label = [], [], []
+    for c, count in enumerate((2, 9, 32, 33, 400)):
+        base = [np.unique(rng.integers(0, 1 << 63, n, np.uint64)) for n in (1, 12, 60, 64, 500)]
+        for k in range(count):
+            own = base[int(rng.integers(0, 5))]
+            gone = int(rng.integers(0, len(own) // 5 + 1))
+            hashes.append(np.unique(np.append(rng.permutation(own)[gone:], rng.integers(0, 1 << 63, int(rng.integers(0, len(own) // 9 + 1)), np.uint64))))
+            cluster.append(c)
+            label.append(1000 * c + min(k, int(rng.integers(0, count))))
+    cluster, label = np.array(cluster), np.array(label)
+
+    def parts(pairs):
+        root = {x: x for x in label.tolist()}
+        for i, j in pairs:
+            a, b = root[int(label[i])], root[int(label[j])]
+            root = {x: a if r == b else r for x, r in root.items()}
+        return sorted(sorted(x for x in root if root[x] == r) for r in set(root.values()))
+
+    every = [(i, j) for i in range(len(hashes)) for j in range(i) if cluster[i] == cluster[j] and label[i] != label[j] and similar.jaccard(hashes[i], hashes[j])]
+    found = list(zip(*(x.tolist() for x in similar.forest(cluster, label, hashes)), strict=True))
+    assert parts(found) == parts(every) and {tuple(sorted(p)) for p in found} <= {tuple(sorted(p)) for p in every}
+    large = cluster == 4
+    assert 0 < sum(large[i] for i, _ in found) < len(set(label[large].tolist())) < sum(large[i] for i, _ in every)
